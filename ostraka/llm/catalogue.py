@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ostraka.functions.languages import edition_language, language_code
-from ostraka.llm import lookalike, tokens
+from ostraka.llm import lookalike, mixing, packing, splitting, tokens
 from ostraka.session import cut
 from ostraka.sources.tables import table
 
@@ -52,12 +52,74 @@ def p2_token_delta(spark: SparkSession, root: str) -> DataFrame:
     return tokens.cube_delta(_snapshot(spark, root, "lemma_text"), _snapshot(spark, root), SLICES)
 
 
+CHUNK_KEY = ("xml_id", "model_name", "chunk_index")
+
+
+def _oversized(spark: SparkSession, root: str) -> DataFrame:
+    """The oversized values, each key once; only they are shuffled."""
+    return splitting.oversized(table(spark, root, "transcription_embeddings").select(*CHUNK_KEY, "document_text"), "document_text").dropDuplicates(list(CHUNK_KEY))
+
+
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    return splitting.split_oversized(_oversized(spark, root), "document_text", CHUNK_KEY).filter("piece_index = 0").select(*CHUNK_KEY)
+
+
+def p5_pieces(spark: SparkSession, root: str) -> DataFrame:
+    """Pieces of at most 500 words that overlap by 50."""
+    return splitting.split_oversized(_oversized(spark, root), "document_text", CHUNK_KEY)
+
+
+def _sizes(spark: SparkSession, root: str) -> DataFrame:
+    d = table(spark, root, "documents")
+    return d.select("doc_id", "source", tokens.token_count(F.col("text")).alias("tokens"))
+
+
+def _packed(spark: SparkSession, root: str) -> DataFrame:
+    runs = [packing.Capacity(r["run_name"], r["capacity_tokens"]) for r in table(spark, root, "pack_runs").orderBy("run_name").collect()]
+    return packing.pack(_sizes(spark, root), "doc_id", "tokens", runs)
+
+
+def p8_packed(spark: SparkSession, root: str) -> DataFrame:
+    """The container of every document in every run."""
+    return _packed(spark, root)
+
+
+def p8_fill(spark: SparkSession, root: str) -> DataFrame:
+    """Containers of every run and how full they are."""
+    bins = _packed(spark, root).groupBy("run_name", "container").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("items"))
+    runs = F.broadcast(table(spark, root, "pack_runs"))
+    return bins.join(runs, "run_name").groupBy("run_name", "capacity_tokens").agg(
+        F.count(F.lit(1)).alias("containers"), F.sum("tokens").alias("tokens"), F.max("tokens").alias("fullest"),
+        (F.sum("tokens") / F.sum("capacity_tokens")).alias("fill"), F.max("items").alias("most_items"),
+    )
+
+
+def _targets(spark: SparkSession, root: str) -> list[mixing.Target]:
+    return [mixing.Target(r["mix_name"], r["source"], r["target_share"], r["max_repeats"]) for r in table(spark, root, "mix_targets").orderBy("mix_name", "source").collect()]
+
+
+def p9_mix(spark: SparkSession, root: str) -> DataFrame:
+    """The documents of every mix with their copies."""
+    return mixing.mix_sources(_sizes(spark, root), "doc_id", "source", "tokens", _targets(spark, root))
+
+
+def p9_shares(spark: SparkSession, root: str) -> DataFrame:
+    """The shares that every mix reached."""
+    return mixing.reached_shares(p9_mix(spark, root), "doc_id", _targets(spark, root))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_canonical": p1_canonical,
     "p2_token_budget": p2_token_budget,
     "p2_token_counts": p2_token_counts,
     "p2_token_delta": p2_token_delta,
+    "p5_found": p5_found,
+    "p5_pieces": p5_pieces,
+    "p8_packed": p8_packed,
+    "p8_fill": p8_fill,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
 }
 SQL: dict[str, str] = {}
 
