@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ostraka.functions.languages import edition_language, language_code
-from ostraka.llm import lookalike, mixing, packing, splitting, tokens
+from ostraka.llm import language, lookalike, mixing, packing, splitting, tokens
 from ostraka.session import cut
 from ostraka.sources.tables import table
 
@@ -108,11 +108,37 @@ def p9_shares(spark: SparkSession, root: str) -> DataFrame:
     return mixing.reached_shares(p9_mix(spark, root), "doc_id", _targets(spark, root))
 
 
+def _languages(spark: SparkSession, root: str) -> DataFrame:
+    d = table(spark, root, "documents")
+    model = language.fit(d, "doc_id", "text", "lang")
+    return language.document_languages(language.language_segments(d, ["doc_id", "lang"], "text", model), ["doc_id", "lang"])
+
+
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    return language.doubtful_labels(_languages(spark, root), ["doc_id", "lang"], "lang").select("doc_id", "lang_code")
+
+
+def p10_segments(spark: SparkSession, root: str) -> DataFrame:
+    """Every stretch of one language with its confidence."""
+    d = table(spark, root, "documents")
+    return language.language_segments(d, ["doc_id"], "text", language.fit(d, "doc_id", "text", "lang"))
+
+
+def p10_documents(spark: SparkSession, root: str) -> DataFrame:
+    """The main language of every document with its confidence, and how many languages it has."""
+    every = _languages(spark, root).groupBy("doc_id", "lang").agg(
+        F.max(F.when(F.col("main"), F.col("lang_code"))).alias("lang_code"),
+        F.max(F.when(F.col("main"), F.col("confidence"))).alias("confidence"),
+        F.count(F.lit(1)).cast("int").alias("languages"),
+    )
+    return every.select("doc_id", F.col("lang").alias("label"), "lang_code", "confidence", "languages")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_canonical": p1_canonical,
-    "p2_token_budget": p2_token_budget,
     "p2_token_counts": p2_token_counts,
+    "p2_token_budget": p2_token_budget,
     "p2_token_delta": p2_token_delta,
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
@@ -120,6 +146,9 @@ QUERIES = {
     "p8_fill": p8_fill,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
+    "p10_found": p10_found,
+    "p10_segments": p10_segments,
+    "p10_documents": p10_documents,
 }
 SQL: dict[str, str] = {}
 
