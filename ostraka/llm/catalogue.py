@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ostraka.functions.languages import edition_language, language_code
-from ostraka.llm import language, lookalike, mixing, packing, splitting, tokens
+from ostraka.llm import language, lookalike, mixing, neighbours, packing, splitting, tokens
 from ostraka.session import cut
 from ostraka.sources.tables import table
 
@@ -52,6 +52,24 @@ def p2_token_delta(spark: SparkSession, root: str) -> DataFrame:
     return tokens.cube_delta(_snapshot(spark, root, "lemma_text"), _snapshot(spark, root), SLICES)
 
 
+def _vectors(spark: SparkSession, root: str) -> DataFrame:
+    columns = ("model_name", "xml_id", "chunk_index", "embedding")
+    return table(spark, root, "transcription_embeddings").select(*columns).unionByName(table(spark, root, "translation_embeddings").select(*columns))
+
+
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    near = neighbours.similar_vectors(_vectors(spark, root), "model_name", ["xml_id", "chunk_index"], "embedding", 10, least=0.9, factor=6.0)
+    low, high = F.least("a", "b"), F.greatest("a", "b")
+    pairs = near.select(F.col("grp").alias("model_name"), low.k0.alias("xml_id_a"), low.k1.alias("chunk_index_a"), high.k0.alias("xml_id_b"), high.k1.alias("chunk_index_b"))
+    return pairs.distinct()
+
+
+def p4_nearest(spark: SparkSession, root: str) -> DataFrame:
+    """The 10 nearest of every vector whose xml_id is divisible by 50, among all."""
+    near = neighbours.similar_vectors(_vectors(spark, root), "model_name", ["xml_id", "chunk_index"], "embedding", 10, factor=2.0, query=F.col("xml_id") % 50 == 0)
+    return near.select(F.col("grp").alias("model_name"), F.col("a.k0").alias("xml_id"), F.col("a.k1").alias("chunk_index"), F.col("b.k0").alias("near_xml_id"), F.col("b.k1").alias("near_chunk_index"), "similarity")
+
+
 CHUNK_KEY = ("xml_id", "model_name", "chunk_index")
 
 
@@ -140,6 +158,8 @@ QUERIES = {
     "p2_token_counts": p2_token_counts,
     "p2_token_budget": p2_token_budget,
     "p2_token_delta": p2_token_delta,
+    "p4_found": p4_found,
+    "p4_nearest": p4_nearest,
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
     "p8_packed": p8_packed,
