@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ostraka.functions.languages import edition_language, language_code
-from ostraka.llm import language, lookalike, mixing, neighbours, packing, splitting, tokens
+from ostraka.llm import gazetteer, language, lookalike, mixing, neighbours, packing, splitting, tokens
 from ostraka.session import cut
 from ostraka.sources.tables import table
 
@@ -87,6 +87,23 @@ def p5_pieces(spark: SparkSession, root: str) -> DataFrame:
     return splitting.split_oversized(_oversized(spark, root), "document_text", CHUNK_KEY)
 
 
+def _unlinked_places(spark: SparkSession, root: str) -> DataFrame:
+    entries = gazetteer.entries_of(table(spark, root, "export_geo"))
+    rows = table(spark, root, "orig_places").filter(~gazetteer.usable([e.id for e in entries], F.col("tm_place_id")))
+    return gazetteer.map_places(rows, "place_id", "place_name", "full_place_name", entries)
+
+
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    return _unlinked_places(spark, root).select("place_id", "geo_id")
+
+
+def p6_unmatched(spark: SparkSession, root: str) -> DataFrame:
+    """Names without an entry, with the rows that have them, the most frequent first."""
+    none = _unlinked_places(spark, root).filter(F.col("geo_id") == gazetteer.NO_ENTRY).select("place_id")
+    named = table(spark, root, "orig_places").select("place_id", "place_name", "full_place_name").join(none, "place_id")
+    return named.groupBy("place_name", "full_place_name").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def _sizes(spark: SparkSession, root: str) -> DataFrame:
     d = table(spark, root, "documents")
     return d.select("doc_id", "source", tokens.token_count(F.col("text")).alias("tokens"))
@@ -162,6 +179,8 @@ QUERIES = {
     "p4_nearest": p4_nearest,
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
+    "p6_found": p6_found,
+    "p6_unmatched": p6_unmatched,
     "p8_packed": p8_packed,
     "p8_fill": p8_fill,
     "p9_mix": p9_mix,
