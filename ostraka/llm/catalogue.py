@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ostraka.functions.languages import edition_language, language_code
-from ostraka.llm import gazetteer, language, lookalike, mixing, neighbours, packing, splitting, tokens
+from ostraka.llm import gazetteer, language, lookalike, mixing, names, neighbours, packing, splitting, tokens
 from ostraka.session import cut
 from ostraka.sources.tables import table
 
@@ -104,6 +104,21 @@ def p6_unmatched(spark: SparkSession, root: str) -> DataFrame:
     return named.groupBy("place_name", "full_place_name").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _author_links(spark: SparkSession, root: str) -> DataFrame:
+    modern = table(spark, root, "principal_editions").select("author", F.lit(False).alias("ancient"))
+    ancient = table(spark, root, "ancient_editions").select("author", F.lit(True).alias("ancient"))
+    return names.link_names(modern.unionByName(ancient))
+
+
+def p7_found(spark: SparkSession, root: str) -> DataFrame:
+    return names.name_pairs(_author_links(spark, root))
+
+
+def p7_entities(spark: SparkSession, root: str) -> DataFrame:
+    """Every spelling with the entity that it means."""
+    return _author_links(spark, root)
+
+
 def _sizes(spark: SparkSession, root: str) -> DataFrame:
     d = table(spark, root, "documents")
     return d.select("doc_id", "source", tokens.token_count(F.col("text")).alias("tokens"))
@@ -181,6 +196,8 @@ QUERIES = {
     "p5_pieces": p5_pieces,
     "p6_found": p6_found,
     "p6_unmatched": p6_unmatched,
+    "p7_found": p7_found,
+    "p7_entities": p7_entities,
     "p8_packed": p8_packed,
     "p8_fill": p8_fill,
     "p9_mix": p9_mix,
