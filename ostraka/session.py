@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+CONSTRAINTS = "spark.sql.constraintPropagation.enabled"
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder that the cluster names in ``spark.checkpoint.dir``.
@@ -20,5 +22,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     """``df`` written once to the reliable checkpoint folder; later reads don't recompute it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    # the constraints that a checkpoint inherits may name columns that it doesn't have; unions of it then fail
+    before = spark.conf.get(CONSTRAINTS, "true")
+    spark.conf.set(CONSTRAINTS, "false")
+    try:
+        return df.checkpoint(eager)
+    finally:
+        spark.conf.set(CONSTRAINTS, before)
