@@ -2,7 +2,7 @@
 
 Documents are compared by their nearest pair of chunks. The vectors of each model are dealt to blocks
 of bounded size, every pair of a query block and a candidate block is one task, and its products are
-one matrix multiplication; only the least distance of each pair of documents leaves the task.
+matrix multiplications; only counts and the nearest few of each query leave the task.
 """
 
 from __future__ import annotations
@@ -11,13 +11,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ostraka.functions.text import language_label
 
 BLOCK_ROWS = 8_192
+TILE_ROWS = 1_024
+DECIMALS = 10
 RANKS = (1, 2, 3, 4, 5)
 
 
@@ -32,61 +34,102 @@ def query_documents(transcriptions: DataFrame, translations: DataFrame) -> DataF
     return grouped.join(pairs, ["model_name", "tm_id"], "left_semi")
 
 
-def document_distances(transcriptions: DataFrame, translations: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(model_name, query_tm, candidate_tm, distance): least cosine distance of two chunks, for every pair of documents.
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    with np.errstate(all="ignore"):
+        return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
-    A vector of length zero has distance NaN to all, which sorts last. All chunks of a document are
-    in one block, so that each pair comes out once.
-    """
-    sizes = transcriptions.select("model_name", F.lit("q").alias("side")).unionByName(translations.select("model_name", F.lit("c").alias("side"))).groupBy("side").count().collect()
-    blocks = {r["side"]: max(1, -(-r["count"] // block_rows)) for r in sizes}
-    n_q, n_c = blocks.get("q", 1), blocks.get("c", 1)
 
-    def dealt(rows: DataFrame, side: str, own: int, other: int) -> DataFrame:
-        mine = F.pmod(F.xxhash64("tm_id"), F.lit(own)).cast("int")
-        every = F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
-        q, c = ("mine", "every") if side == "q" else ("every", "mine")
-        return rows.select("model_name", F.lit(side).alias("side"), "tm_id", "embedding", mine.alias("mine"), every.alias("every")).select("model_name", "side", "tm_id", "embedding", F.col(q).alias("q"), F.col(c).alias("c"))
-
-    both = dealt(transcriptions, "q", n_q, n_c).unionByName(dealt(translations, "c", n_c, n_q))
-    schema = T.StructType([T.StructField("model_name", T.StringType()), T.StructField("query_tm", T.StringType()), T.StructField("candidate_tm", T.StringType()), T.StructField("distance", T.DoubleType())])
-
-    def least(table: pa.Table) -> pa.Table:
-        sides = np.asarray(table["side"].to_pylist())
-        parts = []
-        for side in ("q", "c"):
-            part = table.filter(pa.array(sides == side)).sort_by("tm_id")
-            ids = np.asarray(part["tm_id"].to_pylist(), dtype=object)
-            vectors = np.asarray(part["embedding"].to_pylist(), dtype=np.float64)
-            if not len(ids):
-                return pa.table([[], [], [], []], schema=pa.schema([("model_name", pa.string()), ("query_tm", pa.string()), ("candidate_tm", pa.string()), ("distance", pa.float64())]))
-            with np.errstate(all="ignore"):
-                vectors /= np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
-            starts = np.nonzero(np.r_[True, ids[1:] != ids[:-1]])[0]
-            parts.append((ids[starts], starts, vectors))
-        (q_ids, q_at, q), (c_ids, c_at, c) = parts
-        rows = []
-        for n, begin in enumerate(q_at):
-            end = q_at[n + 1] if n + 1 < len(q_at) else len(q)
-            rows.append(np.fmin.reduceat(np.fmin.reduce(1 - q[begin:end] @ c.T, axis=0), c_at))
-        distances = np.concatenate(rows)
-        names = pa.array([table["model_name"][0].as_py()] * len(distances), pa.string())
-        return pa.table([names, pa.array(np.repeat(q_ids, len(c_ids)), pa.string()), pa.array(np.tile(c_ids, len(q_ids)), pa.string()), pa.array(distances)], names=[f.name for f in schema.fields])
+def _distances(queries: np.ndarray, candidates: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Least distance of one query document to every candidate document, a tile of query chunks at a time."""
+    out = None
+    for begin in range(0, len(queries), TILE_ROWS):
+        tile = np.fmin.reduceat(np.fmin.reduce(1 - queries[begin : begin + TILE_ROWS] @ candidates.T, axis=0), starts)
+        out = tile if out is None else np.fmin(out, tile)
+    # equal vectors are at equal distance, whatever the order in which a product was summed
+    return np.round(out, DECIMALS)
 
-    return both.groupBy("model_name", "q", "c").applyInArrow(least, schema)
 
+def _by_document(table: pa.Table, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Table]:
+    part = table.filter(pc.equal(table["side"], side)).sort_by([("tm_id", "ascending")])
+    ids = np.asarray(part["tm_id"].to_pylist(), dtype=object)
+    starts = np.nonzero(np.r_[True, ids[1:] != ids[:-1]])[0] if len(ids) else np.zeros(0, dtype=np.int64)
+    vectors = np.asarray(part["embedding"].to_pylist(), dtype=np.float64).reshape(len(ids), -1)
+    return ids[starts], starts, _unit(vectors), part.take(pa.array(starts))
 
-def ranked_candidates(distances: DataFrame, translations: DataFrame) -> DataFrame:
-    """Distances with ``rank``: by distance, then record (as text), then path."""
-    paths = translations.groupBy("model_name", F.col("tm_id").alias("candidate_tm")).agg(F.min("source_path").alias("candidate_path"))
-    order = Window.partitionBy("model_name", "query_tm").orderBy("distance", "candidate_tm", "candidate_path")
-    return distances.join(paths, ["model_name", "candidate_tm"]).withColumn("rank", F.row_number().over(order))
 
+def _blocks(queries: DataFrame, candidates: DataFrame, block_rows: int) -> DataFrame:
+    """Every pair of a block of queries and a block of candidates of one model; a document is in one block."""
+    every = queries.select("model_name", F.lit("q").alias("side")).unionByName(candidates.select("model_name", F.lit("c").alias("side")))
+    counts = {r["side"]: max(1, -(-r["count"] // block_rows)) for r in every.groupBy("side").count().collect()}
+    n_q, n_c = counts.get("q", 1), counts.get("c", 1)
 
-def target_ranks(queries: DataFrame, ranked: DataFrame) -> DataFrame:
-    """Every query document with the rank of its own translation, null where it has none."""
-    own = ranked.filter("query_tm = candidate_tm").select("model_name", F.col("query_tm").alias("tm_id"), "rank")
-    return queries.join(own, ["model_name", "tm_id"], "left").withColumn("language_label", language_label(F.col("language"))).withColumn("chunk_group", chunk_group(F.col("chunks")))
+    def dealt(rows: DataFrame, side: str, own: int, other: int) -> DataFrame:
+        mine = F.pmod(F.xxhash64("tm_id"), F.lit(own)).cast("int").alias("q" if side == "q" else "c")
+        with_all = F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias("c" if side == "q" else "q")
+        return rows.select("model_name", F.lit(side).alias("side"), "tm_id", "path", "embedding", "target", mine, with_all)
+
+    return dealt(queries, "q", n_q, n_c).unionByName(dealt(candidates, "c", n_c, n_q))
+
+
+def target_ranks(transcriptions: DataFrame, translations: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Every query document with the rank of its own translation among all of its model, and its five nearest.
+
+    Order: distance, record (as text), path. First each query's distance to its own translation is
+    found, then how many candidates come before that; only counts and five candidates for each query
+    and block leave a task, never all pairs. A vector of length zero is at distance NaN, which is last.
+    """
+    queries = query_documents(transcriptions, translations)
+    none = F.lit(None).cast("double").alias("target")
+    asked = transcriptions.join(queries.select("model_name", "tm_id"), ["model_name", "tm_id"], "left_semi").select("model_name", "tm_id", F.lit("").alias("path"), "embedding", none)
+    paths = translations.groupBy("model_name", "tm_id").agg(F.min("source_path").alias("path"))
+    given = translations.select("model_name", "tm_id", "embedding").join(paths, ["model_name", "tm_id"]).select("model_name", "tm_id", "path", "embedding", none)
+    own_schema = "model_name string, tm_id string, target double"
+
+    def own(table: pa.Table) -> pa.Table:
+        q_ids, q_at, q, _ = _by_document(table, "q")
+        c_ids, c_at, c, _ = _by_document(table, "c")
+        place = {t: i for i, t in enumerate(c_ids)}
+        c_ends = np.r_[c_at[1:], len(c)]
+        rows = []
+        for n, tm in enumerate(q_ids):
+            if tm in place:
+                i = place[tm]
+                end = q_at[n + 1] if n + 1 < len(q_at) else len(q)
+                rows.append((tm, float(_distances(q[q_at[n] : end], c[c_at[i] : c_ends[i]], np.zeros(1, dtype=np.int64))[0])))
+        return pa.table([pa.array([table["model_name"][0].as_py()] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64())], names=["model_name", "tm_id", "target"])
+
+    matched = given.join(asked.select("model_name", "tm_id").distinct(), ["model_name", "tm_id"], "left_semi")
+    # a query and its own translation hash alike: both sides are dealt to one block of as many
+    same = asked.withColumn("side", F.lit("q")).unionByName(matched.withColumn("side", F.lit("c"))).withColumn("block", F.pmod(F.xxhash64("tm_id"), F.lit(64)))
+    targets = same.groupBy("model_name", "block").applyInArrow(own, own_schema)
+    asked = asked.drop("target").join(targets, ["model_name", "tm_id"], "left").select("model_name", "tm_id", "path", "embedding", "target")
+    near_schema = "model_name string, tm_id string, ahead bigint, near array<struct<distance:double,tm_id:string,path:string>>"
+
+    def near(table: pa.Table) -> pa.Table:
+        q_ids, q_at, q, q_rows = _by_document(table, "q")
+        c_ids, c_at, c, c_rows = _by_document(table, "c")
+        names = c_rows["path"].to_pylist()
+        rows = []
+        for n, tm in enumerate(q_ids):
+            end = q_at[n + 1] if n + 1 < len(q_at) else len(q)
+            target = q_rows["target"][n].as_py()
+            if not len(c_ids):
+                continue
+            d = _distances(q[q_at[n] : end], c, c_at)
+            sort = np.where(np.isnan(d), np.inf, d)
+            best = np.lexsort((np.arange(len(d)), sort))[: len(RANKS)]
+            # a target at NaN is met as no target: candidates before it are counted as those that aren't NaN
+            goal = np.inf if target is None or np.isnan(target) else target
+            same_place = c_ids < tm
+            ahead = int(((sort < goal) | (sort == goal) & same_place & (c_ids != tm)).sum())
+            rows.append((tm, ahead, [{"distance": float(d[i]), "tm_id": c_ids[i], "path": names[i]} for i in best]))
+        near_type = pa.list_(pa.struct([("distance", pa.float64()), ("tm_id", pa.string()), ("path", pa.string())]))
+        return pa.table([pa.array([table["model_name"][0].as_py()] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], near_type)], names=["model_name", "tm_id", "ahead", "near"])
+
+    met = _blocks(asked, given, block_rows).groupBy("model_name", "q", "c").applyInArrow(near, near_schema)
+    merged = met.groupBy("model_name", "tm_id").agg((F.sum("ahead") + 1).cast("int").alias("rank"), F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, len(RANKS)).alias("nearest"))
+    out = queries.join(merged, ["model_name", "tm_id"], "left")
+    return out.withColumn("language_label", language_label(F.col("language"))).withColumn("chunk_group", chunk_group(F.col("chunks")))
 
 
 def retrieval_measures(ranks: DataFrame) -> DataFrame:
@@ -130,9 +173,7 @@ def evaluate(transcriptions: DataFrame, translations: DataFrame) -> Evaluation:
             raise ValueError(f"there are no {name} vectors")
         if any(r["min_dims"] != r["max_dims"] for r in found):
             raise ValueError(f"{name} vectors of one model have several dimensions")
-    queries = query_documents(transcriptions, translations)
-    ranked = ranked_candidates(document_distances(transcriptions.join(queries.select("model_name", "tm_id"), ["model_name", "tm_id"], "left_semi"), translations), translations)
-    rows = retrieval_measures(target_ranks(queries, ranked)).collect()
+    rows = retrieval_measures(target_ranks(transcriptions, translations)).collect()
     if not rows:
         raise ValueError("no record has both kinds of vectors")
     return Evaluation(rows)

@@ -116,7 +116,8 @@ def bm25_scores(documents: DataFrame, key: str, text: str, query: str) -> DataFr
     scored = terms.join(F.broadcast(frequencies), "lexeme").join(F.broadcast(statistics))
     idf = F.ln(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.try_divide(F.col("length"), F.col("average"))))
-    return scored.groupBy(key).agg(F.sum(idf * norm).alias("score"))
+    # rounded, so that equal scores are equal in whatever order they were summed
+    return scored.groupBy(key).agg(F.round(F.sum(idf * norm), 10).alias("score"))
 
 
 def bm25_search(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ostraka.plans import nested
+from ostraka.plans import nested, profiles, retrieval, texts
 
-MODULES = (nested,)
+MODULES = (retrieval, texts, profiles, nested)
 
 
 def queries():
@@ -16,4 +16,4 @@ def oracle_sql():
 
 
 def flagship(spark, root):
-    return nested.p3_found(spark, root)
+    return retrieval.bm25_topk(spark, root)

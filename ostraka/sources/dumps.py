@@ -38,7 +38,7 @@ def read_csv(spark: SparkSession, source: str, schema: T.StructType) -> DataFram
 def read_gazetteer(spark: SparkSession, source: str) -> DataFrame:
     """A list of places from CSV: a byte order mark and semicolons at ends are dropped, blanks are null."""
     raw = spark.read.options(**CSV).csv(source)
-    names = [re.sub(r";+$", "", c.lstrip("﻿").strip()) for c in raw.columns]
+    names = [re.sub(r";+$", "", c.lstrip("\ufeff").strip()) for c in raw.columns]
     if names != GAZETTEER.fieldNames():
         raise ValueError(f"{source} has the columns {names}")
     numbers = {"id", "begin_date", "end_date"}
