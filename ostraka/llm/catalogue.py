@@ -206,7 +206,17 @@ QUERIES = {
     "p10_segments": p10_segments,
     "p10_documents": p10_documents,
 }
-SQL: dict[str, str] = {}
+_BLANKS = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+SQL: dict[str, str] = {
+    "p4_found": """
+WITH e AS (SELECT model_name, xml_id, chunk_index, min(embedding)::DOUBLE[] AS v FROM (SELECT model_name, xml_id, chunk_index, embedding FROM transcription_embeddings UNION ALL SELECT model_name, xml_id, chunk_index, embedding FROM translation_embeddings)
+  GROUP BY ALL HAVING list_aggregate([abs(x) FOR x IN min(embedding)], 'max') > 0),
+s AS (SELECT a.model_name, a.xml_id AS ax, a.chunk_index AS ac, b.xml_id AS bx, b.chunk_index AS bc, list_cosine_similarity(a.v, b.v) AS sim FROM e a JOIN e b ON a.model_name = b.model_name AND (a.xml_id, a.chunk_index) <> (b.xml_id, b.chunk_index)),
+r AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY model_name, ax, ac ORDER BY sim DESC, bx, bc) <= 10)
+SELECT DISTINCT model_name, CASE WHEN (ax, ac) < (bx, bc) THEN ax ELSE bx END AS xml_id_a, CASE WHEN (ax, ac) < (bx, bc) THEN ac ELSE bc END AS chunk_index_a,
+  CASE WHEN (ax, ac) < (bx, bc) THEN bx ELSE ax END AS xml_id_b, CASE WHEN (ax, ac) < (bx, bc) THEN bc ELSE ac END AS chunk_index_b FROM r WHERE sim >= 0.9""",
+    "p5_found": f"SELECT DISTINCT xml_id, model_name, chunk_index FROM transcription_embeddings WHERE len(list_filter(regexp_split_to_array(document_text, '{_BLANKS}'), lambda w: w <> '')) > 500",
+}
 
 
 def queries():
