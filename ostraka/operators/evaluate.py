@@ -53,7 +53,7 @@ def _by_document(table: pa.Table, side: str) -> tuple[np.ndarray, np.ndarray, np
     part = table.filter(pc.equal(table["side"], side)).sort_by([("tm_id", "ascending")])
     ids = np.asarray(part["tm_id"].to_pylist(), dtype=object)
     starts = np.nonzero(np.r_[True, ids[1:] != ids[:-1]])[0] if len(ids) else np.zeros(0, dtype=np.int64)
-    vectors = np.asarray(part["embedding"].to_pylist(), dtype=np.float64).reshape(len(ids), -1)
+    vectors = np.asarray(part["embedding"].to_pylist(), dtype=np.float64) if len(ids) else np.zeros((0, 1))
     return ids[starts], starts, _unit(vectors), part.take(pa.array(starts))
 
 
@@ -92,7 +92,7 @@ def target_ranks(transcriptions: DataFrame, translations: DataFrame, block_rows:
         c_ends = np.r_[c_at[1:], len(c)]
         rows = []
         for n, tm in enumerate(q_ids):
-            if tm in place:
+            if len(c_ids) and tm in place:
                 i = place[tm]
                 end = q_at[n + 1] if n + 1 < len(q_at) else len(q)
                 rows.append((tm, float(_distances(q[q_at[n] : end], c[c_at[i] : c_ends[i]], np.zeros(1, dtype=np.int64))[0])))
