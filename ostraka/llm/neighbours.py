@@ -22,8 +22,9 @@ from pyspark.sql import types as T
 
 from ostraka.session import cut
 
-#: Vectors of each group from which the routing tree is fitted, at most.
+#: Vectors of each group from which the routing tree is fitted: so many, or SAMPLE_PER_SHARD for each shard.
 SAMPLE_ROWS = 4_096
+SAMPLE_PER_SHARD = 16
 #: A shard holds about so many different vectors; a group has at least LEAST_SHARDS shards, for parallel work.
 SHARD_ROWS = 65_536
 LEAST_SHARDS = 8
@@ -31,6 +32,7 @@ LEAF_ROWS = 256
 BLOCK_ROWS = 2_048
 #: Components are compared to so many decimals when copies are told.
 DECIMALS = 6
+COSINE_DECIMALS = 9
 
 
 def unit_rows(values: np.ndarray) -> np.ndarray:
@@ -112,7 +114,8 @@ def search(node: Node, vectors: np.ndarray, queries: np.ndarray, own: np.ndarray
         if at.point is None:
             for begin in range(0, len(rows), BLOCK_ROWS):
                 part = rows[begin : begin + BLOCK_ROWS]
-                similar = (queries[part] @ vectors[at.rows].T).astype(np.float64)
+                # rounded, so that equal pairs are equal in whatever block they are multiplied
+                similar = np.round(queries[part] @ vectors[at.rows].T, COSINE_DECIMALS)
                 similar[(similar < np.maximum(cosines[part, k - 1], least)[:, None]) | (at.rows[None, :] == own[part][:, None])] = -np.inf
                 better = np.isfinite(similar).any(axis=1)
                 if better.any():
@@ -180,7 +183,8 @@ def routing_trees(unique: DataFrame, sample_rows: int, shard_rows: int, least_sh
     place = F.row_number().over(Window.partitionBy("grp").orderBy(F.xxhash64("v"), "v"))
     usual = F.create_map(*[x for g, (_, size) in sizes.items() for x in (F.lit(g), F.lit(-size))])[F.col("grp")] if sizes else F.lit(None)
     samples: dict[str, list[bytes]] = {g: [] for g in sizes}
-    for r in unique.filter(F.length("v") == usual).select("grp", "v", place.alias("place")).filter(F.col("place") <= sample_rows).collect():
+    wanted = max([sample_rows, *(SAMPLE_PER_SHARD * -(-count // shard_rows) for count, _ in sizes.values())])
+    for r in unique.filter(F.length("v") == usual).select("grp", "v", place.alias("place")).filter(F.col("place") <= wanted).collect():
         samples[r["grp"]].append(bytes(r["v"]))
     trees = {}
     for group, (count, size) in sizes.items():
@@ -240,10 +244,11 @@ def similar_vectors(
     pair_schema = T.StructType([T.StructField("grp", grp_type), T.StructField("a", uid_type), T.StructField("b", uid_type), T.StructField("back", T.BooleanType()), T.StructField("similarity", T.DoubleType())])
 
     def look(table: pa.Table) -> pa.Table:
-        table = table.take(pa.array(sorted(range(table.num_rows), key=table["v"].to_pylist().__getitem__)))
+        names = [tuple((x is not None, x) for x in u.values()) for u in table["uid"].to_pylist()]
+        table = table.take(pa.array(sorted(range(table.num_rows), key=names.__getitem__)))
         home = np.nonzero(table["home"].to_numpy())[0]
         ask = np.nonzero(table["asks"].to_numpy())[0]
-        every = _matrix(table["v"])
+        every = _matrix(table["v"]).astype(np.float64)
         vectors = every[home]
         own = np.full(table.num_rows, -1, dtype=np.int64)
         own[home] = np.arange(len(home))

@@ -16,7 +16,7 @@ def brute(rows, k, least):
                 groups.setdefault(g, {}).setdefault(key, unit)
     for g, members in groups.items():
         for key, v in members.items():
-            near = sorted(((1.0 if (v == w).all() else float(np.float32(v @ w)), other) for other, w in members.items() if other != key), key=lambda x: (-round(x[0], 5), x[1]))
+            near = sorted(((1.0 if (v == w).all() else round(float(v.astype(float) @ w.astype(float)), 9), other) for other, w in members.items() if other != key), key=lambda x: (-x[0], x[1]))
             out[g, key] = [(o, s) for s, o in near if s >= least][:k]
     return out
 
