@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from ostraka.functions.text import language_label
 
-BLOCK_ROWS = 8_192
-TILE_ROWS = 1_024
+BLOCK_ROWS = 32_768
+TILE_ROWS = 128
 DECIMALS = 10
 RANKS = (1, 2, 3, 4, 5)
 
@@ -57,11 +57,14 @@ def _by_document(table: pa.Table, side: str) -> tuple[np.ndarray, np.ndarray, np
     return ids[starts], starts, _unit(vectors), part.take(pa.array(starts))
 
 
-def _blocks(queries: DataFrame, candidates: DataFrame, block_rows: int) -> DataFrame:
-    """Every pair of a block of queries and a block of candidates of one model; a document is in one block."""
-    every = queries.select("model_name", F.lit("q").alias("side")).unionByName(candidates.select("model_name", F.lit("c").alias("side")))
+def _block_counts(queries: DataFrame, candidates: DataFrame, block_rows: int) -> tuple[int, int]:
+    every = queries.select(F.lit("q").alias("side")).unionByName(candidates.select(F.lit("c").alias("side")))
     counts = {r["side"]: max(1, -(-r["count"] // block_rows)) for r in every.groupBy("side").count().collect()}
-    n_q, n_c = counts.get("q", 1), counts.get("c", 1)
+    return counts.get("q", 1), counts.get("c", 1)
+
+
+def _blocks(queries: DataFrame, candidates: DataFrame, n_q: int, n_c: int) -> DataFrame:
+    """Every pair of a block of queries and a block of candidates of one model; a document is in one block."""
 
     def dealt(rows: DataFrame, side: str, own: int, other: int) -> DataFrame:
         mine = F.pmod(F.xxhash64("tm_id"), F.lit(own)).cast("int").alias("q" if side == "q" else "c")
@@ -100,7 +103,8 @@ def target_ranks(transcriptions: DataFrame, translations: DataFrame, block_rows:
 
     matched = given.join(asked.select("model_name", "tm_id").distinct(), ["model_name", "tm_id"], "left_semi")
     # a query and its own translation hash alike: both sides are dealt to one block of as many
-    same = asked.withColumn("side", F.lit("q")).unionByName(matched.withColumn("side", F.lit("c"))).withColumn("block", F.pmod(F.xxhash64("tm_id"), F.lit(64)))
+    n_q, n_c = _block_counts(asked, given, block_rows)
+    same = asked.withColumn("side", F.lit("q")).unionByName(matched.withColumn("side", F.lit("c"))).withColumn("block", F.pmod(F.xxhash64("tm_id"), F.lit(8 * (n_q + n_c))))
     targets = same.groupBy("model_name", "block").applyInArrow(own, own_schema)
     asked = asked.drop("target").join(targets, ["model_name", "tm_id"], "left").select("model_name", "tm_id", "path", "embedding", "target")
     near_schema = "model_name string, tm_id string, ahead bigint, near array<struct<distance:double,tm_id:string,path:string>>"
@@ -126,7 +130,7 @@ def target_ranks(transcriptions: DataFrame, translations: DataFrame, block_rows:
         near_type = pa.list_(pa.struct([("distance", pa.float64()), ("tm_id", pa.string()), ("path", pa.string())]))
         return pa.table([pa.array([table["model_name"][0].as_py()] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], near_type)], names=["model_name", "tm_id", "ahead", "near"])
 
-    met = _blocks(asked, given, block_rows).groupBy("model_name", "q", "c").applyInArrow(near, near_schema)
+    met = _blocks(asked, given, n_q, n_c).groupBy("model_name", "q", "c").applyInArrow(near, near_schema)
     merged = met.groupBy("model_name", "tm_id").agg((F.sum("ahead") + 1).cast("int").alias("rank"), F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, len(RANKS)).alias("nearest"))
     out = queries.join(merged, ["model_name", "tm_id"], "left")
     return out.withColumn("language_label", language_label(F.col("language"))).withColumn("chunk_group", chunk_group(F.col("chunks")))
