@@ -49,6 +49,7 @@ LETTERS = {
 BOUNDARY = re.compile("(?<=[.!?;\u037e\u00b7\u0387\u2026])[\"\u00bb\u201d\u2019)\\]]*\\s+|(?:[^\\S\n]*\n){2,}\\s*")
 MARKS = re.compile("[\u0300-\u036f\u0483-\u0489\ufe20-\ufe2f]+")
 NO_LETTERS = re.compile(r"[\W\d_]+")
+NO_LETTERS_IN_LINE = re.compile(r"(?:[^\w\n]|[\d_])+")
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -71,6 +72,37 @@ def plain(text: str) -> str:
     return NO_LETTERS.sub(" ", MARKS.sub("", unicodedata.normalize("NFKD", text).lower()))
 
 
+def plain_all(texts: Sequence[str]) -> list[str]:
+    """:func:`plain` of many texts, those of each kind in one go."""
+    out = [""] * len(texts)
+    for ascii_only in (True, False):
+        at = [i for i, t in enumerate(texts) if t.isascii() is ascii_only]
+        whole = "\n".join([texts[i].replace("\n", " ") for i in at]).lower()
+        if not ascii_only:
+            whole = MARKS.sub("", unicodedata.normalize("NFKD", whole))
+        for i, t in zip(at, NO_LETTERS_IN_LINE.sub(" ", whole).split("\n")):
+            out[i] = t
+    return out
+
+
+def script_words(text: str) -> tuple[str | None, list[str]]:
+    """The script of most letters of a plain text, and the runs of that script."""
+    if text.isascii():
+        words = text.split()
+        return ("latin" if words else None), words
+    letters = len(text) - text.count(" ")
+    best: tuple[int, str | None, list[str]] = (0, None, [])
+    first = text.lstrip()[:1]
+    for script in sorted(LETTERS, key=lambda s: not LETTERS[s].match(first)):
+        words = LETTERS[script].findall(text)
+        n = sum(map(len, words))
+        if n > best[0]:
+            best = (n, script, words)
+            if 2 * n > letters:
+                break
+    return best[1], best[2]
+
+
 def script_of(text: str) -> str | None:
     """The script of most letters, None without letters."""
     if text.isascii():
@@ -102,13 +134,10 @@ class LanguageModel:
         """
         out: list[tuple[str, float] | None] = [None] * len(texts)
         by_script: dict[str, list[tuple[int, bytes]]] = {s: [] for s in SCRIPT_LANGUAGES}
-        for i, text in enumerate(texts):
-            script = script_of(text)
-            if script is None:
-                continue
-            words = LETTERS[script].findall(plain(text)) if script != "latin" or not text.isascii() else plain(text).split()
+        for i, text in enumerate(plain_all(texts)):
+            script, words = script_words(text)
             joined = " ".join(words)
-            if len(words) >= LEAST_WORDS and len(joined) >= LEAST_LETTERS:
+            if script and len(words) >= LEAST_WORDS and len(joined) >= LEAST_LETTERS:
                 by_script[script].append((i, joined.encode()))
         have = dict(self.contents)
         for script, found in by_script.items():
