@@ -93,12 +93,14 @@ def safe_relative_path(path: Column) -> Column:
 def complete_entries(entries: DataFrame, files: DataFrame) -> DataFrame:
     """Manifest entries (source_url, effective_url, files) all of whose files exist with that size and hash.
 
-    ``files`` has path, size and sha256. An entry without files isn't complete.
+    ``files`` has path, size and sha256. An entry without files isn't complete; a size or hash that it
+    doesn't record isn't compared.
     """
     listed = entries.select("source_url", "effective_url", F.explode("files").alias("f")).select("source_url", "effective_url", "f.path", "f.size", "f.sha256")
     there = files.select("path", F.col("size").alias("__size"), F.col("sha256").alias("__hash"))
-    joined = listed.join(there, "path", "left")
-    good = F.coalesce(safe_relative_path(F.col("path")) & (F.col("size") == F.col("__size")) & (F.col("sha256") == F.col("__hash")), F.lit(False))
+    joined = listed.join(there.withColumn("__there", F.lit(True)), "path", "left")
+    same = F.coalesce(F.col("size") == F.col("__size"), F.col("size").isNull()) & F.coalesce(F.col("sha256") == F.col("__hash"), F.col("sha256").isNull())
+    good = F.coalesce(F.col("__there") & safe_relative_path(F.col("path")) & same, F.lit(False))
     return joined.groupBy("source_url", "effective_url").agg(F.bool_and(good).alias("complete")).filter("complete").drop("complete")
 
 
