@@ -111,6 +111,8 @@ def mix_sources(sizes: DataFrame, key: str, source: str, tokens: str, targets: S
     Documents of a source that a mix doesn't name, with null source, or without tokens, aren't
     selected. Repeated keys are documents of their own. An empty table gives no rows.
     """
+    if key in ("mix_name", "source", "tokens", "copies"):
+        raise ValueError(f"the key column {key!r} clashes with a column that is made")
     targets = checked(targets)
     named = sorted({t.source for t in targets})
     rows = cut(sizes.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(tokens).cast("bigint").alias("tokens"), F.monotonically_increasing_id().alias("row")).filter((F.col("tokens") > 0) & F.col("source").isin(named)))

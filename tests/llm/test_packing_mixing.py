@@ -84,6 +84,8 @@ def test_sources_without_documents_and_bad_targets(spark):
     shares = {r.source: r.share for r in mixing.reached_shares(mixing.mix_sources(df, "id", "source", "n", targets), "id", targets).collect()}
     assert shares == {"a": 1.0, "nothing": 0.0}
     assert mixing.mix_sources(df.limit(0), "id", "source", "n", targets).count() == 0
+    with pytest.raises(ValueError):
+        mixing.mix_sources(df.withColumn("copies", F.col("id")), "copies", "source", "n", targets)
     for bad in ([mixing.Target("m", "a", 0.4, 1)], [mixing.Target("m", "a", 1.0, 0)], [mixing.Target("m", "a", 0.5, 1)] * 2):
         with pytest.raises(ValueError):
             mixing.checked(bad)
