@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 
 from ostraka.functions.dates import overlaps
 from ostraka.functions.text import lexemes
+from ostraka.session import cut
 
 K1, B = 1.2, 0.75
+#: Results of at most so many rows are sent to all tasks; more are joined by a shuffle.
+BROADCAST_ROWS = 10_000
 
 
 @dataclass(frozen=True)
@@ -102,13 +105,14 @@ def query_lexemes(query: str) -> list[str]:
 def bm25_scores(documents: DataFrame, key: str, text: str, query: str) -> DataFrame:
     """(key, score) of the documents that have a lexeme of the query.
 
-    Only documents whose text isn't null are searched. One pass gives lengths and statistics, one
-    the frequencies of the query's lexemes, counted inside each row without exploding its text.
+    Only documents whose text isn't null are searched. The texts are read once: each gives its length
+    and the lexemes of the query that it holds, and these few values are kept; statistics and
+    frequencies are counted from them.
     """
     wanted = query_lexemes(query)
     tokens = lexemes(F.col(text))
     hit = F.filter(tokens, lambda w: w.isin(*wanted)) if wanted else F.array().cast("array<string>")
-    rows = documents.filter(F.col(text).isNotNull()).select(key, F.size(tokens).cast("double").alias("length"), hit.alias("hits"))
+    rows = cut(documents.filter(F.col(text).isNotNull()).select(key, F.size(tokens).cast("double").alias("length"), hit.alias("hits")))
     statistics = rows.agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg("length").alias("average"))
     terms = rows.select(key, "length", F.explode("hits").alias("lexeme")).groupBy(key, "length", "lexeme").agg(F.count(F.lit(1)).cast("double").alias("tf"))
     frequencies = terms.groupBy("lexeme").agg(F.count(F.lit(1)).cast("double").alias("df"))
@@ -130,4 +134,5 @@ def bm25_search(
     field = "lemma_text" if use_lemmas else "text"
     chosen = filtered(documents, metadata_filter, metadata or {})
     best = bm25_scores(chosen, key, field, query_text).orderBy(F.desc("score"), key).limit(limit)
-    return documents.join(F.broadcast(best), key).select(key, *columns, "score").orderBy(F.desc("score"), key)
+    few = F.broadcast(best) if limit <= BROADCAST_ROWS else best
+    return documents.join(few, key).select(key, *columns, "score").orderBy(F.desc("score"), key)

@@ -116,7 +116,7 @@ class Warehouse:
         """Vectors of all documents, or of a sample of paired records; rows of the model outside go. The number embedded."""
         documents, done = self.read("transcriptions"), 0
         if sample is not None:
-            documents = documents.join(F.broadcast(embeddings.sampled_records(documents, sample, seed)), "tm_id", "left_semi")
+            documents = documents.join(embeddings.sampled_records(documents, sample, seed), "tm_id", "left_semi")
         for kind, name in KINDS.items():
             tag = edition_language(F.col("xml_content")) if kind == "transcription" else F.col("language")
             chunks = cut(embeddings.document_chunks(documents.filter(F.col("type") == kind), model, tag, chunk_size))
@@ -156,5 +156,5 @@ class Warehouse:
             sides = [s.filter(F.col("model_name") == model) for s in sides]
         if sample is not None:
             chosen = embeddings.sampled_records(self.read("transcriptions"), sample, seed).select(F.col("tm_id").cast("string").alias("tm_id"))
-            sides = [s.join(F.broadcast(chosen), "tm_id", "left_semi") for s in sides]
+            sides = [s.join(chosen, "tm_id", "left_semi") for s in sides]
         return evaluate.evaluate(*sides)
