@@ -137,7 +137,7 @@ def p8_packed(spark: SparkSession, root: str) -> DataFrame:
 def p8_fill(spark: SparkSession, root: str) -> DataFrame:
     """Containers of every run and how full they are."""
     bins = _packed(spark, root).groupBy("run_name", "container").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("items"))
-    runs = F.broadcast(table(spark, root, "pack_runs"))
+    runs = table(spark, root, "pack_runs")
     return bins.join(runs, "run_name").groupBy("run_name", "capacity_tokens").agg(
         F.count(F.lit(1)).alias("containers"), F.sum("tokens").alias("tokens"), F.max("tokens").alias("fullest"),
         (F.sum("tokens") / F.sum("capacity_tokens")).alias("fill"), F.max("items").alias("most_items"),
