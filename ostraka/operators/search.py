@@ -113,13 +113,14 @@ def bm25_scores(documents: DataFrame, key: str, text: str, query: str) -> DataFr
     tokens = lexemes(F.col(text))
     hit = F.filter(tokens, lambda w: w.isin(*wanted)) if wanted else F.array().cast("array<string>")
     rows = cut(documents.filter(F.col(text).isNotNull()).select(key, F.size(tokens).cast("double").alias("length"), hit.alias("hits")))
-    statistics = rows.agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg("length").alias("average"))
+    statistics = rows.agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg("length").alias("average")).first()
+    count, average = F.lit(statistics["n"]), F.lit(statistics["average"])
     terms = rows.select(key, "length", F.explode("hits").alias("lexeme")).groupBy(key, "length", "lexeme").agg(F.count(F.lit(1)).cast("double").alias("tf"))
     frequencies = terms.groupBy("lexeme").agg(F.count(F.lit(1)).cast("double").alias("df"))
-    # one row of statistics and one row for each lexeme of the query: bounded by the query
-    scored = terms.join(F.broadcast(frequencies), "lexeme").join(F.broadcast(statistics))
-    idf = F.ln(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.try_divide(F.col("length"), F.col("average"))))
+    # one row for each lexeme of the query: bounded by the query
+    scored = terms.join(F.broadcast(frequencies), "lexeme")
+    idf = F.ln(1 + (count - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    norm = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.try_divide(F.col("length"), average)))
     # rounded, so that equal scores are equal in whatever order they were summed
     return scored.groupBy(key).agg(F.round(F.sum(idf * norm), 10).alias("score"))
 
