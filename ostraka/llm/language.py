@@ -46,10 +46,23 @@ LETTERS = {
     "greek": re.compile("[\u0370-\u0373\u0376-\u037d\u037f\u0386\u0388-\u03e1\u03f0-\u03ff\u1f00-\u1fff]+"),
     "coptic": re.compile("[\u03e2-\u03ef\u2c80-\u2cff]+"),
 }
-BOUNDARY = re.compile("(?<=[.!?;\u037e\u00b7\u0387\u2026])[\"\u00bb\u201d\u2019)\\]]*\\s+|(?:[^\\S\n]*\n){2,}\\s*")
-MARKS = re.compile("[\u0300-\u036f\u0483-\u0489\ufe20-\ufe2f]+")
-NO_LETTERS = re.compile(r"[\W\d_]+")
-NO_LETTERS_IN_LINE = re.compile(r"(?:[^\w\n]|[\d_])+")
+BOUNDARY = re.compile("[.!?;\u037e\u00b7\u0387\u2026][\"\u00bb\u201d\u2019)\\]]*\\s+|\\n[^\\S\\n]*\\n\\s*")
+
+
+class _Plain(dict):
+    """What a character is in a plain text, found when it is first met: base letters in lower case, or a blank."""
+
+    def __missing__(self, point: int) -> str:
+        kept = []
+        for c in unicodedata.normalize("NFKD", chr(point).lower()):
+            if unicodedata.category(c)[0] != "M":
+                kept.append(c.replace("\u03c2", "\u03c3") if c.isalpha() else " ")
+        self[point] = found = "".join(kept)
+        return found
+
+
+_PLAIN = _Plain()
+_PLAIN[ord("\n")] = "\n"
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -65,24 +78,15 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def plain(text: str) -> str:
-    """Lower case without accents, figures and signs, words parted by one blank."""
-    if text.isascii():
-        return NO_LETTERS.sub(" ", text.lower())
-    return NO_LETTERS.sub(" ", MARKS.sub("", unicodedata.normalize("NFKD", text).lower()))
+def plain_all(texts: Sequence[str]) -> list[str]:
+    """Texts in lower case without accents, figures and signs, words parted by blanks; all in one go."""
+    if not texts:
+        return []
+    return "\n".join([t.replace("\n", " ") for t in texts]).translate(_PLAIN).split("\n")
 
 
-def plain_all(texts: Sequence[str]) -> list[str]:
-    """:func:`plain` of many texts, those of each kind in one go."""
-    out = [""] * len(texts)
-    for ascii_only in (True, False):
-        at = [i for i, t in enumerate(texts) if t.isascii() is ascii_only]
-        whole = "\n".join([texts[i].replace("\n", " ") for i in at]).lower()
-        if not ascii_only:
-            whole = MARKS.sub("", unicodedata.normalize("NFKD", whole))
-        for i, t in zip(at, NO_LETTERS_IN_LINE.sub(" ", whole).split("\n")):
-            out[i] = t
-    return out
+def plain(text: str) -> str:
+    return plain_all([text])[0]
 
 
 def script_words(text: str) -> tuple[str | None, list[str]]:
@@ -243,11 +247,13 @@ def fit_texts(labelled: Sequence[tuple[str, str]]) -> LanguageModel:
 def fit(df: DataFrame, key: str, text: str, label: str, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     """A model from at most ``sample_rows`` labelled rows of each language, chosen by hash of the key.
 
-    The keys are chosen first, without the texts; only the chosen rows' texts reach the driver.
+    The keys are chosen first, without the texts; only the chosen rows' texts reach the driver, those
+    over SAMPLE_CHARS left out.
     """
-    usable = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), language_code(F.col(label)).alias("code")).filter(F.col("code").isNotNull() & F.length("text").between(LEAST_LETTERS, SAMPLE_CHARS))
+    labelled = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), language_code(F.col(label)).alias("code")).filter(F.col("code").isNotNull())
     place = F.row_number().over(Window.partitionBy("code").orderBy(F.xxhash64("key"), "key"))
-    chosen = usable.select("key", "code").withColumn("place", place).filter(F.col("place") <= sample_rows).select("key").distinct()
+    chosen = labelled.select("key", "code").withColumn("place", place).filter(F.col("place") <= sample_rows).select("key").distinct()
+    usable = labelled.filter(F.length("text").between(LEAST_LETTERS, SAMPLE_CHARS))
     rows = usable.join(F.broadcast(chosen), "key").orderBy(F.xxhash64("key"), "key").limit(2 * sample_rows * len(LANGUAGES)).collect()
     return fit_texts([(r["code"], r["text"]) for r in rows])
 
