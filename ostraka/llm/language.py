@@ -34,8 +34,6 @@ LEAST_WORDS = 5
 LEAST_LETTERS = 20
 #: The relative margin between the best and the next size below which a sentence is undecided.
 MARGIN = 0.02
-#: A sampled sentence is weeded out when another language wins by this margin.
-FOREIGN = 0.1
 UNDECIDED = "und"
 
 # The scripts of the languages told apart.
@@ -199,12 +197,23 @@ def _model(samples: dict[str, list[str]], novel: bool = False) -> LanguageModel:
     return LanguageModel(tuple((c, _content(s, novel)) for c, s in samples.items() if s))
 
 
+def _speaks_for(found: Sequence[tuple[str, float] | None], own: Sequence[str], code: str, pure: bool) -> bool:
+    """Whether the sentences of a text belong to its label: by weight, or, ``pure``, none to another."""
+    weight: Counter[str] = Counter()
+    for t, f in zip(own, found):
+        if f:
+            weight[f[0]] += f[1] * len(t)
+            if pure and f[0] != code and f[1] >= MARGIN:
+                return False
+    return weight[code] > 0 and max(weight, key=weight.get) == code
+
+
 def fit_texts(labelled: Sequence[tuple[str, str]]) -> LanguageModel:
     """A model from (code, text) pairs, some of which may be labelled wrongly or mixed.
 
     Each half is told apart by the other half's dictionaries. Twice the texts are kept that these
-    give, as a whole, to their label; at last the sentences in them that another language claims
-    are left out.
+    give, as a whole, to their label; then, as the dictionaries grow cleaner, three times those in
+    which no other language claims a sentence.
     """
     halves: list[dict[str, list[list[str]]]] = [{}, {}]
     for n, (code, text) in enumerate(sorted(set(labelled))):
@@ -217,21 +226,15 @@ def fit_texts(labelled: Sequence[tuple[str, str]]) -> LanguageModel:
                     own.append(joined)
         if own:
             halves[n % 2].setdefault(code, []).append(own)
-    samples = [{code: [t for own in texts for t in own] for code, texts in h.items()} for h in halves]
-    for last in (False, False, True):
-        models = [_model(s) for s in samples]
-        samples = [{}, {}]
+    kept = halves
+    for pure in (False, False, True, True, True):
+        models = [_model({code: [t for own in texts for t in own] for code, texts in h.items()}) for h in kept]
+        kept = [{}, {}]
         for here, other in ((0, 1), (1, 0)):
             for code, texts in halves[here].items():
-                kept: list[str] = []
-                for own in texts:
-                    found = models[other].classify(own)
-                    weight: Counter[str] = Counter()
-                    for t, f in zip(own, found):
-                        weight[f[0] if f else code] += f[1] * len(t) if f else 0
-                    if max(weight, key=weight.get) == code and weight[code] > 0:
-                        kept += [t for t, f in zip(own, found) if not last or f and (f[0] == code or f[1] < FOREIGN)]
-                samples[here][code] = kept if kept and code in dict(models[other].contents) else [t for own in texts for t in own]
+                good = [own for own in texts if _speaks_for(models[other].classify(own), own, code, pure)]
+                kept[here][code] = good if good and code in dict(models[other].contents) else texts
+    samples = [{code: [t for own in texts for t in own] for code, texts in h.items()} for h in kept]
     # one sentence in the samples of several languages is kept where it occurs most
     times = {code: Counter(t for s in samples for t in s.get(code, ())) for code in LANGUAGES}
     samples = [{code: [t for t in s.get(code, ()) if all(times[code][t] > n[t] for c, n in times.items() if c != code)] for code in LANGUAGES} for s in samples]
