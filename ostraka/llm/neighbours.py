@@ -213,7 +213,9 @@ def similar_vectors(
     asks = F.lit(True) if query is None else F.coalesce(query, F.lit(False))
     rows = df.select(F.col(group).cast("string").alias("grp"), F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)]).alias("key"), asks.alias("asks"), unit_vector(F.col(vector)).alias("v"))
     rows = cut(rows.filter(F.col("v").isNotNull() & F.col("grp").isNotNull()).groupBy("grp", "key").agg(F.min("v").alias("v"), F.max("asks").alias("asks")))
-    unique = cut(rows.groupBy("grp", "v").agg(F.min("key").alias("uid"), F.max("asks").alias("asks"), F.count(F.lit(1)).alias("copies")))
+    # copies are told by a digest, so that later joins needn't move the vectors
+    rows = rows.withColumn("cid", F.unhex(F.md5("v")))
+    unique = cut(rows.groupBy("grp", "cid").agg(F.min("v").alias("v"), F.min("key").alias("uid"), F.max("asks").alias("asks"), F.count(F.lit(1)).alias("copies")))
     trees = routing_trees(unique, sample_rows, shard_rows, least_shards)
     reach = float(angles(np.array([least]))[0]) / factor
     uid_type, grp_type = unique.schema["uid"].dataType, T.StringType()
@@ -266,9 +268,9 @@ def similar_vectors(
     pairs = both.groupBy("grp", "a", "b").agg(F.max("similarity").alias("similarity"))
 
     # members of the vectors that occur under several keys; all others are their own only member
-    several = unique.filter("copies > 1").select("grp", "v", "uid")
-    owned = rows.join(several, ["grp", "v"], "left").select("grp", "key", "asks", F.coalesce("uid", "key").alias("uid"))
-    members = rows.join(several, ["grp", "v"]).select("grp", "uid", "key").withColumn("place", F.row_number().over(Window.partitionBy("grp", "uid").orderBy("key"))).filter(F.col("place") <= k + 1)
+    several = unique.filter("copies > 1").select("grp", "cid", "uid")
+    owned = rows.select("grp", "key", "asks", "cid").join(several, ["grp", "cid"], "left").select("grp", "key", "asks", F.coalesce("uid", "key").alias("uid"))
+    members = rows.select("grp", "key", "cid").join(several, ["grp", "cid"]).select("grp", "uid", "key").withColumn("place", F.row_number().over(Window.partitionBy("grp", "uid").orderBy("key"))).filter(F.col("place") <= k + 1)
     partners = pairs.join(members.select("grp", F.col("uid").alias("b"), F.col("key").alias("other")), ["grp", "b"], "left").select("grp", "a", F.coalesce("other", "b").alias("key"), "similarity")
     copies = members.select("grp", F.col("uid").alias("a"), "key", F.lit(1.0).alias("similarity"))
     nearest = Window.partitionBy("grp", "a").orderBy(F.desc("similarity"), "key")
