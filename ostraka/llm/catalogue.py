@@ -37,6 +37,18 @@ def _snapshot(spark: SparkSession, root: str, text: str = "text", ledger: DataFr
     return tokens.measured(t, "transcription_id", text, slices, ledger)
 
 
+def p2_tokens(spark: SparkSession, root: str) -> DataFrame:
+    """Tokens of every row, and in total of every slice and of all coarser ones.
+
+    ``level`` is null in the lines of single rows; elsewhere it is the grouping id of the total. The
+    texts are encoded once; rows and totals are taken from the counts.
+    """
+    counted = cut(_snapshot(spark, root))
+    rows = counted.select(F.lit(None).cast("int").alias("level"), F.col("key").alias("transcription_id"), *SLICES, F.lit(1).cast("bigint").alias("documents"), "tokens")
+    totals = tokens.token_cube(counted, SLICES).select("level", F.lit(None).cast("bigint").alias("transcription_id"), *SLICES, "documents", "tokens")
+    return rows.unionByName(totals)
+
+
 def p2_token_budget(spark: SparkSession, root: str) -> DataFrame:
     """Tokens of every slice and of all coarser ones."""
     return tokens.token_cube(_snapshot(spark, root), SLICES)
@@ -187,6 +199,7 @@ def p10_documents(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found,
     "p1_canonical": p1_canonical,
+    "p2_tokens": p2_tokens,
     "p2_token_counts": p2_token_counts,
     "p2_token_budget": p2_token_budget,
     "p2_token_delta": p2_token_delta,

@@ -60,3 +60,17 @@ def test_deltas_lead_from_one_cube_to_the_next(spark):
     got = sorted((r.source, r.documents, r.tokens) for r in tokens.apply_delta(cells(a), delta, ["source"]).collect())
     assert got == sorted((r.source, r.documents, r.tokens) for r in cells(b).collect())
     assert tokens.cube_delta(a, a, ["source"]).count() == 0
+
+
+def test_rows_and_totals_come_out_together(spark, data):
+    from ostraka.llm.catalogue import p2_tokens
+
+    rows = p2_tokens(spark, data).collect()
+    single = [r for r in rows if r.level is None]
+    assert len(single) == spark.read.parquet(f"{data}/transcriptions.parquet").count()
+    whole = [r for r in rows if r.level == 7]
+    assert [(r.documents, r.tokens) for r in whole] == [(len(single), sum(r.tokens for r in single))]
+    for r in rows:
+        if r.level == 0:
+            mine = [s for s in single if (s.source, s.language, s.type) == (r.source, r.language, r.type)]
+            assert (r.documents, r.tokens) == (len(mine), sum(s.tokens for s in mine))
