@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 
 #: The characters of Unicode White_Space.
 BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Control characters that aren't white space, though str.split cuts there.
+SEPARATORS = re.compile("[\x1c-\x1f]")
 WORD = re.compile(f"[^{BLANKS}]+")
 SENTENCE_END = re.compile("[.!?;\u037e\u00b7\u0387\u2026]+[\"'\u00bb\u201d\u2019)\\]]*\\Z")
 CLAUSE_END = re.compile("[,:\u2014\u2013)]\\Z")
@@ -36,8 +38,15 @@ def word_spans(text: str) -> list[tuple[int, int]]:
 
 
 def over(text: str | None, limit: int) -> bool:
-    """Whether a text has more words than the limit; str.split cuts at no fewer places than Unicode does."""
-    return bool(text) and len(text) > 2 * limit and len(text.split()) > limit and sum(1 for _ in WORD.finditer(text)) > limit
+    """Whether a text has more words than the limit.
+
+    str.split knows the same blanks, but for four control characters that it takes for blanks too.
+    """
+    if not text or len(text) <= 2 * limit:
+        return False
+    if SEPARATORS.search(text):
+        return sum(1 for _ in WORD.finditer(text)) > limit
+    return len(text.split()) > limit
 
 
 def cut_penalties(text: str, spans: Sequence[tuple[int, int]]) -> np.ndarray:

@@ -49,6 +49,11 @@ def test_pieces_cover_the_words_and_overlap(text, limit, overlap):
         assert n <= limit and s.WORD.findall(piece) == words[a : a + n] and b == a + n - overlap
 
 
+@pytest.mark.parametrize(("text", "limit", "more"), [("a \x1c", 1, True), ("a\x1cb c", 2, False), ("a\x1cb c", 1, True), ("a\u200bb c", 1, True), ("a\u00a0b", 1, True), (None, 1, False), ("ab", 1, False)])
+def test_words_are_those_of_unicode(text, limit, more):
+    assert s.over(text, limit) is more
+
+
 def test_cuts_stand_at_sentence_ends():
     text = " ".join("one two three four five six seven." for _ in range(10))
     assert [p.endswith(".") for _, _, p in s.split_text(text, 20, 0)] == [True] * len(s.split_text(text, 20, 0))
