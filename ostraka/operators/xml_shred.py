@@ -17,76 +17,82 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NODE_FIELDS = ("node_no", "parent_no", "tag")
 KINDS = ("element", "attribute", "text")
+FIELDS = ("kind", "node_no", "parent_no", "ordinal", "label", "scalar")
+ARROW = (pa.int8(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string())
+#: Records whose nodes leave the parser as one batch.
+BATCH_RECORDS = 64
 
 
-def local_name(name: str) -> str:
-    """The name without its prefix."""
-    return name.rpartition(":")[2]
+class _LocalNames(dict):
+    """Names without their prefixes, found when they are first met."""
 
+    def __missing__(self, name: str) -> str:
+        self[name] = found = name.rpartition(":")[2]
+        return found
 
-def element_rows(xml: str) -> tuple[list[int], list[str]] | None:
-    """Parents and local names of the elements in order of their start tags, None when malformed."""
-    parents: list[int] = []
-    tags: list[str] = []
-    open_nodes = [0]
-    push, pop, parent_of, tag_of = open_nodes.append, open_nodes.pop, parents.append, tags.append
 
-    def start(name, _attributes):
-        parent_of(open_nodes[-1])
-        tag_of(name)
-        push(len(tags))
+_LOCAL = _LocalNames()
 
-    def end(_name):
-        pop()
 
-    parser = expat.ParserCreate("utf-8")
-    parser.StartElementHandler = start
-    parser.EndElementHandler = end
-    try:
-        parser.Parse(xml.encode("utf-8", "surrogatepass"), True)
-    except (expat.ExpatError, ValueError):
-        return None
-    return parents, tags
+def local_name(name: str) -> str:
+    """The name without its prefix."""
+    return _LOCAL[name]
 
 
-def node_rows(xml: str) -> list[tuple] | None:
-    """All nodes as (kind, node_no, parent_no, ordinal, label, scalar), None when malformed.
+def node_columns(xml: str) -> tuple[list, ...] | None:
+    """All nodes as columns (kind, node_no, parent_no, ordinal, label, scalar), None when malformed.
 
-    Elements are numbered from 1 in order of their start tags; attribute and text nodes have no
-    number of their own and hang on ``parent_no``. ``ordinal`` counts, from 1, the elements among
-    the children of one parent, the attributes of one element, or its pieces of text. The scalar
-    of an element is its direct text with white space collapsed, null when it has none.
+    ``kind`` is a place in KINDS. Elements are numbered from 1 in order of their start tags; attribute
+    and text nodes have no number of their own and hang on ``parent_no``. ``ordinal`` counts, from 1,
+    the elements among the children of one parent, the attributes of one element, or its pieces of
+    text. The scalar of an element is its direct text with white space collapsed, null when it has none.
     """
-    rows: list[tuple] = []
-    own_text: dict[int, list[str]] = {}
-    children: dict[int, int] = {0: 0}
+    kinds: list[int] = []
+    numbers: list[int | None] = []
+    parents: list[int] = []
+    ordinals: list[int] = []
+    labels: list[str] = []
+    scalars: list[str | None] = []
+    columns = (kinds, numbers, parents, ordinals, labels, scalars)
+    places = [0]  # row of the element with that number; none has number 0
+    pieces: dict[int, list[str]] = {}
+    children = [0]
     open_nodes = [0]
-    count = 0
     buffer: list[str] = []
 
     def flush():
-        if buffer:
-            text = " ".join("".join(buffer).split())
-            buffer.clear()
-            if text and open_nodes[-1]:
-                own_text.setdefault(open_nodes[-1], []).append(text)
+        text = " ".join("".join(buffer).split())
+        buffer.clear()
+        if text and open_nodes[-1]:
+            pieces.setdefault(open_nodes[-1], []).append(text)
 
     def start(name, attributes):
-        nonlocal count
-        flush()
-        count += 1
-        parent = open_nodes[-1]
+        if buffer:
+            flush()
+        number, parent = len(places), open_nodes[-1]
         children[parent] += 1
-        children[count] = 0
-        rows.append(("element", count, parent, children[parent], local_name(name)))
-        for i in range(0, len(attributes), 2):
-            rows.append(("attribute", None, count, i // 2 + 1, local_name(attributes[i]), attributes[i + 1]))
-        open_nodes.append(count)
+        children.append(0)
+        places.append(len(kinds))
+        kinds.append(0)
+        numbers.append(number)
+        parents.append(parent)
+        ordinals.append(children[parent])
+        labels.append(_LOCAL[name])
+        scalars.append(None)
+        open_nodes.append(number)
+        if attributes:
+            n = len(attributes) // 2
+            kinds.extend([1] * n)
+            numbers.extend([None] * n)
+            parents.extend([number] * n)
+            ordinals.extend(range(1, n + 1))
+            labels.extend([_LOCAL[a] for a in attributes[::2]])
+            scalars.extend(attributes[1::2])
 
     def end(_name):
-        flush()
+        if buffer:
+            flush()
         open_nodes.pop()
 
     parser = expat.ParserCreate("utf-8")
@@ -99,10 +105,16 @@ def node_rows(xml: str) -> list[tuple] | None:
         parser.Parse(xml.encode("utf-8", "surrogatepass"), True)
     except (expat.ExpatError, ValueError):
         return None
-    out = [r if r[0] == "attribute" else (*r, " ".join(own_text[r[1]]) if r[1] in own_text else None) for r in rows]
-    for node, pieces in own_text.items():
-        out.extend(("text", None, node, i, "text()", piece) for i, piece in enumerate(pieces, 1))
-    return out
+    for number, found in pieces.items():
+        scalars[places[number]] = " ".join(found)
+        n = len(found)
+        kinds.extend([2] * n)
+        numbers.extend([None] * n)
+        parents.extend([number] * n)
+        ordinals.extend(range(1, n + 1))
+        labels.extend(["text()"] * n)
+        scalars.extend(found)
+    return columns
 
 
 def _arrow_keys(batch: pa.RecordBatch, names: Sequence[str], repeats: np.ndarray) -> list[pa.Array]:
@@ -119,95 +131,75 @@ def _check_keys(df: DataFrame, xml: str, keys: Sequence[str], produced: Iterable
         raise ValueError(f"no such columns: {missing}")
 
 
-def shred_elements(df: DataFrame, xml: str, keys: Sequence[str]) -> DataFrame:
-    """One row per element: the keys, ``node_no`` from 1 in start-tag order, ``parent_no``, ``tag``.
+def shred(df: DataFrame, xml: str, keys: Sequence[str]) -> DataFrame:
+    """The adjacency table: keys, kind, node_no, parent_no, ordinal, label, scalar.
 
-    Nulls, empty texts and XML that isn't well-formed give no rows; repeated records are shredded
-    each on their own; other columns are dropped. No shuffle: every record is parsed where it lies.
+    ``kind`` is element, attribute or text. Nulls, empty texts and XML that isn't well-formed give no
+    rows; repeated records are shredded each on their own; other columns are dropped. No shuffle:
+    every record is parsed where it lies, once. Store the table (``session.stored``) when more than
+    one reader needs it.
     """
-    _check_keys(df, xml, keys, NODE_FIELDS)
+    _check_keys(df, xml, keys, FIELDS)
     keys = list(keys)
-    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("node_no", T.IntegerType()), T.StructField("parent_no", T.IntegerType()), T.StructField("tag", T.StringType())])
+    types = (T.StringType(), T.IntegerType(), T.IntegerType(), T.IntegerType(), T.StringType(), T.StringType())
+    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(n, t) for n, t in zip(FIELDS, types)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain: dict[str, str] = {}
+        names = pa.array(KINDS)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
+            for begin in range(0, batch.num_rows, BATCH_RECORDS):
+                part = batch.slice(begin, BATCH_RECORDS)
                 counts = np.zeros(part.num_rows, dtype=np.int64)
-                parents: list[int] = []
-                tags: list[str] = []
+                whole: tuple[list, ...] = tuple([] for _ in FIELDS)
                 for i, value in enumerate(part.column(part.num_columns - 1).to_pylist()):
-                    found = element_rows(value) if value else None
+                    found = node_columns(value) if value else None
                     if found:
                         counts[i] = len(found[0])
-                        parents += found[0]
-                        tags += found[1]
-                if not tags:
-                    continue
-                for name in set(tags) - plain.keys():
-                    plain[name] = local_name(name)
-                ends = np.cumsum(counts)
-                numbers = np.arange(1, len(tags) + 1) - np.repeat(ends - counts, counts)
-                columns = _arrow_keys(part, keys, counts) + [pa.array(numbers.astype(np.int32)), pa.array(np.asarray(parents, dtype=np.int32)), pa.array([plain[t] for t in tags], pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*keys, *NODE_FIELDS])
+                        for column, own in zip(whole, found):
+                            column += own
+                if whole[0]:
+                    columns = [pa.array(c, t) for c, t in zip(whole, ARROW)]
+                    columns[0] = names.take(columns[0])
+                    yield pa.RecordBatch.from_arrays(_arrow_keys(part, keys, counts) + columns, names=[*keys, *FIELDS])
 
     return df.select(*keys, F.col(xml).cast("string").alias("__xml")).mapInArrow(run, schema)
 
 
-def shred(df: DataFrame, xml: str, keys: Sequence[str]) -> DataFrame:
-    """The whole adjacency table: keys, kind, node_no, parent_no, ordinal, label, scalar.
-
-    ``kind`` is element, attribute or text. The same rules for nulls, malformed values and
-    repeated records hold as in :func:`shred_elements`.
-    """
-    fields = ("kind", "node_no", "parent_no", "ordinal", "label", "scalar")
-    _check_keys(df, xml, keys, fields)
-    keys = list(keys)
-    types = (T.StringType(), T.IntegerType(), T.IntegerType(), T.IntegerType(), T.StringType(), T.StringType())
-    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(n, t) for n, t in zip(fields, types)])
-    arrow = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 64):
-                part = batch.slice(begin, 64)
-                counts = np.zeros(part.num_rows, dtype=np.int64)
-                rows: list[tuple] = []
-                for i, value in enumerate(part.column(part.num_columns - 1).to_pylist()):
-                    found = node_rows(value) if value else None
-                    if found:
-                        counts[i] = len(found)
-                        rows += found
-                if rows:
-                    columns = [pa.array(c, t) for c, t in zip(zip(*rows), arrow)]
-                    yield pa.RecordBatch.from_arrays(_arrow_keys(part, keys, counts) + columns, names=[*keys, *fields])
+def elements(nodes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The elements of an adjacency table: keys, node_no, parent_no, tag."""
+    if "tag" in keys:
+        raise ValueError("the key column 'tag' clashes with a column that is made")
+    return nodes.filter(F.col("kind") == "element").select(*keys, "node_no", "parent_no", F.col("label").alias("tag"))
 
-    return df.select(*keys, F.col(xml).cast("string").alias("__xml")).mapInArrow(run, schema)
 
+def _wanted(columns: dict[str, str]) -> dict[str, tuple[str, str]]:
+    """(kind, label) of every path: ``@attribute``, ``text()`` or the label of a child element."""
+    return {name: ("attribute", path[1:]) if path.startswith("@") else ("text", "text()") if path == "text()" else ("element", path) for name, path in columns.items()}
 
-def entity_table(nodes: DataFrame, tag: str, columns: dict[str, str], keys: Sequence[str]) -> DataFrame:
-    """The entities ``tag`` of an adjacency table, one row each, with their scalar children pivoted.
 
-    ``columns`` maps an output name to ``@attribute``, ``text()`` or the label of a child element
-    whose own text is wanted (the first one, by ordinal). Absent children give null. Every row
-    keeps the record keys, ``node_no``, ``parent_no`` and ``ordinal``. A null among the keys makes
-    the records with it fall together, as any group does.
-    """
-    keys = list(keys)
-    wanted = {}
-    for name, path in columns.items():
-        kind, label = ("attribute", path[1:]) if path.startswith("@") else ("text", "text()") if path == "text()" else ("element", path)
-        wanted[name] = (kind, label)
+def _scalar_children(nodes: DataFrame, tag: str, wanted: Sequence[tuple[str, str]], keys: Sequence[str]) -> DataFrame:
+    """Object nodes ``tag`` joined with those of their children that are wanted; objects without any stay."""
     objects = nodes.filter((F.col("kind") == "element") & (F.col("label") == tag)).select(*keys, "node_no", F.col("parent_no").alias("up"), F.col("ordinal").alias("place"))
     match = F.lit(False)
-    for kind, label in set(wanted.values()):
+    for kind, label in sorted(set(wanted)):
         match = match | ((F.col("kind") == kind) & (F.col("label") == label))
     scalars = nodes.filter(match).select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("parent_no").alias("__owner"), "kind", "label", F.col("ordinal").alias("__at"), "scalar")
     on = F.col("node_no") == F.col("__owner")
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    joined = objects.join(scalars, on, "left")
+    return objects.join(scalars, on, "left")
+
+
+def entity_table(nodes: DataFrame, tag: str, columns: dict[str, str], keys: Sequence[str]) -> DataFrame:
+    """The entities ``tag`` of an adjacency table, one row each, with their scalar children pivoted.
+
+    ``columns`` maps an output name to ``@attribute``, ``text()`` or the label of a child element
+    whose own text is wanted (the first one, by ordinal; :func:`repeated_children` has a row for every
+    one). Absent children give null. Every row keeps the record keys, ``node_no``, ``parent_no`` and
+    ``ordinal``. A null among the keys makes the records with it fall together, as any group does.
+    """
+    keys, wanted = list(keys), _wanted(columns)
+    joined = _scalar_children(nodes, tag, list(wanted.values()), keys)
 
     def pick(kind: str, label: str) -> Column:
         hit = (F.col("kind") == kind) & (F.col("label") == label)
@@ -219,3 +211,13 @@ def entity_table(nodes: DataFrame, tag: str, columns: dict[str, str], keys: Sequ
     aggregates = [pick(*w).alias(n) for n, w in wanted.items()]
     grouped = joined.groupBy(*keys, "node_no", "up", "place").agg(*aggregates)
     return grouped.select(*keys, "node_no", F.col("up").alias("parent_no"), F.col("place").alias("ordinal"), *wanted)
+
+
+def repeated_children(nodes: DataFrame, tag: str, labels: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Children ``labels`` of the entities ``tag``, one row each however often they repeat.
+
+    Keys, ``node_no`` of the entity, ``label``, ``ordinal`` among its children, ``scalar``. Entities
+    without such a child give no row; an element without text of its own has a null scalar.
+    """
+    joined = _scalar_children(nodes, tag, [("element", label) for label in labels], list(keys))
+    return joined.filter(F.col("label").isNotNull()).select(*keys, "node_no", "label", F.col("__at").alias("ordinal"), "scalar")

@@ -5,26 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ostraka.operators.xml_shred import entity_table, shred, shred_elements
+from ostraka.operators.xml_shred import elements, entity_table, repeated_children, shred
+from ostraka.session import stored
 from ostraka.sources.tables import table
 
-
-def p3_found(spark: SparkSession, root: str) -> DataFrame:
-    return shred_elements(table(spark, root, "transcriptions"), "xml_content", ["transcription_id"])
+KEYS = ["transcription_id"]
 
 
 def _nodes(spark: SparkSession, root: str) -> DataFrame:
-    return shred(table(spark, root, "transcriptions"), "xml_content", ["transcription_id"])
+    return shred(table(spark, root, "transcriptions"), "xml_content", KEYS)
+
+
+def _stored_nodes(spark: SparkSession, root: str) -> DataFrame:
+    """The adjacency table, written once: objects and scalars are read from it, no record is parsed twice."""
+    return stored(_nodes(spark, root), "nodes")
+
+
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    return elements(_nodes(spark, root), KEYS)
 
 
 def p3_gaps(spark: SparkSession, root: str) -> DataFrame:
     """Every gap with its reason, extent and unit."""
-    return entity_table(_nodes(spark, root), "gap", {"reason": "@reason", "quantity": "@quantity", "extent": "@extent", "unit": "@unit"}, ["transcription_id"])
+    return entity_table(_stored_nodes(spark, root), "gap", {"reason": "@reason", "quantity": "@quantity", "extent": "@extent", "unit": "@unit"}, KEYS)
 
 
 def p3_textparts(spark: SparkSession, root: str) -> DataFrame:
     """Every division with its kind, number, language and heading."""
-    return entity_table(_nodes(spark, root), "div", {"type": "@type", "subtype": "@subtype", "n": "@n", "lang": "@lang", "head": "head"}, ["transcription_id"])
+    return entity_table(_stored_nodes(spark, root), "div", {"type": "@type", "subtype": "@subtype", "n": "@n", "lang": "@lang", "head": "head"}, KEYS)
+
+
+def p3_paragraphs(spark: SparkSession, root: str) -> DataFrame:
+    """Every paragraph and block of a division, in order, with the text that stands in it directly."""
+    return repeated_children(_stored_nodes(spark, root), "div", ["p", "ab", "head"], KEYS)
 
 
 def p3_node_profile(spark: SparkSession, root: str) -> DataFrame:
@@ -36,4 +49,18 @@ def p3_node_profile(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-QUERIES = {"p3_found": p3_found, "p3_gaps": p3_gaps, "p3_textparts": p3_textparts, "p3_node_profile": p3_node_profile}
+_TAGS = r"""
+WITH x AS (SELECT transcription_id, regexp_extract_all(regexp_replace(xml_content, '<!--.*?-->|<\?.*?\?>|<!\[CDATA\[.*?\]\]>|<![^>]*>', '', 'gs'), '<[^>]*>') AS tags FROM transcriptions),
+t AS (SELECT transcription_id, unnest(tags) AS tag, generate_subscripts(tags, 1) AS i FROM x),
+k AS (SELECT *, starts_with(tag, '</') AS closing, ends_with(tag, '/>') AS alone, CASE WHEN starts_with(tag, '</') THEN -1 WHEN ends_with(tag, '/>') THEN 0 ELSE 1 END AS step FROM t),
+d AS (SELECT *, sum(step) OVER (PARTITION BY transcription_id ORDER BY i) AS level, sum(step) OVER (PARTITION BY transcription_id) AS balance FROM k),
+n AS (SELECT transcription_id, tag, (level + CASE WHEN alone THEN 1 ELSE 0 END)::INTEGER AS depth, row_number() OVER (PARTITION BY transcription_id ORDER BY i)::INTEGER AS node_no FROM d WHERE NOT closing AND balance = 0),
+e AS (SELECT c.transcription_id, c.node_no, coalesce(p.node_no, 0)::INTEGER AS parent_no, regexp_extract(c.tag, '^<(?:[^\s/>:]+:)?([^\s/>]+)', 1) AS label, c.tag
+  FROM n c ASOF LEFT JOIN n p ON c.transcription_id = p.transcription_id AND c.depth - 1 = p.depth AND c.node_no > p.node_no)"""
+_VALUE = r"""nullif(regexp_extract(tag, '\s{0}\s*=\s*("([^"]*)"|''([^'']*)'')', 2) || regexp_extract(tag, '\s{0}\s*=\s*("([^"]*)"|''([^'']*)'')', 3), '') AS {0}"""
+SQL = {
+    "p3_found": _TAGS + " SELECT transcription_id, node_no, parent_no, label AS tag FROM e",
+    "p3_gaps": _TAGS + ", o AS (SELECT *, row_number() OVER (PARTITION BY transcription_id, parent_no ORDER BY node_no)::INTEGER AS ordinal FROM e) SELECT transcription_id, node_no, parent_no, ordinal, "
+    + ", ".join(_VALUE.format(c) for c in ("reason", "quantity", "extent", "unit")) + " FROM o WHERE label = 'gap'",
+}
+QUERIES = {"p3_found": p3_found, "p3_gaps": p3_gaps, "p3_textparts": p3_textparts, "p3_paragraphs": p3_paragraphs, "p3_node_profile": p3_node_profile}
