@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ostraka.functions.languages import edition_language, language_code
-from ostraka.llm import gazetteer, language, lookalike, mixing, names, neighbours, packing, splitting, tokens
+from ostraka.llm import catalogue_sql, gazetteer, language, lookalike, mixing, names, neighbours, packing, splitting, tokens
 from ostraka.session import cut
 from ostraka.sources.tables import table
 
@@ -26,42 +26,62 @@ def p1_canonical(spark: SparkSession, root: str) -> DataFrame:
 SLICES = ("source", "language", "type")
 
 
-def _snapshot(spark: SparkSession, root: str, text: str = "text", ledger: DataFrame | None = None) -> DataFrame:
-    t = table(spark, root, "transcriptions")
+def _slices() -> dict[str, Column]:
     tag = F.when(F.col("type") == "translation", F.col("language")).otherwise(edition_language(F.col("xml_content")))
-    slices = {
-        "source": F.substring_index("source_path", "/", 1),
-        "language": F.coalesce(language_code(tag), F.lit("unknown")),
-        "type": F.col("type"),
-    }
-    return tokens.measured(t, "transcription_id", text, slices, ledger)
+    return {"source": F.substring_index("source_path", "/", 1), "language": F.coalesce(language_code(tag), F.lit("unknown")), "type": F.col("type")}
+
+
+def _snapshot(spark: SparkSession, root: str) -> DataFrame:
+    return tokens.measured(table(spark, root, "transcriptions"), "transcription_id", "text", _slices(), tokens.Ledger(spark))
 
 
 def p2_tokens(spark: SparkSession, root: str) -> DataFrame:
     """Tokens of every row, and in total of every slice and of all coarser ones.
 
-    ``level`` is null in the lines of single rows; elsewhere it is the grouping id of the total. The
-    texts are encoded once; rows and totals are taken from the counts.
+    ``level`` is null in the lines of single rows; elsewhere it is the grouping id of the total. Every
+    different text is encoded once; rows and totals are taken from the ledger's counts.
     """
     counted = cut(_snapshot(spark, root))
     rows = counted.select(F.lit(None).cast("int").alias("level"), F.col("key").alias("transcription_id"), *SLICES, F.lit(1).cast("bigint").alias("documents"), "tokens")
-    totals = tokens.token_cube(counted, SLICES).select("level", F.lit(None).cast("bigint").alias("transcription_id"), *SLICES, "documents", "tokens")
+    totals = tokens.token_cube(tokens.finest_cells(counted, SLICES), SLICES).select("level", F.lit(None).cast("bigint").alias("transcription_id"), *SLICES, "documents", "tokens")
     return rows.unionByName(totals)
 
 
 def p2_token_budget(spark: SparkSession, root: str) -> DataFrame:
     """Tokens of every slice and of all coarser ones."""
-    return tokens.token_cube(_snapshot(spark, root), SLICES)
+    return tokens.token_cube(tokens.finest_cells(_snapshot(spark, root), SLICES), SLICES)
 
 
 def p2_token_counts(spark: SparkSession, root: str) -> DataFrame:
     """Tokens of every row."""
-    return _snapshot(spark, root).select(F.col("key").alias("transcription_id"), "content_hash", *SLICES, "tokens")
+    return _snapshot(spark, root).select(F.col("key").alias("transcription_id"), F.lower(F.hex("content_hash")).alias("content_hash"), *SLICES, "tokens")
+
+
+def _deliveries(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Two states of the corpus, measured with one ledger.
+
+    The first has the translations and, of the editions lemmatised by then, the lemma texts. The second
+    has the full texts of all rows but for those that repeat the text of a smaller id. So translations
+    stay, lemmatised editions change, the others are added, and repeated texts are removed.
+    """
+    t, ledger = table(spark, root, "transcriptions"), tokens.Ledger(spark)
+    first = t.withColumn("text", F.when(F.col("type") == "translation", F.col("text")).otherwise(F.col("lemma_text"))).filter("text is not null")
+    least = t.groupBy(tokens.content_hash(F.col("text")).alias("own")).agg(F.min("transcription_id").alias("transcription_id")).select("transcription_id")
+    second = t.join(least, "transcription_id", "left_semi")
+    return tuple(cut(tokens.measured(d, "transcription_id", "text", _slices(), ledger)) for d in (first, second))
 
 
 def p2_token_delta(spark: SparkSession, root: str) -> DataFrame:
-    """What changes when the lemma texts of all rows are replaced by their full texts."""
-    return tokens.cube_delta(_snapshot(spark, root, "lemma_text"), _snapshot(spark, root), SLICES)
+    """Documents and tokens added, changed and removed between two states, by slice, with their signs."""
+    changes = tokens.signed_changes(*_deliveries(spark, root), SLICES)
+    return changes.groupBy("change", *SLICES).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
+
+
+def p2_token_refresh(spark: SparkSession, root: str) -> DataFrame:
+    """The totals of the first state brought up to date by the signed changes to the second."""
+    before, after = _deliveries(spark, root)
+    delta = tokens.cube_delta(tokens.signed_changes(before, after, SLICES), SLICES)
+    return tokens.token_cube(tokens.apply_delta(tokens.finest_cells(before, SLICES), delta, SLICES), SLICES)
 
 
 def _vectors(spark: SparkSession, root: str) -> DataFrame:
@@ -132,30 +152,55 @@ def p7_entities(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _sizes(spark: SparkSession, root: str) -> DataFrame:
-    d = table(spark, root, "documents")
-    return d.select("doc_id", "source", tokens.token_count(F.col("text")).alias("tokens"))
+    """Tokens of every document, by the ledger."""
+    counted = tokens.measured(table(spark, root, "documents"), "doc_id", "text", {"source": F.col("source")}, tokens.Ledger(spark))
+    return counted.select(F.col("key").alias("doc_id"), "source", "tokens")
+
 
+def _runs(spark: SparkSession, root: str, items: int | None = None, cost: float | None = None) -> list[packing.Capacity]:
+    """The runs of the fixed list; ``cost`` is a share of the attention cost of a container that one item fills."""
+    rows = table(spark, root, "pack_runs").orderBy("run_name").collect()
+    return [packing.Capacity(r["run_name"], r["capacity_tokens"], items, cost and cost * r["capacity_tokens"] ** 2) for r in rows]
 
-def _packed(spark: SparkSession, root: str) -> DataFrame:
-    runs = [packing.Capacity(r["run_name"], r["capacity_tokens"]) for r in table(spark, root, "pack_runs").orderBy("run_name").collect()]
-    return packing.pack(_sizes(spark, root), "doc_id", "tokens", runs)
+
+#: Limits of p8_limited: documents of a container, and its attention cost as a share of the greatest.
+LIMIT_ITEMS, LIMIT_COST = 4, 0.4
 
 
 def p8_packed(spark: SparkSession, root: str) -> DataFrame:
     """The container of every document in every run."""
-    return _packed(spark, root)
+    return packing.pack(_sizes(spark, root), "doc_id", "tokens", _runs(spark, root))
+
+
+def p8_limited(spark: SparkSession, root: str) -> DataFrame:
+    """The same with few documents to a container and a bound on its attention cost."""
+    return packing.pack(_sizes(spark, root), "doc_id", "tokens", _runs(spark, root, LIMIT_ITEMS, LIMIT_COST))
+
+
+def _bins(packed: DataFrame) -> DataFrame:
+    return packed.groupBy("run_name", "container").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("items"), F.sum(F.col("tokens") * F.col("tokens")).alias("cost"))
 
 
 def p8_fill(spark: SparkSession, root: str) -> DataFrame:
     """Containers of every run and how full they are."""
-    bins = _packed(spark, root).groupBy("run_name", "container").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("items"))
     runs = table(spark, root, "pack_runs")
-    return bins.join(runs, "run_name").groupBy("run_name", "capacity_tokens").agg(
+    return _bins(p8_packed(spark, root)).join(runs, "run_name").groupBy("run_name", "capacity_tokens").agg(
         F.count(F.lit(1)).alias("containers"), F.sum("tokens").alias("tokens"), F.max("tokens").alias("fullest"),
         (F.sum("tokens") / F.sum("capacity_tokens")).alias("fill"), F.max("items").alias("most_items"),
     )
 
 
+def p8_limits(spark: SparkSession, root: str) -> DataFrame:
+    """What the limited packing holds: pieces, tokens, documents cut, and whether every limit holds and binds."""
+    packed = cut(p8_limited(spark, root))
+    whole = packed.groupBy("run_name").agg(F.count(F.lit(1)).alias("pieces"), F.sum("tokens").alias("tokens"), F.count_if(F.col("piece_index") == 1).alias("cut"))
+    runs = table(spark, root, "pack_runs")
+    alone, cost = F.col("items") == 1, F.lit(LIMIT_COST) * F.col("capacity_tokens") * F.col("capacity_tokens")
+    held = (F.col("tokens") <= F.col("capacity_tokens")) & (F.col("items") <= LIMIT_ITEMS) & (alone | (F.col("cost") <= cost))
+    limits = _bins(packed).join(runs, "run_name").groupBy("run_name").agg(F.bool_and(held).alias("held"), F.bool_or(F.col("items") == LIMIT_ITEMS).alias("items_bind"))
+    return whole.join(limits, "run_name")
+
+
 def _targets(spark: SparkSession, root: str) -> list[mixing.Target]:
     return [mixing.Target(r["mix_name"], r["source"], r["target_share"], r["max_repeats"]) for r in table(spark, root, "mix_targets").orderBy("mix_name", "source").collect()]
 
@@ -170,6 +215,12 @@ def p9_shares(spark: SparkSession, root: str) -> DataFrame:
     return mixing.reached_shares(p9_mix(spark, root), "doc_id", _targets(spark, root))
 
 
+def p9_held(spark: SparkSession, root: str) -> DataFrame:
+    """Every target of every mix, whether its share is reached to half a hundredth and its cap is kept."""
+    shares = p9_shares(spark, root)
+    return shares.select("mix_name", "source", "target_share", "max_repeats", (F.abs(F.col("share") - F.col("target_share")) < 0.005).alias("reached"), (F.col("most_copies") <= F.col("max_repeats")).alias("kept"))
+
+
 def _languages(spark: SparkSession, root: str) -> DataFrame:
     d = table(spark, root, "documents")
     model = language.fit(d, "doc_id", "text", "lang")
@@ -203,6 +254,7 @@ QUERIES = {
     "p2_token_counts": p2_token_counts,
     "p2_token_budget": p2_token_budget,
     "p2_token_delta": p2_token_delta,
+    "p2_token_refresh": p2_token_refresh,
     "p4_found": p4_found,
     "p4_nearest": p4_nearest,
     "p5_found": p5_found,
@@ -212,24 +264,16 @@ QUERIES = {
     "p7_found": p7_found,
     "p7_entities": p7_entities,
     "p8_packed": p8_packed,
+    "p8_limited": p8_limited,
     "p8_fill": p8_fill,
+    "p8_limits": p8_limits,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
+    "p9_held": p9_held,
     "p10_found": p10_found,
     "p10_segments": p10_segments,
     "p10_documents": p10_documents,
 }
-_BLANKS = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
-SQL: dict[str, str] = {
-    "p4_found": """
-WITH e AS (SELECT model_name, xml_id, chunk_index, min(embedding)::DOUBLE[] AS v FROM (SELECT model_name, xml_id, chunk_index, embedding FROM transcription_embeddings UNION ALL SELECT model_name, xml_id, chunk_index, embedding FROM translation_embeddings)
-  GROUP BY ALL HAVING list_aggregate([abs(x) FOR x IN min(embedding)], 'max') > 0),
-s AS (SELECT a.model_name, a.xml_id AS ax, a.chunk_index AS ac, b.xml_id AS bx, b.chunk_index AS bc, list_cosine_similarity(a.v, b.v) AS sim FROM e a JOIN e b ON a.model_name = b.model_name AND (a.xml_id, a.chunk_index) <> (b.xml_id, b.chunk_index)),
-r AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY model_name, ax, ac ORDER BY sim DESC, bx, bc) <= 10)
-SELECT DISTINCT model_name, CASE WHEN (ax, ac) < (bx, bc) THEN ax ELSE bx END AS xml_id_a, CASE WHEN (ax, ac) < (bx, bc) THEN ac ELSE bc END AS chunk_index_a,
-  CASE WHEN (ax, ac) < (bx, bc) THEN bx ELSE ax END AS xml_id_b, CASE WHEN (ax, ac) < (bx, bc) THEN bc ELSE ac END AS chunk_index_b FROM r WHERE sim >= 0.9""",
-    "p5_found": f"SELECT DISTINCT xml_id, model_name, chunk_index FROM transcription_embeddings WHERE len(list_filter(regexp_split_to_array(document_text, '{_BLANKS}'), lambda w: w <> '')) > 500",
-}
 
 
 def queries():
@@ -237,4 +281,4 @@ def queries():
 
 
 def oracle_sql():
-    return dict(SQL)
+    return dict(catalogue_sql.SQL)

@@ -4,7 +4,8 @@ Among all document rates that give every source its share of the tokens, the one
 document once" in entropy are exponentially tilted: rate = min(cap, exp(lambda * tokens)), with one
 lambda for each source of a mix. Newton steps on the convex dual find the lambdas; the sums of every
 step come from one distributed aggregation over the counts of equal lengths. The rates are then
-rounded to copies with a threshold per source that is set so that the tokens come out right.
+rounded to copies with two thresholds per source, for long documents and for short ones, that are set
+so that the tokens come out right.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from ostraka.session import cut
 
 #: Newton stops when every source is this near to its target, relatively.
 TOLERANCE = 1e-9
-MAX_STEPS = 100
+#: A source that ends further from its target, relatively, is an error. The steps end by themselves: each halves a bracket.
+LOOSE = 1e-6
 #: Steps of the rounding threshold between -1 and 1.
 LEVELS = 1 << 14
 
@@ -78,9 +80,8 @@ def tilts(lengths: DataFrame, want: dict[Target, float], unit: float) -> dict[Ta
     done: set[Target] = set()
     by_name = {(t.mix, t.source): t for t in want}
     x = F.col("tokens") / F.lit(unit)
-    for _ in range(MAX_STEPS):
-        if len(done) == len(want):
-            break
+    gaps: dict[Target, float] = {}
+    while len(done) < len(want):
         at = _lookup({(t.mix, t.source): v for t, v in lam.items()}, F.col("mix"), F.col("source"))
         free = F.least(at * x, F.lit(700.0)) < F.ln(F.col("cap"))
         rate = F.when(free, F.exp(F.least(at * x, F.lit(700.0)))).otherwise(F.col("cap"))
@@ -88,8 +89,10 @@ def tilts(lengths: DataFrame, want: dict[Target, float], unit: float) -> dict[Ta
         sums = lengths.groupBy("mix", "source").agg(F.sum(mass).alias("given"), F.sum(F.when(free, mass * x).otherwise(0.0)).alias("slope"))
         for r in sums.collect():
             t = by_name[r["mix"], r["source"]]
-            gap = math.log(r["given"] / want[t]) if r["given"] > 0 else -math.inf
-            if t in done or abs(gap) < TOLERANCE:
+            if t in done:
+                continue
+            gap = gaps[t] = math.log(r["given"] / want[t]) if r["given"] > 0 else -math.inf
+            if abs(gap) < TOLERANCE:
                 done.add(t)
                 continue
             if gap > 0:
@@ -99,9 +102,13 @@ def tilts(lengths: DataFrame, want: dict[Target, float], unit: float) -> dict[Ta
             step = lam[t] - gap * r["given"] / r["slope"] if r["slope"] > 0 and math.isfinite(gap) else math.nan
             if not low[t] < step < high[t]:
                 step = (low[t] + high[t]) / 2 if math.isfinite(low[t] + high[t]) else lam[t] - math.copysign(max(1.0, abs(lam[t])), gap)
-            if step == lam[t] or step > 1e6:
+            if step == lam[t] or step > 1e6:  # between neighbouring numbers, or all at their cap
                 done.add(t)
-            lam[t] = step
+            else:
+                lam[t] = step
+    loose = {f"{t.mix}/{t.source}": gap for t, gap in gaps.items() if abs(gap) > LOOSE}
+    if loose:
+        raise ArithmeticError(f"no rates give these sources their tokens: {loose}")
     return lam
 
 
@@ -109,14 +116,16 @@ def mix_sources(sizes: DataFrame, key: str, source: str, tokens: str, targets: S
     """The selection of every mix: mix_name, key, source, tokens, copies (at least 1).
 
     Documents of a source that a mix doesn't name, with null source, or without tokens, aren't
-    selected. Repeated keys are documents of their own. An empty table gives no rows.
+    selected. Repeated keys are documents of their own. The result depends on keys, sources and tokens
+    alone, not on how the rows are parted. An empty table gives no rows.
     """
     if key in ("mix_name", "source", "tokens", "copies"):
         raise ValueError(f"the key column {key!r} clashes with a column that is made")
     targets = checked(targets)
     named = sorted({t.source for t in targets})
-    rows = cut(sizes.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(tokens).cast("bigint").alias("tokens"), F.monotonically_increasing_id().alias("row")).filter((F.col("tokens") > 0) & F.col("source").isin(named)))
-    lengths = cut(rows.groupBy("source", "tokens").agg(F.count(F.lit(1)).alias("documents")))
+    given = sizes.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(tokens).cast("bigint").alias("tokens")).filter((F.col("tokens") > 0) & F.col("source").isin(named))
+    rows = cut(given.groupBy("key", "source", "tokens").agg(F.count(F.lit(1)).alias("n")))
+    lengths = cut(rows.groupBy("source", "tokens").agg(F.sum("n").alias("documents")))
     available = {r["source"]: r["n"] for r in lengths.groupBy("source").agg(F.sum(F.col("tokens") * F.col("documents")).alias("n")).collect()}
     want = wanted_tokens(targets, available)
     empty = f"mix_name string, {key} {sizes.schema[key].dataType.simpleString()}, source string, tokens bigint, copies int"
@@ -131,23 +140,47 @@ def mix_sources(sizes: DataFrame, key: str, source: str, tokens: str, targets: S
 
     exponent = F.least(_lookup({(t.mix, t.source): v for t, v in lam.items()}, F.col("mix"), F.col("source")) * F.col("tokens") / F.lit(unit), F.lit(700.0))
     rate = F.least(F.exp(exponent), F.col("cap"))
-    chance = F.pmod(F.xxhash64("row", "mix"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    rated = spread(rows).withColumn("rate", rate).withColumn("whole", F.floor("rate").cast("int"))
+    chance = F.pmod(F.xxhash64("key", "tokens", "row", "mix"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    rated = spread(rows.withColumn("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))))).withColumn("rate", rate).withColumn("whole", F.floor("rate").cast("int"))
     rated = rated.withColumn("level", F.floor((chance - (F.col("rate") - F.col("whole")) + 1) * (LEVELS // 2)).cast("int")).withColumn("room", (F.col("whole") < F.col("cap")).cast("int"))
 
-    # tokens by level; the threshold is the level up to which one more copy brings the sum nearest to the target
-    by_level = rated.groupBy("mix", "source", "level").agg(F.sum(F.col("whole") * F.col("tokens")).alias("base"), F.sum(F.col("room") * F.col("tokens")).alias("more"))
-    whole = Window.partitionBy("mix", "source")
-    upto = whole.orderBy("level").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # two thresholds for each target, that of the long documents first: one that leaves a rest which the short ones can give
+    mean = F.create_map(*[x for r in lengths.groupBy("source").agg((F.sum(F.col("tokens") * F.col("documents")) / F.sum("documents")).alias("mean")).collect() for x in (F.lit(r["source"]), F.lit(float(r["mean"])))])
+    rated = rated.withColumn("long", F.col("tokens") > mean[F.col("source")])
+    by_level = cut(
+        rated.groupBy("mix", "source", "long", "level").agg(F.sum(F.col("whole") * F.col("tokens")).alias("base"), F.sum(F.col("room") * F.col("tokens")).alias("more"), F.sum(F.col("rate") * F.col("tokens")).alias("expected"))
+    )
     goal = _lookup({(t.mix, t.source): v for t, v in want.items()}, F.col("mix"), F.col("source"))
-    reached = by_level.select("mix", "source", "level", F.sum("base").over(whole).alias("base"), F.sum("more").over(upto).alias("more")).withColumn("miss", F.abs(F.col("base") + F.col("more") - goal))
-    none = by_level.groupBy("mix", "source").agg(F.sum("base").alias("base")).select("mix", "source", F.lit(-1).alias("level"), F.abs(F.col("base") - goal).alias("miss"))
-    best = reached.select("mix", "source", "level", "miss").unionByName(none).groupBy("mix", "source").agg(F.min(F.struct("miss", "level")).alias("b")).collect()
-    threshold = _lookup({(r["mix"], r["source"]): r["b"]["level"] for r in best}, F.col("mix"), F.col("source"))
+    short = by_level.filter("not long").groupBy("mix", "source").agg(F.sum("base").alias("least"), F.sum("more").alias("span"), F.sum("expected").alias("expected"))
+    first = _thresholds(by_level.filter("long").join(short.select("mix", "source", "least", "span", F.col("expected").alias("others")), ["mix", "source"], "left"), goal)
+    given = _lookup({k: float(v[1]) for k, v in first.items()}, F.col("mix"), F.col("source")) if first else F.lit(None).cast("double")
+    rest = by_level.filter("not long").select("*", F.coalesce(given, F.lit(0.0)).alias("least"), F.lit(0.0).alias("span"), F.coalesce(given, F.lit(0.0)).alias("others"))
+    second = _thresholds(rest, goal)
+    named_level = lambda found: F.coalesce(_lookup({k: float(v[0]) for k, v in found.items()}, F.col("mix"), F.col("source")), F.lit(-1.0)) if found else F.lit(-1.0)
+    threshold = F.when(F.col("long"), named_level(first)).otherwise(named_level(second))
     copies = F.col("whole") + F.when((F.col("room") == 1) & (F.col("level") <= threshold), 1).otherwise(0)
     return rated.withColumn("copies", copies).filter("copies > 0").select(F.col("mix").alias("mix_name"), F.col("key").alias(key), "source", "tokens", F.col("copies").cast("int").alias("copies"))
 
 
+def _thresholds(by_level: DataFrame, goal: Column) -> dict[tuple[str, str], tuple[int, float]]:
+    """(level, tokens given) of every target: the level up to which one more copy of each document is best.
+
+    ``least`` and ``span`` tell what documents without a threshold yet can add, ``others`` what they are
+    expected to. The best level leaves the goal within their reach, or nearest to it; then it is the one
+    whose expected sum is nearest. One row for each target comes to the driver.
+    """
+    whole = Window.partitionBy("mix", "source")
+    upto = whole.orderBy("level").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    add = (F.coalesce("least", F.lit(0.0)), F.coalesce("span", F.lit(0.0)), F.coalesce("others", F.lit(0.0)))
+    levels = by_level.select("mix", "source", "level", (F.sum("base").over(whole) + F.sum("more").over(upto)).alias("sum"), *[c.alias(n) for c, n in zip(add, ("low", "span", "others"))])
+    none = by_level.groupBy("mix", "source").agg(F.sum("base").alias("sum"), *[F.max(c).alias(n) for c, n in zip(add, ("low", "span", "others"))]).select("mix", "source", F.lit(-1).alias("level"), "sum", "low", "span", "others")
+    rest = goal - F.col("sum")
+    miss = F.greatest(F.col("low") - rest, rest - F.col("low") - F.col("span"), F.lit(0.0))
+    ranked = levels.unionByName(none).withColumn("miss", miss).withColumn("off", F.abs(rest - F.col("others")))
+    best = ranked.groupBy("mix", "source").agg(F.min(F.struct("miss", "off", "level", "sum")).alias("b"))
+    return {(r["mix"], r["source"]): (r["b"]["level"], float(r["b"]["sum"])) for r in best.collect()}
+
+
 def reached_shares(selection: DataFrame, key: str, targets: Sequence[Target]) -> DataFrame:
     """What a selection reached: one row for each target, also for those without documents."""
     spark = selection.sparkSession

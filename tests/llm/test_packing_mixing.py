@@ -11,20 +11,68 @@ def check(sizes, capacity):
     for size, number in zip(sizes, packing.best_fit(sizes, capacity)):
         bins.setdefault(number, []).append(size)
     for items in bins.values():
-        assert sum(items) <= capacity.tokens and len(items) <= capacity.items and sum(x * x for x in items) <= capacity.cost
+        assert sum(items) <= capacity.tokens and len(items) <= (capacity.items or len(sizes))
+        assert len(items) == 1 or sum(x * x for x in items) <= (capacity.attention or float("inf"))
     return bins
 
 
-@pytest.mark.parametrize("capacity", [packing.Capacity("a", 100), packing.Capacity("b", 100, items=3), packing.Capacity("c", 100, attention=4000.0)])
+def choose_among_all(sizes, capacity, weights=(1.0, 0.02, 0.1)):
+    """Best fit that looks at every container for every item."""
+    bins, out = [], [0] * len(sizes)
+    for at in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        size, best = sizes[at], None
+        for k, (left, items, cost, age) in enumerate(bins):
+            if left >= size and items > 0 and cost >= size * size:
+                norm = weights[0] * ((left - size) / capacity.tokens) ** 2
+                norm += weights[1] * ((items - 1) / capacity.items) ** 2 if capacity.items else 0
+                norm += weights[2] * ((cost - size * size) / capacity.attention) ** 2 if capacity.attention else 0
+                if best is None or (round(norm, 12), left) < best[:2]:
+                    best = (round(norm, 12), left, k)
+        if best is None:
+            bins.append([capacity.tokens, capacity.items or len(sizes), capacity.attention or float("inf"), 0])
+            k = len(bins) - 1
+        else:
+            k = best[2]
+        bins[k] = [bins[k][0] - size, bins[k][1] - 1, bins[k][2] - size * size, 0]
+        out[at] = k
+    return out, len(bins)
+
+
+CAPACITIES = [packing.Capacity("a", 100), packing.Capacity("b", 100, items=3), packing.Capacity("c", 100, attention=4000.0), packing.Capacity("d", 100, items=4, attention=3000.0)]
+
+
+@pytest.mark.parametrize("capacity", CAPACITIES)
 def test_every_limit_holds(capacity):
     rng = random.Random(1)
-    sizes = [rng.randint(0, capacity.largest) for _ in range(500)]
+    sizes = [rng.randint(0, 100) for _ in range(500)]
     bins = check(sizes, capacity)
     assert sum(map(len, bins.values())) == 500
     if capacity.name == "a":
         assert len(bins) <= 1.02 * sum(sizes) / 100 + 1
 
 
+@pytest.mark.parametrize("capacity", CAPACITIES)
+def test_the_choice_is_that_among_all_containers(capacity):
+    rng = random.Random(7)
+    sizes = rng.sample(range(1, 3000), 400)
+    wide = packing.Capacity(capacity.name, 3000, capacity.items, capacity.attention and 900.0 * capacity.attention)
+    found = packing.best_fit(sizes, wide)
+    assert (max(found) + 1) == choose_among_all(sizes, wide)[1]
+
+
+def test_each_limit_binds():
+    rng = random.Random(2)
+    sizes = [rng.randint(1, 60) for _ in range(600)]
+    free = packing.best_fit(sizes, packing.Capacity("free", 100))
+    few = check(sizes, packing.Capacity("few", 100, items=2))
+    cheap = check(sizes, packing.Capacity("cheap", 100, attention=2500.0))
+    assert max(map(len, few.values())) == 2 and len(few) > max(free) + 1
+    assert len(cheap) > max(free) + 1
+    assert any(sum(x * x for x in b) > 2500 for b in check(sizes, packing.Capacity("free", 100)).values())
+    # an item that alone exceeds the cost isn't cut; it stands by itself
+    assert [b for b in cheap.values() if max(b) > 50 and len(b) > 1] == []
+
+
 def test_packing_of_tables(spark):
     rows = [(i, 10 + i % 50, "x") for i in range(300)] + [(1000, 950, None), (1001, None, None), (1001, 0, None), (None, 7, None), (1002, -3, None)]
     df = spark.createDataFrame(rows, "id int, size bigint, container string")
@@ -41,6 +89,10 @@ def test_packing_of_tables(spark):
         assert len(pieces) == -(-950 // run.tokens) and pieces[0][2] == run.tokens and sum(p[2] for p in pieces) == 950
         assert sum(r.piece_index > 0 for r in mine) == len(pieces) - 1
         assert len(mine) == len(rows) + len(pieces) - 1
+    again = packing.pack(df.repartition(7), "id", "size", runs, shard_items=120).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    copies = spark.createDataFrame([(5, 10)] * 3000, "id int, size bigint")
+    assert packing.pack(copies, "id", "size", runs[:1], shard_items=1000).groupBy("container").count().count() == 300
     assert packing.pack(df.limit(0), "id", "size", runs).count() == 0
     with pytest.raises(ValueError):
         packing.pack(df, "container", "size", runs)
@@ -61,6 +113,7 @@ def test_shares_are_reached_within_the_caps(spark):
     mix = mixing.mix_sources(documents(spark), "id", "source", "n", TARGETS)
     caps = {(t.mix, t.source): t.max_repeats for t in TARGETS}
     rows = mix.collect()
+    assert sorted(map(str, mixing.mix_sources(documents(spark).repartition(9), "id", "source", "n", TARGETS).collect())) == sorted(map(str, rows))
     assert all(1 <= r.copies <= caps[r.mix_name, r.source] and r.id >= 0 for r in rows)
     assert len({(r.mix_name, r.id) for r in rows}) == len(rows)
     for r in mixing.reached_shares(mix, "id", TARGETS).collect():
