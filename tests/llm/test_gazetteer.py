@@ -4,7 +4,21 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ostraka.llm import gazetteer as g
-from ostraka.llm.names import edits
+
+
+def edits(a, b):
+    """Edit distance with swaps of neighbours."""
+    before, last = [], list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        now = [i]
+        for j, y in enumerate(b, 1):
+            n = min(last[j] + 1, now[j - 1] + 1, last[j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
+                n = min(n, before[j - 2] + 1)
+            now.append(n)
+        before, last = last, now
+    return last[-1]
+
 
 ENTRIES = [
     g.Entry(1, "settlement", "N1", ("Hiearbus", "Hiearbos", "Χιεάρβος", "Kom Nukadal")),
