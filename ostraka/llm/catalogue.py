@@ -17,6 +17,12 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
     return pairs.select("field_name", F.col("id_a").alias("transcription_id_a"), F.col("id_b").alias("transcription_id_b"))
 
 
+def p1_classes(spark: SparkSession, root: str) -> DataFrame:
+    """Every value with its class of values that look the same, and how many rows hold another string of it."""
+    forms = cut(lookalike.lookalike_forms(table(spark, root, "transcriptions"), "transcription_id", ["text", "lemma_text"]))
+    return lookalike.lookalike_classes(forms).withColumnRenamed("id", "transcription_id")
+
+
 def p1_canonical(spark: SparkSession, root: str) -> DataFrame:
     """Both texts of every row in their one form."""
     t = table(spark, root, "transcriptions")
@@ -120,9 +126,9 @@ def p5_pieces(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _unlinked_places(spark: SparkSession, root: str) -> DataFrame:
-    entries = gazetteer.entries_of(table(spark, root, "export_geo"))
-    rows = table(spark, root, "orig_places").filter(~gazetteer.usable([e.id for e in entries], F.col("tm_place_id")))
-    return gazetteer.map_places(rows, "place_id", "place_name", "full_place_name", entries)
+    geo = table(spark, root, "export_geo")
+    rows = gazetteer.unlinked(table(spark, root, "orig_places"), "tm_place_id", geo)
+    return gazetteer.map_places(rows, "place_id", "place_name", "full_place_name", gazetteer.entries_of(geo))
 
 
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
@@ -136,6 +142,11 @@ def p6_unmatched(spark: SparkSession, root: str) -> DataFrame:
     return named.groupBy("place_name", "full_place_name").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def p6_within(spark: SparkSession, root: str) -> DataFrame:
+    """All entries within the distance of every different name of a place, with their edits."""
+    return gazetteer.entries_within(table(spark, root, "orig_places"), "place_name", gazetteer.entries_of(table(spark, root, "export_geo")))
+
+
 def _author_links(spark: SparkSession, root: str) -> DataFrame:
     modern = table(spark, root, "principal_editions").select("author", F.lit(False).alias("ancient"))
     ancient = table(spark, root, "ancient_editions").select("author", F.lit(True).alias("ancient"))
@@ -249,6 +260,7 @@ def p10_documents(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found,
+    "p1_classes": p1_classes,
     "p1_canonical": p1_canonical,
     "p2_tokens": p2_tokens,
     "p2_token_counts": p2_token_counts,
@@ -261,6 +273,7 @@ QUERIES = {
     "p5_pieces": p5_pieces,
     "p6_found": p6_found,
     "p6_unmatched": p6_unmatched,
+    "p6_within": p6_within,
     "p7_found": p7_found,
     "p7_entities": p7_entities,
     "p8_packed": p8_packed,

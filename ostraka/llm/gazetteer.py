@@ -16,13 +16,15 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Most edits by the number of letters of a name: below the first number none, and so on.
 EDIT_LENGTHS = (5, 8)
 NO_ENTRY = -1
+#: Names of a reference list that goes to every task; a longer one is refused, not broadcast.
+LIST_NAMES = 1_000_000
 
 # Words that say nothing of which place is meant.
 VAGUE = frozenset(
@@ -169,6 +171,11 @@ class Entry:
     names: tuple[str, ...]
 
 
+def nearest(found: dict) -> dict:
+    least = min(found.values(), default=0)
+    return {k: d for k, d in found.items() if d == least}
+
+
 class Gazetteer:
     """The reference list as two tries: of the places and of the districts alone."""
 
@@ -195,10 +202,13 @@ class Gazetteer:
         return trie.near(c.letters, most_edits(c.letters))
 
     def _look_up(self, c: Clue, districts: bool) -> dict:
-        """All entries (or districts) within the distance that the length allows; the nearest only."""
-        found = self._search(self.districts if districts else self.all, c)
-        least = min(found.values(), default=0)
-        return {k: d for k, d in found.items() if d == least}
+        """All entries (or districts) within the distance that the length allows, with their edits."""
+        return self._search(self.districts if districts else self.all, c)
+
+    def within(self, text: str | None) -> dict[int, int]:
+        """All entries within the distance that a name's length allows: entry to edits."""
+        c = clue(text) if text else None
+        return dict(self._look(c, False)) if c else {}
 
     def _resolve(self, place: str | None, full: str | None) -> tuple[int, int]:
         """(entry, edits) that the two names mean together, (NO_ENTRY, 0) when none or not one only."""
@@ -208,7 +218,7 @@ class Gazetteer:
         pieces = SEGMENT.split(re.sub(r"\A\s*written at\b|\(\s*\?\s*\)|\((?:village|town|city)\)", " ", full or ""))
         clues = [c for c in map(clue, pieces) if c]
         for c in clues:
-            here = self._look(c, True)
+            here = nearest(self._look(c, True))
             if here and len(clues) > 1 and (own is None or c != own):
                 districts |= set(here)
             else:
@@ -216,7 +226,7 @@ class Gazetteer:
         wanted = ([own] if own else []) + places
         best: dict[int, int] = {}
         for c in wanted:
-            found = self._look(c, False)
+            found = nearest(self._look(c, False))
             if not found:
                 continue
             both = {k: min(d, best[k]) for k, d in found.items() if k in best}
@@ -243,30 +253,52 @@ def entries_of(geo: DataFrame) -> list[Entry]:
     return out
 
 
-def usable(geo_ids: Sequence[int], reference: Column) -> Column:
-    """Whether a reference is an id of the list; false for null."""
-    return F.coalesce(reference.isin(list(geo_ids)), F.lit(False))
+def unlinked(df: DataFrame, reference: str, geo: DataFrame) -> DataFrame:
+    """Rows whose reference is null or isn't an id of the list."""
+    return df.join(geo.select(F.col("id").alias(reference)).distinct(), reference, "left_anti")
+
+
+def _resolved(names: DataFrame, entries: Sequence[Entry], schema: T.StructType, rows_of) -> DataFrame:
+    """``rows_of(gazetteer, *values)`` gives the rows of each row of ``names``, without its own values."""
+    own = tuple(entries)
+    if sum(len(e.names) for e in own) > LIST_NAMES:
+        raise ValueError(f"a list of more than {LIST_NAMES} names doesn't go to every task")
+    given = len(names.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        book = _gazetteer(own)
+        for batch in batches:
+            values = list(zip(*(c.to_pylist() for c in batch.columns)))
+            made = [rows_of(book, *v) for v in values]
+            take = pa.array([i for i, rows in enumerate(made) for _ in rows], pa.int64())
+            columns = list(zip(*(r for rows in made for r in rows))) or [()] * (len(schema.fields) - given)
+            yield pa.RecordBatch.from_arrays([batch.column(i).take(take) for i in range(given)] + [pa.array(c, pa.int32()) for c in columns], names=schema.fieldNames())
+
+    # spread over all cores: names are few and small, and the planner would put them into one task
+    return names.repartition(max(1, names.sparkSession.sparkContext.defaultParallelism)).mapInArrow(run, schema)
 
 
 def map_places(df: DataFrame, key: str, place: str, full: str, entries: Sequence[Entry]) -> DataFrame:
     """The entry that the names of every row mean: key, geo_id (NO_ENTRY for none), edits.
 
-    Null, empty and vague names mean none; so do names that fit several entries. Repeated rows give
-    repeated rows; other columns aren't read; nothing is shuffled.
+    Null, empty and vague names mean none; so do names that fit several entries. Every different pair
+    of names is looked up once. Repeated rows give repeated rows; other columns aren't read.
     """
     if key in ("geo_id", "edits"):
         raise ValueError(f"the key column {key!r} clashes with a column that is made")
-    own = tuple(entries)
-    schema = T.StructType([df.schema[key], T.StructField("geo_id", T.IntegerType()), T.StructField("edits", T.IntegerType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        resolve = _gazetteer(own).resolve
-        for batch in batches:
-            found = [resolve(p, f) for p, f in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            columns = [batch.column(0), pa.array([g for g, _ in found], pa.int32()), pa.array([d for _, d in found], pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=[key, "geo_id", "edits"])
-
-    return df.select(key, F.col(place).alias("__place"), F.col(full).alias("__full")).mapInArrow(run, schema)
+    rows = df.select(F.col(key), F.col(place).alias("__place"), F.col(full).alias("__full"))
+    fields = [T.StructField("__p", T.StringType()), T.StructField("__f", T.StringType()), T.StructField("geo_id", T.IntegerType()), T.StructField("edits", T.IntegerType())]
+    pairs = rows.select(F.col("__place").alias("__p"), F.col("__full").alias("__f")).distinct()
+    found = _resolved(pairs, entries, T.StructType(fields), lambda book, p, f: [book.resolve(p, f)])
+    return rows.join(found, F.col("__place").eqNullSafe(F.col("__p")) & F.col("__full").eqNullSafe(F.col("__f"))).select(key, "geo_id", "edits")
+
+
+def entries_within(df: DataFrame, name: str, entries: Sequence[Entry]) -> DataFrame:
+    """All entries within the distance of every different name: name, geo_id, edits; names that nothing is near give no row."""
+    fields = [T.StructField(name, T.StringType()), T.StructField("geo_id", T.IntegerType()), T.StructField("edits", T.IntegerType())]
+    if name in ("geo_id", "edits"):
+        raise ValueError(f"the name column {name!r} clashes with a column that is made")
+    return _resolved(df.select(name).distinct(), entries, T.StructType(fields), lambda book, n: sorted(book.within(n).items()))
 
 
 @lru_cache(maxsize=4)

@@ -128,7 +128,7 @@ class LanguageModel:
         found = compressor.multi_compress_to_buffer(list(texts), threads=0)
         return [len(found[i]) for i in range(len(found))]
 
-    def classify(self, texts: Sequence[str]) -> list[tuple[str, float] | None]:
+    def classify(self, texts: Sequence[str], least_words: int = LEAST_WORDS, least_letters: int = LEAST_LETTERS) -> list[tuple[str, float] | None]:
         """(code, margin) of every text, None for one that is too short for a sentence.
 
         All languages of the text's script compete; a script of one language has the languages of
@@ -139,7 +139,7 @@ class LanguageModel:
         for i, text in enumerate(plain_all(texts)):
             script, words = script_words(text)
             joined = " ".join(words)
-            if script and len(words) >= LEAST_WORDS and len(joined) >= LEAST_LETTERS:
+            if script and len(words) >= least_words and len(joined) >= least_letters:
                 by_script[script].append((i, joined.encode()))
         have = dict(self.contents)
         for script, found in by_script.items():
@@ -157,8 +157,6 @@ class LanguageModel:
         return out
 
 
-
-
 @lru_cache(maxsize=64)
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -291,8 +289,9 @@ def segments_of(text: str, spans: Sequence[tuple[int, int]], found: Sequence[tup
 def language_segments(df: DataFrame, keys: Sequence[str], text: str, model: LanguageModel) -> DataFrame:
     """One row per stretch: the keys, segment_no from 1, start, end, lang_code, confidence, sentences.
 
-    A null or blank text has one stretch (0, 0, und, 0.0) without sentences. Repeated rows are
-    told apart each on their own; other columns aren't read; nothing is shuffled.
+    A null or blank text has one stretch (0, 0, und, 0.0) without sentences. A text all of whose
+    sentences are short is told as a whole, however short. Repeated rows are told apart each on their
+    own; other columns aren't read; nothing is shuffled.
     """
     made = (("segment_no", T.IntegerType(), pa.int32()), ("start", T.IntegerType(), pa.int32()), ("end", T.IntegerType(), pa.int32()), ("lang_code", T.StringType(), pa.string()), ("confidence", T.DoubleType(), pa.float64()), ("sentences", T.IntegerType(), pa.int32()))
     keys = list(keys)
@@ -307,9 +306,13 @@ def language_segments(df: DataFrame, keys: Sequence[str], text: str, model: Lang
                 texts = part.column(len(keys)).to_pylist()
                 spans = [sentences(t) if t else [] for t in texts]
                 found = iter(model.classify([t[a:b] for t, s in zip(texts, spans) for a, b in s]))
+                each = [[next(found) for _ in s] for s in spans]
+                short = [i for i, f in enumerate(each) if f and not any(f)]
+                for i, whole in zip(short, model.classify([texts[i] for i in short], 1, 1)):
+                    each[i][0] = whole and (whole[0], min(whole[1], MARGIN / 2))
                 at, rows = [], []
                 for i, (t, s) in enumerate(zip(texts, spans)):
-                    stretches = segments_of(t, s, [next(found) for _ in s]) or [(0, 0, UNDECIDED, 0.0, 0)]
+                    stretches = segments_of(t, s, each[i]) or [(0, 0, UNDECIDED, 0.0, 0)]
                     at += [i] * len(stretches)
                     rows += [(n, *x) for n, x in enumerate(stretches, 1)]
                 if rows:

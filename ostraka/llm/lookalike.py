@@ -21,15 +21,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LATIN, GREEK, CYRILLIC, COPTIC = "Latin", "Greek", "Cyrillic", "Coptic"
-SCRIPTS = (LATIN, GREEK, CYRILLIC, COPTIC)
+LATIN, GREEK, CYRILLIC, COPTIC, ARMENIAN = "Latin", "Greek", "Cyrillic", "Coptic", "Armenian"
+SCRIPTS = (LATIN, GREEK, CYRILLIC, COPTIC, ARMENIAN)
 
-# Letters of one shape, in the order Latin, Greek, Cyrillic, Coptic ("-": no such letter).
+# Letters of one shape, in the order Latin, Greek, Cyrillic, Coptic, Armenian ("-": no such letter).
 SAME_SHAPE = """
-A Α А - | B Β В - | C Ϲ С Ⲥ | E Ε Е - | F Ϝ - - | H Η Н - | I Ι І - | J Ϳ Ј - | K Κ К - | M Μ М - | N Ν - -
-O Ο О Ⲟ | P Ρ Р - | Q - Ԛ - | S - Ѕ - | T Τ Т - | W - Ԝ - | X Χ Х - | Y Υ Ү - | Z Ζ - - | - Γ Г - | - Π П - | - Φ Ф -
-a - а - | c ϲ с ⲥ | d - ԁ - | e - е - | h - һ - | i - і - | j ϳ ј - | o ο о ⲟ | p - р - | q - ԛ - | s - ѕ -
-v ν ѵ - | w - ԝ - | x - х - | y - у -
+A Α А - - | B Β В - - | C Ϲ С Ⲥ - | E Ε Е - - | F Ϝ - - - | H Η Н - - | I Ι І - - | J Ϳ Ј - - | K Κ К - - | L - - - Լ | M Μ М - - | N Ν - - -
+O Ο О Ⲟ Օ | P Ρ Р - - | Q - Ԛ - - | S - Ѕ - Տ | T Τ Т - - | U - - - Ս | W - Ԝ - - | X Χ Х - - | Y Υ Ү - - | Z Ζ - - - | - Γ Г - - | - Π П - - | - Φ Ф - -
+a - а - - | c ϲ с ⲥ - | d - ԁ - - | e - е - - | g - - - ց | h - һ - հ | i - і - - | j ϳ ј - - | l - ӏ - - | n - - - ո | o ο о ⲟ օ | p - р - - | q - ԛ - զ
+s - ѕ - - | u - - - ս | v ν ѵ - - | w - ԝ - - | x - х - - | y - у - - | ɑ α - - - | ı ι - - - | - κ к - - | - ω ѡ - -
 """
 # Marks and signs of one shape; the first stands for all.
 SAME_SIGN = ("\u2019\u02bc\u1fbd", "\u02b9\u0374\u2032", "\u00b7\u0387\u22c5", "-\u2010\u2011")
@@ -46,6 +46,7 @@ LETTER_RANGES = {
     LATIN: "A-Za-z\u00aa\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af\u1e00-\u1eff\u2c60-\u2c7f\ua722-\ua787",
     GREEK: "\u0370-\u0373\u0376\u0377\u037b-\u037d\u037f\u0386\u0388-\u03e1\u03f0-\u03ff\u1f00-\u1fbc\u1fbe\u1fc2-\u1fcc\u1fd0-\u1fdb\u1fe0-\u1fec\u1ff2-\u1ffc",
     CYRILLIC: "\u0400-\u0481\u048a-\u052f\u1c80-\u1c88\ua640-\ua66d\ua680-\ua69b",
+    ARMENIAN: "\u0531-\u0556\u0561-\u0587",
     COPTIC: "\u03e2-\u03ef\u2c80-\u2ce4\u2ceb-\u2cee\u2cf2\u2cf3",
 }
 IN_SCRIPT = {s: re.compile(f"[{r}]") for s, r in LETTER_RANGES.items()}
@@ -88,6 +89,7 @@ class _Folds(dict):
 
 _FOLDS = _Folds()
 
+
 @lru_cache(maxsize=1 << 18)
 def _script(c: str) -> str | None:
     for script, pattern in IN_SCRIPT.items():
@@ -190,3 +192,16 @@ def lookalike_pairs(forms: DataFrame) -> DataFrame:
     second = rows.select("field_name", "form", F.col("raw").alias("raw_b"), F.col("id").alias("b"))
     both = pairs.join(first, ["field_name", "form", "raw_a"]).join(second, ["field_name", "form", "raw_b"])
     return both.filter(F.col("a") != F.col("b")).select("field_name", F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
+
+
+def lookalike_classes(forms: DataFrame) -> DataFrame:
+    """One row for each row of ``forms``: field_name, id, class_id, links.
+
+    A class is the rows of one field whose values look the same; ``class_id`` is its least id (that of
+    the row itself where no other looks like it). ``links`` counts the rows of the class that hold
+    another string. Classes are counted by string before rows are, so that no group is expanded.
+    """
+    strings = forms.groupBy("field_name", "form", "raw").agg(F.count(F.lit(1)).alias("own"), F.min("id").alias("least"))
+    classes = strings.groupBy("field_name", "form").agg(F.sum("own").alias("every"), F.min("least").alias("class_id"), F.count(F.lit(1)).alias("strings"))
+    sized = strings.select("field_name", "form", "raw", "own").join(classes, ["field_name", "form"])
+    return forms.join(sized, ["field_name", "form", "raw"]).select("field_name", "id", "class_id", (F.col("every") - F.col("own")).alias("links"))

@@ -16,20 +16,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ostraka.session import cut
 
-#: Vectors of each group from which the routing tree is fitted: so many, or SAMPLE_PER_SHARD for each shard.
+#: Vectors of each space from which the routing tree is fitted: so many, or SAMPLE_PER_SHARD for each shard, but
+#: never more than SAMPLE_BYTES, so that the driver holds a bounded sample of whatever collection.
 SAMPLE_ROWS = 4_096
 SAMPLE_PER_SHARD = 16
-#: A shard holds about so many different vectors; a group has at least LEAST_SHARDS shards, for parallel work.
-SHARD_ROWS = 65_536
+SAMPLE_BYTES = 1 << 26
+#: A shard holds about so many bytes of different vectors; a space has at least LEAST_SHARDS shards, for parallel work.
+SHARD_BYTES = 1 << 25
 LEAST_SHARDS = 8
 LEAF_ROWS = 256
 BLOCK_ROWS = 2_048
+#: Rows that are widened to double precision at a time.
+WIDE_ROWS = 16_384
 #: Components are compared to so many decimals when copies are told.
 DECIMALS = 6
 COSINE_DECIMALS = 9
@@ -48,6 +53,14 @@ def angles(cosines: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(cosines, -1.0, 1.0))
 
 
+def dots(vectors: np.ndarray, rows: np.ndarray, point: np.ndarray) -> np.ndarray:
+    """Products of some rows with a point in double precision, a piece at a time; the vectors stay in single."""
+    out, wide = np.empty(len(rows)), point.astype(np.float64)
+    for begin in range(0, len(rows), WIDE_ROWS):
+        out[begin : begin + WIDE_ROWS] = vectors[rows[begin : begin + WIDE_ROWS]].astype(np.float64) @ wide
+    return out
+
+
 @dataclass
 class Node:
     """An inner node splits by the angle to its vantage point; a leaf has rows (or, routing, a shard)."""
@@ -65,10 +78,10 @@ def build(vectors: np.ndarray, rows: np.ndarray, leaf: int, rng: np.random.Gener
     if len(rows) <= leaf:
         return Node(rows=np.sort(rows))
     candidates = rng.choice(rows, size=min(5, len(rows)), replace=False)
-    probe = vectors[rng.choice(rows, size=min(64, len(rows)), replace=False)]
-    spread = angles(probe @ vectors[candidates].T).std(axis=0)
+    probe = vectors[rng.choice(rows, size=min(64, len(rows)), replace=False)].astype(np.float64)
+    spread = angles(probe @ vectors[candidates].astype(np.float64).T).std(axis=0)
     point = vectors[candidates[int(spread.argmax())]]
-    away = angles(vectors[rows] @ point)
+    away = angles(dots(vectors, rows, point))
     order = np.argsort(away, kind="stable")
     half = len(rows) // 2
     radius = float(away[order[half - 1]] + away[order[half]]) / 2
@@ -86,7 +99,7 @@ def route(node: Node, vectors: np.ndarray, reach: float) -> list[tuple[np.ndarra
         if at.point is None:
             out += [(rows[home], at.shard, True), (rows[~home], at.shard, False)]
             continue
-        away = angles(vectors[rows] @ at.point) - at.radius
+        away = angles(dots(vectors, rows, at.point)) - at.radius
         inner = away <= 0
         for child, own, near in ((at.inside, inner, away <= reach), (at.outside, ~inner, away >= -reach)):
             take = own | near
@@ -115,7 +128,7 @@ def search(node: Node, vectors: np.ndarray, queries: np.ndarray, own: np.ndarray
             for begin in range(0, len(rows), BLOCK_ROWS):
                 part = rows[begin : begin + BLOCK_ROWS]
                 # rounded, so that equal pairs are equal in whatever block they are multiplied
-                similar = np.round(queries[part] @ vectors[at.rows].T, COSINE_DECIMALS)
+                similar = np.round(queries[part].astype(np.float64) @ vectors[at.rows].astype(np.float64).T, COSINE_DECIMALS)
                 similar[(similar < np.maximum(cosines[part, k - 1], least)[:, None]) | (at.rows[None, :] == own[part][:, None])] = -np.inf
                 better = np.isfinite(similar).any(axis=1)
                 if better.any():
@@ -126,7 +139,7 @@ def search(node: Node, vectors: np.ndarray, queries: np.ndarray, own: np.ndarray
                     cosines[part] = np.take_along_axis(every, best, axis=1)
                     found[part] = np.where(np.isfinite(cosines[part]), np.take_along_axis(numbers, best, axis=1), -1)
             return
-        away = angles(queries[rows] @ at.point) - at.radius
+        away = angles(dots(queries, rows, at.point)) - at.radius
         inner = away <= 0
         for child, first in ((at.inside, inner), (at.outside, ~inner)):
             if first.any():
@@ -172,41 +185,51 @@ def _numbered(node: Node, numbers) -> Node:
     return Node(node.point, node.radius, _numbered(node.inside, numbers), _numbered(node.outside, numbers))
 
 
-def routing_trees(unique: DataFrame, sample_rows: int, shard_rows: int, least_shards: int) -> dict[str, tuple[int, Node]]:
-    """For every group the bytes of its vectors (the commonest length) and its tree of shards.
+def routing_trees(unique: DataFrame, sample_rows: int, shard_bytes: int, least_shards: int) -> dict[tuple[str, int], Node]:
+    """The tree of shards of every space: a group and the bytes of its vectors.
 
-    Only one row for each group and length, and the bounded sample, come to the driver.
+    Only one row for each space, and the sample, come to the driver. The sample is what a hash of the
+    vectors picks, so that it needs no order and no window. Its bound limits the number of shards: a
+    space of more than SAMPLE_BYTES / SAMPLE_PER_SHARD shards' worth has larger shards.
     """
-    sizes: dict[str, tuple[int, int]] = {}
-    for r in unique.groupBy("grp", F.length("v").alias("size")).count().collect():
-        sizes[r["grp"]] = max(sizes.get(r["grp"], (0, 0)), (r["count"], -r["size"]))
-    place = F.row_number().over(Window.partitionBy("grp").orderBy(F.xxhash64("v"), "v"))
-    usual = F.create_map(*[x for g, (_, size) in sizes.items() for x in (F.lit(g), F.lit(-size))])[F.col("grp")] if sizes else F.lit(None)
-    samples: dict[str, list[bytes]] = {g: [] for g in sizes}
-    wanted = max([sample_rows, *(SAMPLE_PER_SHARD * -(-count // shard_rows) for count, _ in sizes.values())])
-    for r in unique.filter(F.length("v") == usual).select("grp", "v", place.alias("place")).filter(F.col("place") <= wanted).collect():
-        samples[r["grp"]].append(bytes(r["v"]))
+    spaces = {(r["grp"], r["size"]): r["count"] for r in unique.groupBy("grp", F.length("v").alias("size")).count().collect()}
+    if not spaces:
+        return {}
+    shards, wanted = {}, {}
+    for (group, size), count in spaces.items():
+        most = max(64, SAMPLE_BYTES // size)
+        shards[group, size] = max(min(least_shards, -(-count // 16)), min(-(-count * size // shard_bytes), most // SAMPLE_PER_SHARD))
+        wanted[group, size] = min(most, max(sample_rows, SAMPLE_PER_SHARD * shards[group, size]))
+    name = lambda group, size: f"{size}\0{group}"
+    share = F.create_map(*[x for k, n in wanted.items() for x in (F.lit(name(*k)), F.lit(min(1.0, n / spaces[k])))])
+    picked = F.pmod(F.xxhash64("v"), F.lit(1 << 30)) < F.ceil(share[F.concat_ws("\0", F.length("v").cast("string"), "grp")] * F.lit(float(1 << 30)))
+    samples: dict[tuple[str, int], list[bytes]] = {k: [] for k in spaces}
+    for r in unique.filter(picked).select("grp", "v").collect():
+        samples[r["grp"], len(r["v"])].append(bytes(r["v"]))
     trees = {}
-    for group, (count, size) in sizes.items():
-        vectors = _matrix(pa.array(sorted(samples[group]), pa.binary()))
-        shards = max(least_shards, -(-count // shard_rows))
-        depth = min(math.ceil(math.log2(shards)), max(0, int(math.log2(max(1, len(vectors) // 8)))))
+    for (group, size), found in samples.items():
+        if not found:  # a few vectors, of which the hash picked none
+            trees[group, size] = Node(shard=0)
+            continue
+        vectors = _matrix(pa.array(sorted(found), pa.binary()))
+        depth = min(math.ceil(math.log2(shards[group, size])), max(0, int(math.log2(max(1, len(vectors) // 8)))))
         tree = build(vectors, np.arange(len(vectors)), max(1, -(-len(vectors) // 2**depth)), np.random.default_rng(len(vectors)))
-        trees[group] = (-size, _numbered(tree, iter(range(1 << 30))))
+        trees[group, size] = _numbered(tree, iter(range(1 << 30)))
     return trees
 
 
 def similar_vectors(
     df: DataFrame, group: str, keys: Sequence[str], vector: str, k: int, least: float = -1.0, factor: float = 6.0, query: Column | None = None,
-    sample_rows: int = SAMPLE_ROWS, shard_rows: int = SHARD_ROWS, least_shards: int = LEAST_SHARDS,
+    sample_rows: int = SAMPLE_ROWS, shard_bytes: int = SHARD_BYTES, least_shards: int = LEAST_SHARDS,
 ) -> DataFrame:
     """The k most similar other keys of every key of one group: grp, a, b (structs of the keys), similarity.
 
     Repeated keys of a group count once (the least vector is taken). ``query`` limits the keys that
-    ask, not those that may be found. Vectors without a direction, of null group, or of another
-    length than most of their group's, neither ask nor are found. Only partners of a cosine of
-    ``least`` or more are given. Of equally similar keys the lower come first; copies are searched
-    once and expanded at the end. An empty table gives no rows. The number of groups must be small.
+    ask, not those that may be found. Vectors without a direction or of null group neither ask nor are
+    found; those of each length within a group are a space of their own, as vectors of two lengths have
+    no angle. Only partners of a cosine of ``least`` or more are given. Of equally similar keys the
+    lower come first; copies are searched once and expanded at the end. An empty table gives no rows.
+    The number of groups must be small.
     """
     if k < 1 or factor < 1 or not keys:
         raise ValueError("k and factor must be at least 1, and there must be keys")
@@ -216,22 +239,20 @@ def similar_vectors(
     # copies are told by a digest, so that later joins needn't move the vectors
     rows = rows.withColumn("cid", F.unhex(F.md5("v")))
     unique = cut(rows.groupBy("grp", "cid").agg(F.min("v").alias("v"), F.min("key").alias("uid"), F.max("asks").alias("asks"), F.count(F.lit(1)).alias("copies")))
-    trees = routing_trees(unique, sample_rows, shard_rows, least_shards)
+    trees = routing_trees(unique, sample_rows, shard_bytes, least_shards)
     reach = float(angles(np.array([least]))[0]) / factor
     uid_type, grp_type = unique.schema["uid"].dataType, T.StringType()
-    dealt_schema = T.StructType([T.StructField("grp", grp_type), T.StructField("shard", T.IntegerType()), T.StructField("home", T.BooleanType()), T.StructField("asks", T.BooleanType()), T.StructField("uid", uid_type), T.StructField("v", T.BinaryType())])
+    dealt_schema = T.StructType([T.StructField("grp", grp_type), T.StructField("size", T.IntegerType()), T.StructField("shard", T.IntegerType()), T.StructField("home", T.BooleanType()), T.StructField("asks", T.BooleanType()), T.StructField("uid", uid_type), T.StructField("v", T.BinaryType())])
 
     def deal(batches):
         for batch in batches:
             table = pa.Table.from_batches([batch])
             groups = table["grp"].to_numpy()
             asking = table["asks"].to_numpy()
-            lengths = np.array([len(v) for v in table["v"].to_pylist()])
-            for name in np.unique(groups):
-                size, tree = trees[name]
+            lengths = pc.binary_length(table["v"]).to_numpy()
+            for name, size in set(zip(groups.tolist(), lengths.tolist())):
+                tree = trees[name, size]
                 at = np.nonzero((groups == name) & (lengths == size))[0]
-                if not len(at):
-                    continue
                 mine = table.take(pa.array(at))
                 for found, shard, home in route(tree, _matrix(mine["v"]), reach):
                     if not home:
@@ -239,18 +260,19 @@ def similar_vectors(
                     if len(found):
                         part = mine.take(pa.array(found))
                         n = part.num_rows
-                        columns = [part["grp"], pa.array([shard] * n, pa.int32()), pa.array([home] * n), part["asks"], part["uid"], part["v"]]
-                        yield from pa.table(columns, names=["grp", "shard", "home", "asks", "uid", "v"]).to_batches()
+                        columns = [part["grp"], pa.array([size] * n, pa.int32()), pa.array([shard] * n, pa.int32()), pa.array([home] * n), part["asks"], part["uid"], part["v"]]
+                        yield from pa.table(columns, names=["grp", "size", "shard", "home", "asks", "uid", "v"]).to_batches()
 
     dealt = unique.select("grp", "asks", "uid", "v").mapInArrow(deal, dealt_schema)
     pair_schema = T.StructType([T.StructField("grp", grp_type), T.StructField("a", uid_type), T.StructField("b", uid_type), T.StructField("back", T.BooleanType()), T.StructField("similarity", T.DoubleType())])
 
     def look(table: pa.Table) -> pa.Table:
-        names = [tuple((x is not None, x) for x in u.values()) for u in table["uid"].to_pylist()]
-        table = table.take(pa.array(sorted(range(table.num_rows), key=names.__getitem__)))
+        parts = table["uid"].combine_chunks().flatten()
+        by = pa.table(parts, names=[f"k{i}" for i in range(len(parts))])
+        table = table.take(pc.sort_indices(by, sort_keys=[(n, "ascending") for n in by.column_names], null_placement="at_start"))
         home = np.nonzero(table["home"].to_numpy())[0]
         ask = np.nonzero(table["asks"].to_numpy())[0]
-        every = _matrix(table["v"]).astype(np.float64)
+        every = _matrix(table["v"])
         vectors = every[home]
         own = np.full(table.num_rows, -1, dtype=np.int64)
         own[home] = np.arange(len(home))
@@ -263,7 +285,7 @@ def similar_vectors(
         back = table["asks"].to_numpy()[at]
         return pa.table([pa.array([table["grp"][0].as_py()] * len(which), pa.string()), a, uid.take(pa.array(at)), pa.array(back, pa.bool_()), pa.array(cosines[which, place])], names=["grp", "a", "b", "back", "similarity"])
 
-    one_way = cut(dealt.groupBy("grp", "shard").applyInArrow(look, pair_schema))
+    one_way = cut(dealt.groupBy("grp", "size", "shard").applyInArrow(look, pair_schema))
     both = one_way.select("grp", "a", "b", "similarity").unionByName(one_way.filter("back").select("grp", F.col("b").alias("a"), F.col("a").alias("b"), "similarity"))
     pairs = both.groupBy("grp", "a", "b").agg(F.max("similarity").alias("similarity"))
 

@@ -62,6 +62,11 @@ def test_tables(spark):
     assert g.map_places(df, "id", "p", "f", []).filter("geo_id = -1").count() == 4
     with pytest.raises(ValueError):
         g.map_places(df, "edits", "p", "f", ENTRIES)
+    near = {(r.p, r.geo_id): r.edits for r in g.entries_within(df, "p", ENTRIES).collect()}
+    assert near == {("Emsazai", 3): 0}
+    assert BOOK.within("Hiearbus") == {1: 0, 2: 0} and BOOK.within("Hiearbes") == {1: 1, 2: 1} and BOOK.within(None) == {}
+    with pytest.raises(ValueError):
+        g.map_places(df, "id", "p", "f", [g.Entry(1, "settlement", None, ("x",) * (g.LIST_NAMES + 1))])
     geo = spark.createDataFrame([(7, "settlement", "N1", "A - B", None, "", None, None, " ")], "id int, status string, nomos_code string, name_latin string, name_standard string, unicode_greek string, unicode_egyptian string, unicode_coptic string, location string")
     assert g.entries_of(geo) == [g.Entry(7, "settlement", "N1", ("A - B",))]
 
@@ -69,6 +74,6 @@ def test_tables(spark):
 def test_linked_rows_are_found_again(spark, data):
     """Rows that carry a reference: their names must lead to it wherever they can be told apart."""
     entries = g.entries_of(spark.read.parquet(f"{data}/export_geo.parquet"))
-    rows = spark.read.parquet(f"{data}/orig_places.parquet").filter(g.usable([e.id for e in entries], F.col("tm_place_id")))
+    rows = spark.read.parquet(f"{data}/orig_places.parquet").join(spark.read.parquet(f"{data}/export_geo.parquet").select(F.col("id").alias("tm_place_id")), "tm_place_id", "left_semi")
     found = g.map_places(rows, "place_id", "place_name", "full_place_name", entries).join(rows, "place_id").filter(f"geo_id <> {g.NO_ENTRY}").select("geo_id", "tm_place_id").collect()
     assert len(found) > 40 and sum(r.geo_id == r.tm_place_id for r in found) >= 0.98 * len(found)

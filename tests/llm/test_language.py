@@ -69,3 +69,17 @@ def test_held_out_accuracy(spark, data):
     found = lg.document_languages(lg.language_segments(d, ["doc_id", "lang"], "text", model), ["doc_id", "lang"]).filter("main")
     named = found.withColumn("code", lg.language_code(F.col("lang"))).filter("code is not null").collect()
     assert sum(r.code == r.lang_code for r in named) >= 0.8 * len(named)
+
+
+def test_narrow_margins_are_rejected():
+    same = " ".join(EN).lower().encode()
+    twins = lg.LanguageModel((("en", same), ("de", same)))
+    spans = [(0, len(EN[0]))]
+    assert [(c, n) for _, _, c, _, n in lg.segments_of(EN[0], spans, twins.classify([EN[0]]))] == [("en", 0)]
+    assert twins.classify([EN[0]])[0][1] < lg.MARGIN
+
+
+def test_short_texts_are_told_as_a_whole(spark, model):
+    df = rows(spark, [(1, "Die Witwe hat verkauft.", None, None), (2, "The widow. The steward.", None, None), (3, "12.", None, None)])
+    got = {r.id: (r.lang_code, r.sentences, r.confidence < 0.2) for r in lg.language_segments(df, ["id"], "text", model).collect()}
+    assert got == {1: ("de", 0, True), 2: ("en", 0, True), 3: (lg.UNDECIDED, 0, True)}

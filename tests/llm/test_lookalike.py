@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ostraka.llm.lookalike import CLASSES, SCRIPTS, canonical, lookalike_forms, lookalike_pairs
+from ostraka.llm.lookalike import CLASSES, SCRIPTS, canonical, lookalike_classes, lookalike_forms, lookalike_pairs
 
 TEXTS = [
     "Before three witnesses the elder Apollonios wrote to me, and said: no!\nOXO",
@@ -83,3 +83,22 @@ def test_pairs_match_brute_force_with_a_hot_group(spark):
     rows = [(i, "o" if i < 40 else variants[i % 4], None, None) for i in range(60)]
     want = sorted(("text", i, j) for i in range(60) for j in range(i + 1, 60) if rows[i][1] != rows[j][1])
     assert found(spark, rows) == want
+
+
+def test_classes_and_links_match_the_pairs(spark):
+    variants = ["o", "ο", "о", "o​", "q"]
+    rows = [(i, "o" if i < 20 else variants[i % 5], "x" if i % 7 else None, None) for i in range(40)]
+    df = spark.createDataFrame(rows, "id bigint, text string, lemma string, form string")
+    forms = lookalike_forms(df, "id", ["text", "lemma"])
+    links = {}
+    for field, a, b in found(spark, rows):
+        links[field, a] = links.get((field, a), 0) + 1
+        links[field, b] = links.get((field, b), 0) + 1
+    got = {(r.field_name, r.id): r.links for r in lookalike_classes(forms).collect()}
+    assert got == {(f, i): links.get((f, i), 0) for i, text, lemma, _ in rows for f, v in (("text", text), ("lemma", lemma)) if v is not None}
+    assert {r.class_id for r in lookalike_classes(forms).filter("field_name = 'lemma'").collect()} == {1}
+
+
+@pytest.mark.parametrize(("a", "b"), [("κῆπος", "кῆπος"), ("բառ ոսկի օր", "բառ nuկի oր"), ("ӏӏама", "llама")])
+def test_further_scripts(a, b):
+    assert canonical(a) == canonical(b)

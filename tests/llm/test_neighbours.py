@@ -38,7 +38,7 @@ def sample(n=240, dims=8, seed=1):
 
 def test_factor_one_is_exact(spark):
     rows = sample()
-    got = found(spark, rows, 5, factor=1.0, least_shards=4, shard_rows=40)
+    got = found(spark, rows, 5, factor=1.0, least_shards=4, shard_bytes=1280)
     want = brute(rows, 5, -1)
     assert {k: [x for x, _ in v] for k, v in got.items()} == {k: [x for x, _ in v] for k, v in want.items()}
 
@@ -54,16 +54,25 @@ def test_bounded_search_with_a_factor_keeps_recall(spark):
 def test_copies_ties_and_unusable_vectors(spark):
     one, two = [1.0, 0, 0], [0, 1.0, 0]
     rows = [("m", (i, 0), one if i % 3 else [2.0, 0, 0]) for i in range(40)] + [("m", (100, 0), two), ("m", (101, 0), [0.6, 0.8, 0]), ("m", (101, 0), [0.6, 0.8, 0])]
-    rows += [("m", (200, 0), [0, 0, 0]), ("m", (201, 0), None), ("m", (202, 0), []), ("m", (203, 0), [float("nan"), 1, 1]), ("m", (204, 0), [1.0, 2.0]), (None, (205, 0), one), ("n", (1, 0), one)]
+    rows += [("m", (200, 0), [0, 0, 0]), ("m", (201, 0), None), ("m", (202, 0), []), ("m", (203, 0), [float("nan"), 1, 1]), ("m", (204, 0), [1.0, 2.0]), ("m", (206, 0), [1.0, 2.1]), (None, (205, 0), one), ("n", (1, 0), one)]
     got = found(spark, rows, 3, least=0.5, factor=1.0)
     assert [x for x, _ in got["m", (20, 0)]] == [(0, 0), (1, 0), (2, 0)]
     assert [x for x, _ in got["m", (1, 0)]] == [(0, 0), (2, 0), (3, 0)]
     assert [x for x, _ in got["m", (101, 0)]] == [(100, 0), (0, 0), (1, 0)]
     assert [x for x, _ in got["m", (100, 0)]] == [(101, 0)]
-    assert not [k for k in got if k[1][0] >= 200] and ("n", (1, 0)) not in got
+    assert not [k for k in got if k[1][0] >= 200 and k[1][0] not in (204, 206)] and ("n", (1, 0)) not in got
+    # a rarer length is a space of its own
+    assert [x for x, _ in got["m", (204, 0)]] == [(206, 0)] and [x for x, _ in got["m", (206, 0)]] == [(204, 0)]
     assert found(spark, [], 3) == {}
 
 
+def test_samples_and_shards_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(nb, "SAMPLE_BYTES", 4096)
+    rows = sample(900, 16, 4)
+    got, want = found(spark, rows, 5, factor=1.0, sample_rows=8, shard_bytes=512), brute(rows, 5, -1)
+    assert {k: [x for x, _ in v] for k, v in got.items()} == {k: [x for x, _ in v] for k, v in want.items()}
+
+
 def test_queries_limit_who_asks(spark):
     rows = sample(120)
     df = spark.createDataFrame([(g, x, c, [float(a) for a in v]) for g, (x, c), v in rows], "m string, x bigint, c int, v array<float>")
