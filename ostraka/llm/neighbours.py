@@ -224,7 +224,7 @@ def similar_vectors(
 ) -> DataFrame:
     """The k most similar other keys of every key of one group: grp, a, b (structs of the keys), similarity.
 
-    Repeated keys of a group count once (the least vector is taken). ``query`` limits the keys that
+    Repeated keys of a group count once (of several vectors that of the least digest is taken). ``query`` limits the keys that
     ask, not those that may be found. Vectors without a direction or of null group neither ask nor are
     found; those of each length within a group are a space of their own, as vectors of two lengths have
     no angle. Only partners of a cosine of ``least`` or more are given. Of equally similar keys the
@@ -235,10 +235,11 @@ def similar_vectors(
         raise ValueError("k and factor must be at least 1, and there must be keys")
     asks = F.lit(True) if query is None else F.coalesce(query, F.lit(False))
     rows = df.select(F.col(group).cast("string").alias("grp"), F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)]).alias("key"), asks.alias("asks"), unit_vector(F.col(vector)).alias("v"))
-    rows = cut(rows.filter(F.col("v").isNotNull() & F.col("grp").isNotNull()).groupBy("grp", "key").agg(F.min("v").alias("v"), F.max("asks").alias("asks")))
-    # copies are told by a digest, so that later joins needn't move the vectors
-    rows = rows.withColumn("cid", F.unhex(F.md5("v")))
-    unique = cut(rows.groupBy("grp", "cid").agg(F.min("v").alias("v"), F.min("key").alias("uid"), F.max("asks").alias("asks"), F.count(F.lit(1)).alias("copies")))
+    # copies are told by a digest; keys and digests are settled first, so that a vector is moved once, and no copy of it
+    each = rows.filter(F.col("v").isNotNull() & F.col("grp").isNotNull()).withColumn("cid", F.unhex(F.md5("v")))
+    rows = cut(each.groupBy("grp", "key").agg(F.min("cid").alias("cid"), F.max("asks").alias("asks")))
+    owners = rows.groupBy("grp", "cid").agg(F.min("key").alias("uid"), F.max("asks").alias("asks"), F.count(F.lit(1)).alias("copies"))
+    unique = cut(each.groupBy("grp", "cid").agg(F.first("v").alias("v")).join(owners, ["grp", "cid"]))
     trees = routing_trees(unique, sample_rows, shard_bytes, least_shards)
     reach = float(angles(np.array([least]))[0]) / factor
     uid_type, grp_type = unique.schema["uid"].dataType, T.StringType()
