@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 XML_BLANKS = "[ \\t\\r\\n]+"
+#: What ``str.split`` and ``str.strip`` take for blank.
+BLANK = r"\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+BLANKS = f"[{BLANK}]+"
 #: Words end at white space; a chunk is so many words and the next begins a tenth earlier.
 CHUNK_WORDS = 500
 #: A sentence ends after one of these, closing quotes included.
 SENTENCE_END = re.compile("[.!?;\u037e\u00b7\u0387][\"'\u2019\u201d\u00bb)\\]]*\\Z")
-#: Labels of the languages met, by first subtag.
+#: Labels of the ancient languages, by first subtag; other tags are their own label.
 LANGUAGE_LABELS = {
-    "ar": "arabic", "ara": "arabic", "cop": "coptic", "de": "german", "deu": "german", "ger": "german", "el": "greek", "en": "english", "eng": "english", "es": "spanish",
-    "fr": "french", "fra": "french", "fre": "french", "grc": "greek", "greek": "greek", "it": "italian", "ita": "italian", "la": "latin", "lat": "latin", "latin": "latin",
+    "ar": "arabic", "ara": "arabic", "cop": "coptic", "coptic": "coptic", "dem": "demotic", "demotic": "demotic", "egy": "egyptian", "egyptian": "egyptian", "el": "greek", "grc": "greek",
+    "greek": "greek", "he": "hebrew", "heb": "hebrew", "hebrew": "hebrew", "la": "latin", "lat": "latin", "latin": "latin", "syr": "syriac", "syc": "syriac", "syriac": "syriac",
 }
 #: Languages with a lemmatiser, by first subtag.
 LEMMA_LANGUAGES = {"cop": "cop", "coptic": "cop", "el": "grc", "grc": "grc", "greek": "grc", "la": "lat", "lat": "lat", "latin": "lat"}
@@ -39,11 +42,21 @@ def xml_normalized(value: Column) -> Column:
 
 def unicode_normalized(value: Column) -> Column:
     """Unicode white space collapsed and trimmed."""
-    return F.trim(F.regexp_replace(value, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(value, BLANKS, " "))
+
+
+def stripped(value: Column) -> Column:
+    """Without blanks of any kind at its ends."""
+    return F.regexp_replace(value, rf"\A{BLANKS}|{BLANKS}\z", "")
+
+
+def not_blank(value: Column) -> Column:
+    """Whether a text holds anything but blanks; null for null."""
+    return value.rlike(f"[^{BLANK}]")
 
 
 def null_if_blank(value: Column) -> Column:
-    return F.nullif(F.trim(value), F.lit(""))
+    return F.nullif(stripped(value), F.lit(""))
 
 
 def without_placeholder(value: Column, *placeholders: str) -> Column:
@@ -85,7 +98,7 @@ def split_variants(value: Column) -> Column:
 
 def words(text: Column) -> Column:
     """The words of a text: what white space leaves."""
-    return F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
+    return F.filter(F.split(text, BLANKS), lambda w: w != "")
 
 
 def word_chunks(text: Column, size: int = CHUNK_WORDS) -> Column:
@@ -131,9 +144,13 @@ def sentence_chunks(text: Column, max_words: int = 50) -> Column:
     return run(text)
 
 
+#: What parts words: all that is neither letter nor accent nor figure.
+NO_WORD = r"[^\p{L}\p{M}\p{N}]+"
+
+
 def lexemes(text: Column) -> Column:
-    """Lower-cased runs of letters and figures, in order."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    """Lower-cased runs of letters, their accents, and figures, in order; composed and decomposed words stay two."""
+    return F.filter(F.split(F.lower(text), NO_WORD), lambda w: w != "")
 
 
 def text_length_bucket(text: Column) -> Column:
@@ -147,11 +164,12 @@ def estimated_tokens(text: Column) -> Column:
 
 
 def target_kind(url: Column) -> Column:
-    """What a pointer leads to: biblio, doi, a host without www., local_fragment or other."""
-    host = F.regexp_replace(F.try_parse_url(url, F.lit("HOST")), r"^www\.", "")
+    """What a pointer leads to: papyri.info/biblio, doi, the host of a web address without www., local_fragment or other."""
+    host = F.regexp_extract(url, r"^https?://(?:www\.)?([^/]*)", 1)
     return (
-        F.when(url.rlike("papyri\\.info/biblio/[0-9]+"), "biblio").when(url.rlike("^(https?://(dx\\.)?doi\\.org/|doi:)"), "doi").when(url.startswith("#"), "local_fragment").otherwise(F.coalesce(host, F.lit("other")))
-    )
+        F.when(url.rlike(BIBLIO), "papyri.info/biblio").when(url.contains("doi.org/") | F.lower(url).startswith("doi:"), "doi").when(url.rlike("^https?://"), host)
+        .when(url.startswith("#"), "local_fragment").otherwise(F.when(url.isNotNull(), "other"))
+    )
 
 
 def first_match(value: Column, pattern: str, group: int = 1) -> Column:
@@ -159,11 +177,11 @@ def first_match(value: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(value, pattern, group), F.lit(""))
 
 
-#: References in the ``ref`` attributes of names and titles.
-TM_PLACE = r"trismegistos\.org/place/([0-9]+)"
-PLEIADES = r"pleiades\.stoa\.org/places/([0-9]+)"
-TM_AUTHORWORK = r"trismegistos\.org/authorwork/([0-9]+)"
-PERSEUS_AUTHOR = r"(urn:cts:[a-zA-Z]+:[a-z0-9]+)"
+#: References in the ``ref`` attributes of names and titles; work ids stand at the start of a reference.
+TM_PLACE = r"trismegistos\.org/place/([0-9]+)\b"
+PLEIADES = r"pleiades\.stoa\.org/places/([0-9]+)\b"
+TM_AUTHORWORK = r"(?:https?://)?(?:www\.)?trismegistos\.org/authorwork/([0-9]+)\b"
+PERSEUS_AUTHOR = r"(urn:cts:[^\s]+)"
 BIBLIO = r"papyri\.info/biblio/([0-9]+)"
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ostraka.functions.text import CHUNK_WORDS, word_chunks
+from ostraka.functions.text import CHUNK_WORDS, not_blank, word_chunks
 
 KEY = ("xml_id", "model_name", "chunk_index")
 COLUMNS = ("xml_id", "model_name", "chunk_index", "source_path", "tm_id", "language", "document_text", "input_hash", "embedding", "updated_at")
@@ -25,7 +25,7 @@ Embed = Callable[[list[str]], list]
 
 def document_chunks(documents: DataFrame, model: str, language: Column, size: int = CHUNK_WORDS) -> DataFrame:
     """Chunk rows of documents (transcription_id, source_path, tm_id, text); blank texts give none."""
-    rows = documents.filter(F.trim("text") != "").select(
+    rows = documents.filter(not_blank(F.col("text"))).select(
         F.col("transcription_id").alias("xml_id"), F.lit(model).alias("model_name"), F.posexplode(word_chunks(F.col("text"), size)).alias("chunk_index", "document_text"),
         "source_path", F.col("tm_id").cast("string").alias("tm_id"), language.alias("language"),
     )

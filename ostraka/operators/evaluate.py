@@ -2,7 +2,8 @@
 
 Documents are compared by their nearest pair of chunks. The vectors of each model are dealt to blocks
 of bounded size, every pair of a query block and a candidate block is one task, and its products are
-matrix multiplications; only counts and the nearest few of each query leave the task.
+matrix multiplications; only counts and the nearest few of each query leave the task. Documents of very
+many chunks are dealt in parts; the distances of their parts are put together before they are ranked.
 """
 
 from __future__ import annotations
@@ -12,13 +13,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ostraka.functions.text import language_label
+from ostraka.session import cut
 
 BLOCK_ROWS = 32_768
 TILE_ROWS = 128
+#: Chunks of a document that stay together.
+SPLIT_ROWS = 4_096
 DECIMALS = 10
 RANKS = (1, 2, 3, 4, 5)
 
@@ -49,90 +53,125 @@ def _distances(queries: np.ndarray, candidates: np.ndarray, starts: np.ndarray)
     return np.round(out, DECIMALS)
 
 
+def _vectors(column: pa.ChunkedArray) -> np.ndarray:
+    """Lists of one length as rows of a matrix."""
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if not len(lists):
+        return np.zeros((0, 1))
+    lengths = lists.value_lengths()
+    if pc.min(lengths).as_py() != pc.max(lengths).as_py():
+        raise ValueError("vectors of one model have several dimensions")
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
+
+
 def _by_document(table: pa.Table, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Table]:
-    part = table.filter(pc.equal(table["side"], side)).sort_by([("tm_id", "ascending")])
-    ids = np.asarray(part["tm_id"].to_pylist(), dtype=object)
-    starts = np.nonzero(np.r_[True, ids[1:] != ids[:-1]])[0] if len(ids) else np.zeros(0, dtype=np.int64)
-    vectors = np.asarray(part["embedding"].to_pylist(), dtype=np.float64) if len(ids) else np.zeros((0, 1))
-    return ids[starts], starts, _unit(vectors), part.take(pa.array(starts))
+    """Ids and first rows of the documents (or their parts) of one side, all vectors, and the first rows' columns."""
+    part = table.filter(pc.equal(table["side"], side)).sort_by([("tm_id", "ascending"), ("part", "ascending")])
+    ids, parts = np.asarray(part["tm_id"].to_pylist(), dtype=object), part["part"].to_numpy()
+    starts = np.nonzero(np.r_[True, (ids[1:] != ids[:-1]) | (parts[1:] != parts[:-1])])[0] if len(ids) else np.zeros(0, dtype=np.int64)
+    return ids[starts], starts, _unit(_vectors(part["embedding"])), part.take(pa.array(starts))
 
 
-def _block_counts(queries: DataFrame, candidates: DataFrame, block_rows: int) -> tuple[int, int]:
-    every = queries.select(F.lit("q").alias("side")).unionByName(candidates.select(F.lit("c").alias("side")))
-    counts = {r["side"]: max(1, -(-r["count"] // block_rows)) for r in every.groupBy("side").count().collect()}
-    return counts.get("q", 1), counts.get("c", 1)
+def _dealt(rows: DataFrame, documents: DataFrame, split_rows: int) -> DataFrame:
+    """Chunks with the part of the document that they belong to; ``documents`` has its number of chunks."""
+    marked = rows.filter(F.col("embedding").isNotNull()).select("model_name", "tm_id", "embedding", F.xxhash64(*rows.columns).alias("__hash"))
+    parts = documents.withColumn("parts", F.ceil(F.col("chunks") / split_rows).cast("int")).drop("chunks")
+    return marked.join(parts, ["model_name", "tm_id"]).withColumn("part", F.pmod(F.col("__hash"), F.col("parts")).cast("int")).drop("__hash")
 
 
-def _blocks(queries: DataFrame, candidates: DataFrame, n_q: int, n_c: int) -> DataFrame:
-    """Every pair of a block of queries and a block of candidates of one model; a document is in one block."""
+def _numbers(rows: DataFrame, block_rows: int) -> dict[str, int]:
+    """Blocks of every model: one row for each comes to the driver."""
+    return {r["model_name"]: max(1, -(-r["count"] // block_rows)) for r in rows.groupBy("model_name").count().collect()}
 
-    def dealt(rows: DataFrame, side: str, own: int, other: int) -> DataFrame:
-        mine = F.pmod(F.xxhash64("tm_id"), F.lit(own)).cast("int").alias("q" if side == "q" else "c")
-        with_all = F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias("c" if side == "q" else "q")
-        return rows.select("model_name", F.lit(side).alias("side"), "tm_id", "path", "embedding", "target", mine, with_all)
 
-    return dealt(queries, "q", n_q, n_c).unionByName(dealt(candidates, "c", n_c, n_q))
+def _of_model(numbers: dict[str, int]):
+    return F.create_map(*[x for m, n in numbers.items() for x in (F.lit(m), F.lit(n))])[F.col("model_name")] if numbers else F.lit(1)
 
 
-def target_ranks(transcriptions: DataFrame, translations: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def target_ranks(transcriptions: DataFrame, translations: DataFrame, block_rows: int = BLOCK_ROWS, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Every query document with the rank of its own translation among all of its model, and its five nearest.
 
     Order: distance, record (as text), path. First each query's distance to its own translation is
     found, then how many candidates come before that; only counts and five candidates for each query
-    and block leave a task, never all pairs. A vector of length zero is at distance NaN, which is last.
+    and block leave a task, never all pairs, but for those of documents that are dealt in parts. A
+    vector of length zero is at distance NaN, which is last; rows without a vector don't count.
     """
+    key = ["model_name", "tm_id"]
     queries = query_documents(transcriptions, translations)
-    none = F.lit(None).cast("double").alias("target")
-    asked = transcriptions.join(queries.select("model_name", "tm_id"), ["model_name", "tm_id"], "left_semi").select("model_name", "tm_id", F.lit("").alias("path"), "embedding", none)
-    paths = translations.groupBy("model_name", "tm_id").agg(F.min("source_path").alias("path"))
-    given = translations.select("model_name", "tm_id", "embedding").join(paths, ["model_name", "tm_id"]).select("model_name", "tm_id", "path", "embedding", none)
-    own_schema = "model_name string, tm_id string, target double"
+    candidates = translations.groupBy(*key).agg(F.min("source_path").alias("path"), F.count(F.lit(1)).alias("chunks"))
+    asked = _dealt(transcriptions, queries.select(*key, "chunks", F.lit("").alias("path")), split_rows)
+    given = _dealt(translations, candidates, split_rows)
+    n_q, n_c = _numbers(asked, block_rows), _numbers(given, block_rows)
+
+    # distances to the own translation: a query and its translation hash alike, each part meets each part
+    parts_of = lambda rows, name: rows.select(*key, F.col("parts").alias(name)).distinct()
+    bucket = F.pmod(F.xxhash64("tm_id"), 8 * (F.coalesce(_of_model(n_q), F.lit(1)) + F.coalesce(_of_model(n_c), F.lit(1)))).cast("int").alias("bucket")
+    columns = (*key, "embedding", "part", bucket)
+    mine = asked.join(parts_of(given, "others"), key).select(F.lit("q").alias("side"), *columns, F.col("part").alias("q"), F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("c"))
+    other = given.join(parts_of(asked, "others"), key).select(F.lit("c").alias("side"), *columns, F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("q"), F.col("part").alias("c"))
 
     def own(table: pa.Table) -> pa.Table:
         q_ids, q_at, q, _ = _by_document(table, "q")
         c_ids, c_at, c, _ = _by_document(table, "c")
         place = {t: i for i, t in enumerate(c_ids)}
-        c_ends = np.r_[c_at[1:], len(c)]
+        q_ends, c_ends = np.r_[q_at[1:], len(q)], np.r_[c_at[1:], len(c)]
         rows = []
         for n, tm in enumerate(q_ids):
-            if len(c_ids) and tm in place:
+            if tm in place:
                 i = place[tm]
-                end = q_at[n + 1] if n + 1 < len(q_at) else len(q)
-                rows.append((tm, float(_distances(q[q_at[n] : end], c[c_at[i] : c_ends[i]], np.zeros(1, dtype=np.int64))[0])))
+                rows.append((tm, float(_distances(q[q_at[n] : q_ends[n]], c[c_at[i] : c_ends[i]], np.zeros(1, dtype=np.int64))[0])))
         return pa.table([pa.array([table["model_name"][0].as_py()] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64())], names=["model_name", "tm_id", "target"])
 
-    matched = given.join(asked.select("model_name", "tm_id").distinct(), ["model_name", "tm_id"], "left_semi")
-    # a query and its own translation hash alike: both sides are dealt to one block of as many
-    n_q, n_c = _block_counts(asked, given, block_rows)
-    same = asked.withColumn("side", F.lit("q")).unionByName(matched.withColumn("side", F.lit("c"))).withColumn("block", F.pmod(F.xxhash64("tm_id"), F.lit(8 * (n_q + n_c))))
-    targets = same.groupBy("model_name", "block").applyInArrow(own, own_schema)
-    asked = asked.drop("target").join(targets, ["model_name", "tm_id"], "left").select("model_name", "tm_id", "path", "embedding", "target")
-    near_schema = "model_name string, tm_id string, ahead bigint, near array<struct<distance:double,tm_id:string,path:string>>"
+    found = mine.unionByName(other).groupBy("model_name", "bucket", "q", "c").applyInArrow(own, "model_name string, tm_id string, target double")
+    targets = cut(found.groupBy(*key).agg(F.min("target").alias("target")))
+
+    # every block of queries meets every block of candidates of its model
+    columns = (*key, "path", "embedding", "part", "parts", "target")
+    q_side = asked.join(targets, key, "left").select(F.lit("q").alias("side"), *columns, F.pmod(F.xxhash64("tm_id", "part"), _of_model(n_q)).cast("int").alias("q"), F.explode(F.sequence(F.lit(0), F.coalesce(_of_model(n_c), F.lit(1)) - 1)).alias("c"))
+    c_side = given.withColumn("target", F.lit(None).cast("double")).select(F.lit("c").alias("side"), *columns, F.explode(F.sequence(F.lit(0), F.coalesce(_of_model(n_q), F.lit(1)) - 1)).alias("q"), F.pmod(F.xxhash64("tm_id", "part"), _of_model(n_c)).cast("int").alias("c"))
+    near_schema = "model_name string, tm_id string, ahead bigint, near array<struct<distance:double,tm_id:string,path:string>>, other string, path string, distance double"
 
     def near(table: pa.Table) -> pa.Table:
         q_ids, q_at, q, q_rows = _by_document(table, "q")
         c_ids, c_at, c, c_rows = _by_document(table, "c")
-        names = c_rows["path"].to_pylist()
-        rows = []
+        names, whole = c_rows["path"].to_pylist(), c_rows["parts"].to_numpy() == 1
+        places = np.nonzero(whole)[0]
+        q_ends, q_whole, goals = np.r_[q_at[1:], len(q)], q_rows["parts"].to_numpy() == 1, q_rows["target"].to_pylist()
+        counts: list[tuple] = []
+        pairs: list[tuple] = []
         for n, tm in enumerate(q_ids):
-            end = q_at[n + 1] if n + 1 < len(q_at) else len(q)
-            target = q_rows["target"][n].as_py()
             if not len(c_ids):
-                continue
-            d = _distances(q[q_at[n] : end], c, c_at)
-            sort = np.where(np.isnan(d), np.inf, d)
-            best = np.lexsort((np.arange(len(d)), sort))[: len(RANKS)]
-            # a target at NaN is met as no target: candidates before it are counted as those that aren't NaN
-            goal = np.inf if target is None or np.isnan(target) else target
-            same_place = c_ids < tm
-            ahead = int(((sort < goal) | (sort == goal) & same_place & (c_ids != tm)).sum())
-            rows.append((tm, ahead, [{"distance": float(d[i]), "tm_id": c_ids[i], "path": names[i]} for i in best]))
+                break
+            d = _distances(q[q_at[n] : q_ends[n]], c, c_at)
+            apart = np.nonzero(~whole)[0] if q_whole[n] else np.arange(len(d))
+            pairs += [(tm, c_ids[i], names[i], float(d[i])) for i in apart]
+            if q_whole[n]:
+                sort, ids = np.where(np.isnan(d[places]), np.inf, d[places]), c_ids[places]
+                best = places[np.lexsort((np.arange(len(sort)), sort))[: len(RANKS)]]
+                # a target at NaN is met as no target: candidates before it are counted as those that aren't NaN
+                goal = np.inf if goals[n] is None or np.isnan(goals[n]) else goals[n]
+                ahead = int(((sort < goal) | (sort == goal) & (ids < tm) & (ids != tm)).sum()) if len(sort) else 0
+                counts.append((tm, ahead, [{"distance": float(d[i]), "tm_id": c_ids[i], "path": names[i]} for i in best]))
+        a, b, model = len(counts), len(pairs), table["model_name"][0].as_py()
         near_type = pa.list_(pa.struct([("distance", pa.float64()), ("tm_id", pa.string()), ("path", pa.string())]))
-        return pa.table([pa.array([table["model_name"][0].as_py()] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], near_type)], names=["model_name", "tm_id", "ahead", "near"])
-
-    met = _blocks(asked, given, n_q, n_c).groupBy("model_name", "q", "c").applyInArrow(near, near_schema)
-    merged = met.groupBy("model_name", "tm_id").agg((F.sum("ahead") + 1).cast("int").alias("rank"), F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, len(RANKS)).alias("nearest"))
-    out = queries.join(merged, ["model_name", "tm_id"], "left")
+        columns = [
+            pa.array([model] * (a + b), pa.string()), pa.array([r[0] for r in counts] + [r[0] for r in pairs], pa.string()), pa.array([r[1] for r in counts] + [None] * b, pa.int64()),
+            pa.array([r[2] for r in counts] + [None] * b, near_type), *[pa.array([None] * a + [r[i] for r in pairs], t) for i, t in ((1, pa.string()), (2, pa.string()), (3, pa.float64()))],
+        ]
+        return pa.table(columns, names=["model_name", "tm_id", "ahead", "near", "other", "path", "distance"])
+
+    met = cut(q_side.unionByName(c_side).groupBy("model_name", "q", "c").applyInArrow(near, near_schema))
+    whole = met.filter("near is not null").select(*key, "ahead", "near")
+    pairs = met.filter("other is not null").groupBy(*key, "other").agg(F.min("distance").alias("distance"), F.min("path").alias("path")).join(targets, key, "left")
+    last = F.lit(float("inf"))
+    at, goal = F.when(F.isnan("distance"), last).otherwise(F.col("distance")), F.when(F.col("target").isNull() | F.isnan("target"), last).otherwise(F.col("target"))
+    before = ((at < goal) | (at == goal) & (F.col("other") < F.col("tm_id"))).cast("bigint")
+    counted = pairs.groupBy(*key).agg(F.sum(before).alias("ahead"), F.array().cast("array<struct<distance:double,tm_id:string,path:string>>").alias("near"))
+    first = pairs.withColumn("place", F.row_number().over(Window.partitionBy(*key).orderBy("distance", "other"))).filter(F.col("place") <= len(RANKS))
+    best = first.select(*key, F.lit(0).cast("bigint").alias("ahead"), F.array(F.struct("distance", F.col("other").alias("tm_id"), "path")).alias("near"))
+    every = whole.unionByName(counted).unionByName(best)
+    merged = every.groupBy(*key).agg((F.sum("ahead") + 1).cast("int").alias("rank"), F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, len(RANKS)).alias("nearest"))
+    out = queries.join(merged, key, "left")
     return out.withColumn("language_label", language_label(F.col("language"))).withColumn("chunk_group", chunk_group(F.col("chunks")))
 
 

@@ -10,24 +10,35 @@ import html.parser
 import json
 import math
 import re
+import xml.etree.ElementTree as ET
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from urllib.parse import urljoin, urlsplit
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ostraka.operators.render import local, parse
+from ostraka.session import cut
 
 OUTCOMES = ("already_present", "broken", "unavailable", "downloaded", "failed")
 
 
 @dataclass(frozen=True)
 class Handler:
-    """A site: its hosts and the form of the paths that it serves; the first that fits is responsible."""
+    """A site: its hosts, the form of the paths that it serves, and what the query must say; the first that fits is responsible.
+
+    ``query`` has (name, pattern): some value of that name must fit, decoded; ``lacks`` are names without any value.
+    """
 
     name: str
     hosts: tuple[str, ...]
     path: str = ".*"
     schemes: tuple[str, ...] = ("http", "https")
+    query: tuple[tuple[str, str], ...] = ()
+    lacks: tuple[str, ...] = ()
 
 
 # The sites, in order of precedence.
@@ -35,22 +46,28 @@ HANDLERS = (
     Handler("Aphrodito", ("bipab.aphrodito.info",), r"/pages_html/[^/]+\.html"),
     Handler("BritishMuseum", ("www.britishmuseum.org",), r"/collection/object/[^/]+/?"),
     Handler("Bodleian", ("digital.bodleian.ox.ac.uk",), r"/objects/[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}/?"),
-    Handler("CairoMuseum", ("ipap.csad.ox.ac.uk",)),
+    Handler("CairoMuseum", ("ipap.csad.ox.ac.uk",), r"/4DLink4/4DACTION/IPAPwebquery/*|.*[^/]\.(?i:bmp|gif|jp2|jpe?g|png|tiff?)"),
     Handler("DOI", ("doi.org",), schemes=("https",)),
-    Handler("Egnet", ("www.ifao.egnet.net",), r"/bases/publications/fifao(67|81)/.*"),
+    Handler("Egnet", ("www.ifao.egnet.net",), r"/bases/publications/fifao(67|81)/*", query=(("id", r"[A-Za-z0-9_-]+"),)),
+    Handler("Egnet", ("www.ifao.egnet.net",), r"/bases/publications/fifao67/*", query=(("os", r"[0-9]+"),), lacks=("id",)),
     Handler("Louvre", ("collections.louvre.fr",), r"/([a-z]{2}/)?ark:/53355/cl\d+/?"),
     Handler("MetMuseum", ("www.metmuseum.org",), r"/([a-z]{2}/)?art/collection/search/\d+/?"),
     Handler("Nakala", ("api.nakala.fr",), r"/iiif/10\.34847/nkl\.[^/]+/[0-9a-f]{40}/?.*"),
-    Handler("ONB", ("api.onb.ac.at", "data.onb.ac.at", "digital.onb.ac.at", "onb.digital", "search.onb.ac.at", "viewer.onb.ac.at")),
+    Handler("ONB", ("data.onb.ac.at",), r"/re[cp](/.*)?"),
+    Handler("ONB", ("onb.digital",), r"/result(/.*)?"),
+    Handler("ONB", ("digital.onb.ac.at",), r"/rep/access/open(/.*)?"),
+    Handler("ONB", ("viewer.onb.ac.at",)),
+    Handler("ONB", ("search.onb.ac.at",), r"/primo-explore/fulldisplay(/.*)?"),
+    Handler("ONB", ("api.onb.ac.at",), r"/iiif/presentation/v3/manifest(/.*)?"),
     Handler("Oxford", ("portal.sds.ox.ac.uk",), r"/articles/online_resource/[^/]+/\d+(/\d+)?/?"),
     Handler("BerlPap", ("berlpap.smb.museum",)),
     Handler("PapyrusPortal", ("www.papyrusportal.de", "papyrusportal.de", "papyri.uni-leipzig.de"), r"/(receive|rsc/viewer)(/.*)?"),
-    Handler("PSIOnline", ("psi-online.it", "www.psi-online.it"), r"/documents/.*"),
+    Handler("PSIOnline", ("psi-online.it", "www.psi-online.it"), r"/documents/(?!download$).+"),
     Handler("UBHeidelberg", ("digi.ub.uni-heidelberg.de",), r"/diglit/[^/]+/?"),
     Handler("UniHamburg", ("resolver.sub.uni-hamburg.de",), r"/(goobi|kitodo)/[^/]+/?"),
     Handler("UniKoeln", ("www.uni-koeln.de",), r"/phil-fak/ifa/NRWakademie/papyrologie/.*\.html?"),
     Handler("UMichigan", ("quod.lib.umich.edu",), r"/a/apis/x-\d+/?"),
-    Handler("UCL", ("petriecat.museums.ucl.ac.uk",), r"/dispatcher\.aspx"),
+    Handler("UCL", ("petriecat.museums.ucl.ac.uk",), r"(?i:/dispatcher\.aspx)", query=(("action", "(?i:search)"), ("database", "(?i:choiceuclpc)"), ("search", r"""(?s:.*)(?i:\baccession_number\s*=\s*(['"])UC[0-9]+[A-Z0-9 ._-]*\1)(?s:.*)"""))),
     Handler("UCBerkeley", ("digicoll.lib.berkeley.edu",), r"/record/\d+/?"),
     Handler("Warsaw", ("www.papyrology.uw.edu.pl",), r"/papyri/[^/]+\.htm"),
     Handler("Yale", ("hdl.handle.net",), r"/10079/digcoll/\d+/?"),
@@ -72,10 +89,25 @@ def responsible_handler(url: Column, handlers: Sequence[Handler] = HANDLERS) ->
     out = None
     for h in handlers:
         fits = scheme.isin(*h.schemes) & host.isin(*h.hosts) & path.rlike(f"^(?:{h.path})$")
+        for name, pattern in h.query:
+            fits = fits & _any_fits(query_values(url, name), rf"\A(?:{pattern})\z")
+        for name in h.lacks:
+            fits = fits & (F.size(query_values(url, name)) == 0)
         out = F.when(fits, h.name) if out is None else out.when(fits, h.name)
     return out
 
 
+def _any_fits(values: Column, pattern: str) -> Column:
+    return F.exists(values, lambda v: v.rlike(pattern))
+
+
+def query_values(url: Column, name: str) -> Column:
+    """The decoded values, not the empty ones, of a name in the query of an address."""
+    pairs = F.split(F.coalesce(F.try_parse_url(url, F.lit("QUERY")), F.lit("")), "&")
+    named = F.filter(pairs, lambda p: p.startswith(f"{name}=") & (F.length(p) > len(name) + 1))
+    return F.transform(named, lambda p: F.coalesce(F.try_url_decode(F.substr(p, F.lit(len(name) + 2))), p))
+
+
 def manifest_url(url: Column, handler: Column) -> Column:
     path = F.try_parse_url(url, F.lit("PATH"))
     out = F.lit(None).cast("string")
@@ -90,6 +122,36 @@ def safe_relative_path(path: Column) -> Column:
     return ~path.startswith("/") & ~F.array_contains(F.split(path, "/"), "..") & (path != "")
 
 
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _graphics(values: pa.Array) -> pa.Array:
+    out = []
+    for v in values.to_pylist():
+        try:
+            out.append(None if v is None else [n.get("url") for n in parse(v).iter() if local(n) == "graphic" and n.get("url")])
+        except (ET.ParseError, ValueError):
+            out.append(None)
+    return pa.array(out, pa.list_(pa.string()))
+
+
+def graphic_links(records: DataFrame, xml: str = "xml", key: str = "tm_id") -> DataFrame:
+    """(tm_id, url) of every graphic with an address in the metadata of records; null or broken XML gives none."""
+    return records.select(F.col(key).alias("tm_id"), F.explode(_graphics(F.col(xml))).alias("url"))
+
+
+def image_run(links: DataFrame, entries: DataFrame, files: DataFrame, broken: DataFrame, fetched: DataFrame | None = None) -> DataFrame:
+    """What becomes of every link (tm_id, url): handler, outcome.
+
+    Done and known broken links are settled first, and those without a handler are left to do. The
+    others are queued; ``fetched`` (tm_id, url, result) says what fetching them gave: downloaded,
+    unavailable or failed, as far as it went.
+    """
+    found = classified_links(links, complete_entries(entries, files), broken)
+    if fetched is None:
+        return found
+    results = fetched.select("tm_id", "url", F.col("result").alias("__result")).distinct()
+    return found.join(results, ["tm_id", "url"], "left").select("tm_id", "url", "handler", F.when(F.col("outcome") == "queued", F.coalesce("__result", F.lit("queued"))).otherwise(F.col("outcome")).alias("outcome"))
+
+
 def complete_entries(entries: DataFrame, files: DataFrame) -> DataFrame:
     """Manifest entries (source_url, effective_url, files) all of whose files exist with that size and hash.
 
@@ -127,25 +189,37 @@ def broken_entries(lines: DataFrame) -> DataFrame:
 
 
 def merged_manifests(old: DataFrame, new: DataFrame) -> DataFrame:
-    """One entry for each source_url: ids and files of both, the new file where paths are equal; sorted."""
+    """One entry for each source_url: ids and files of both, the new file where paths are equal; sorted.
+
+    effective_url, scraper and scraped_at are those of the new entry, of the old one where there is none.
+    """
+    latest = ("effective_url", "scraper", "scraped_at")
+    every = old.select("source_url", *latest, F.lit(0).alias("age")).unionByName(new.select("source_url", *latest, F.lit(1).alias("age")))
+    said = every.groupBy("source_url").agg(F.max_by(F.struct(*latest), "age").alias("s")).select("source_url", "s.*")
     ids = old.select("source_url", "source_ids").unionByName(new.select("source_url", "source_ids")).groupBy("source_url").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("source_ids")))).alias("source_ids"))
     files = old.select("source_url", F.explode("files").alias("f"), F.lit(0).alias("age")).unionByName(new.select("source_url", F.explode("files").alias("f"), F.lit(1).alias("age")))
     newest = files.groupBy("source_url", F.col("f.path").alias("path")).agg(F.max_by("f", "age").alias("f"))
     kept = newest.groupBy("source_url").agg(F.array_sort(F.collect_list("f")).alias("files"))
-    return ids.join(kept, "source_url", "left").select("source_url", "source_ids", "files").orderBy("source_url")
+    return ids.join(said, "source_url").join(kept, "source_url", "left").select("source_url", "effective_url", "scraper", "source_ids", "scraped_at", "files").orderBy("source_url")
 
 
-def resolved_links(links: DataFrame, redirects: DataFrame, most_steps: int = 8) -> DataFrame:
-    """Links followed through redirects (url, target) to their end; ``status`` is ok, cycle or empty."""
+def resolved_links(links: DataFrame, redirects: DataFrame) -> DataFrame:
+    """Links followed through redirects (url, target) to their end; ``status`` is ok, cycle or empty.
+
+    Steps go on until no link moves any more; each is written to the checkpoint folder.
+    """
     out = links.select("url", F.col("url").alias("effective_url"), F.array("url").alias("seen"), F.lit("ok").alias("status"))
     step = redirects.select(F.col("url").alias("__from"), F.col("target").alias("__to"))
-    for _ in range(most_steps):
+    while True:
         on = (F.col("effective_url") == F.col("__from")) & (F.col("status") == "ok")
         moved = out.join(step, on, "left")
         again = F.array_contains("seen", F.col("__to"))
         status = F.when(F.col("__from").isNull(), F.col("status")).when(F.coalesce("__to", F.lit("")) == "", "empty").when(again, "cycle").otherwise("ok")
-        out = moved.select("url", F.when((status == "ok") & F.col("__to").isNotNull(), F.col("__to")).otherwise(F.col("effective_url")).alias("effective_url"), F.when(F.col("__to").isNotNull(), F.array_append("seen", F.col("__to"))).otherwise(F.col("seen")).alias("seen"), status.alias("status"))
-    return out.drop("seen")
+        out = moved.select("url", F.when((status == "ok") & F.col("__to").isNotNull(), F.col("__to")).otherwise(F.col("effective_url")).alias("effective_url"), F.when(F.col("__to").isNotNull(), F.array_append("seen", F.col("__to"))).otherwise(F.col("seen")).alias("seen"), status.alias("status"), (F.col("__from").isNotNull()).alias("moved"))
+        out = cut(out)
+        if out.filter("moved").isEmpty():
+            return out.drop("seen", "moved")
+        out = out.drop("moved")
 
 
 def apportioned(counts: Sequence[int], width: int) -> list[int]:
@@ -240,6 +314,7 @@ def manifest_images(manifest: str | dict) -> list[str]:
 
 def embedded_json(page: str) -> list:
     """The values assigned to a viewer's configuration in the scripts of a page."""
+    # The names of the variables.
     decoder, out = json.JSONDecoder(), []
     for m in re.finditer(r"\b(?:var\s+json|let\s+configuration)\s*=\s*", page):
         try:

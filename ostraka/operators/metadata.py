@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ostraka.functions.text import BIBLIO as BIBLIO_TARGET
+from ostraka.functions.text import PERSEUS_AUTHOR, PLEIADES, TM_AUTHORWORK, TM_PLACE
 from ostraka.operators.render import local, parse
 
 # Placeholders, and the kinds that places may have.
@@ -24,11 +26,8 @@ NO_IDENTIFIER = ("", "hgvTEMP")
 NO_VALUE = ("", "unbekannt", "keiner")
 PLACE_TYPES = ("located", "found", "composed", "sent", "acquired", "received")
 GRANULARITIES = ("settlement", "nome", "region")
-REFERENCE_TM = re.compile(r"trismegistos\.org/place/([0-9]+)\b")
-REFERENCE_PLEIADES = re.compile(r"pleiades\.stoa\.org/places/([0-9]+)\b")
-AUTHORWORK = re.compile(r"https?://(?:www\.)?trismegistos\.org/authorwork/([0-9]+)\Z")
-PERSEUS = re.compile(r"(urn:cts:[A-Za-z]+:[A-Za-z0-9]+)")
-BIBLIO = re.compile(r"papyri\.info/biblio/([0-9]+)")
+REFERENCE_TM, REFERENCE_PLEIADES = re.compile(TM_PLACE), re.compile(PLEIADES)
+AUTHORWORK, PERSEUS, BIBLIO = re.compile(TM_AUTHORWORK), re.compile(PERSEUS_AUTHOR), re.compile(BIBLIO_TARGET)
 DATE = re.compile(r"(-?\d{4,})(?:-(\d{2})(?:-(\d{2}))?)?\Z")
 XML_ID = "{http://www.w3.org/XML/1998/namespace}id"
 
@@ -131,7 +130,8 @@ def date_parts(value: str) -> tuple[int | None, int | None, int | None]:
 
 def keyword_parts(value: str) -> tuple[str, bool]:
     """A keyword without its marks of doubt, and whether it had one."""
-    return " ".join(re.sub(r"\(\s*\?\s*\)|\?", " ", value).split()), "?" in value
+    doubt = "?" in value
+    return " ".join(re.sub(r"\(\s*\?\s*\)|\?", "", value).split()) if doubt else value, doubt
 
 
 def person(forename: ET.Element | None, surname: ET.Element | None, author: ET.Element | None) -> str | None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ostraka.functions import dates
-from ostraka.functions.text import normalize_lookup, split_variants
+from ostraka.functions.text import normalize_lookup, split_variants, words
 from ostraka.operators.render import local, parse
 
 MANY_VALUES = 10_000
@@ -148,6 +148,6 @@ def reference_resolution(references: DataFrame, reference: str, known: DataFrame
 
 def length_profile(rows: DataFrame, text: str) -> DataFrame:
     """Exact percentiles of words in a text."""
-    n = F.size(F.filter(F.split(F.col(text), r"\s+"), lambda w: w != ""))
+    n = F.size(words(F.col(text)))
     shares = (0.1, 0.25, 0.5, 0.75, 0.9, 0.99)
     return rows.select(n.cast("double").alias("words")).agg(*[F.percentile("words", F.lit(p)).alias(f"p{int(100 * p)}") for p in shares], F.max("words").alias("longest"))

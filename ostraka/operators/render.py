@@ -248,6 +248,22 @@ def render_translation(xml: Column, language: str | None = None) -> Column:
     return _guarded(lambda v: translation_text(v, language), T.StringType(), pa.string())(xml)
 
 
+@F.arrow_udf(T.StringType())
+def _rendered(values: pa.Array, kinds: pa.Array) -> pa.Array:
+    out = []
+    for v, kind in zip(values.to_pylist(), kinds.to_pylist()):
+        try:
+            out.append(None if v is None else translation_text(v) if kind == "translation" else edition_text(v, FULLEST))
+        except (ET.ParseError, ValueError):
+            out.append(None)
+    return pa.array(out, pa.string())
+
+
+def render_document(xml: Column, kind: Column) -> Column:
+    """The fullest text of an edition or a translation, whichever ``kind`` says; each document is parsed once."""
+    return _rendered(xml, kind)
+
+
 def document_language(xml: Column) -> Column:
     return _guarded(transcription_language, T.StringType(), pa.string())(xml)
 

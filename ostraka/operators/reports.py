@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 from ostraka.functions import dates
 from ostraka.operators import profile
 
-#: Rows of a family that a report shows.
-SHOWN = 50
-
 
 def markdown_code(value: object, most: int = 90) -> str:
     """A value as code in a table cell: one line, bars escaped, cut at a length."""
@@ -23,17 +20,22 @@ def markdown_code(value: object, most: int = 90) -> str:
     return f"{mark}{text}{mark}"
 
 
-def to_markdown(families: Mapping[str, DataFrame], shown: int = SHOWN) -> str:
+def _rows(df: DataFrame, shown: int | None) -> list:
+    """All rows of a family, which is an aggregate that is read whole, or the first ones where a number is given."""
+    return (df if shown is None else df.limit(shown)).collect()
+
+
+def to_markdown(families: Mapping[str, DataFrame], shown: int | None = None) -> str:
     parts = []
     for title, df in families.items():
-        rows = df.limit(shown).collect()
+        rows = _rows(df, shown)
         parts += [f"## {title}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
         parts += ["| " + " | ".join("" if v is None else str(v) if isinstance(v, int | float) else markdown_code(v) for v in r) + " |" for r in rows] + [""]
     return "\n".join(parts)
 
 
-def to_json(families: Mapping[str, DataFrame], shown: int = SHOWN) -> str:
-    return json.dumps({t: [r.asDict(recursive=True) for r in df.limit(shown).collect()] for t, df in families.items()}, ensure_ascii=False, indent=2, default=str)
+def to_json(families: Mapping[str, DataFrame], shown: int | None = None) -> str:
+    return json.dumps({t: [r.asDict(recursive=True) for r in _rows(df, shown)] for t, df in families.items()}, ensure_ascii=False, indent=2, default=str)
 
 
 def date_families(orig_dates: DataFrame, records: DataFrame) -> dict[str, DataFrame]:

@@ -13,8 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ostraka.functions.dates import overlaps
-from ostraka.functions.text import lexemes
+from ostraka.functions.text import NO_WORD, lexemes
 from ostraka.session import cut
 
 K1, B = 1.2, 0.75
@@ -85,9 +84,14 @@ def filtered(documents: DataFrame, wanted: MetadataFilter | None, metadata: dict
     if wanted.material is not None:
         out = semi("papyri", F.col("material") == wanted.material)
     if wanted.not_before_year is not None or wanted.not_after_year is not None:
-        first = wanted.not_before_year if wanted.not_before_year is not None else -(1 << 30)
-        last = wanted.not_after_year if wanted.not_after_year is not None else 1 << 30
-        out = semi("orig_dates", ~F.col("alternative") & overlaps(F.col("not_before_year"), F.col("not_after_year"), first, last))
+        # a bound that a record leaves open fits every year, here also where both are
+        first, last = F.col("not_before_year"), F.col("not_after_year")
+        fits = ~F.col("alternative")
+        if wanted.not_before_year is not None:
+            fits = fits & (last.isNull() | (last >= wanted.not_before_year))
+        if wanted.not_after_year is not None:
+            fits = fits & (first.isNull() | (first <= wanted.not_after_year))
+        out = semi("orig_dates", fits)
     if wanted.keywords:
         out = semi("keywords", F.col("keyword").isin(*wanted.keywords))
     if wanted.tm_place_ids:
@@ -99,7 +103,7 @@ def query_lexemes(query: str) -> list[str]:
     """The different lexemes of a query, split as texts are."""
     import regex
 
-    return sorted({w for w in regex.split(r"[^\p{L}\p{N}]+", query.lower()) if w})
+    return sorted({w for w in regex.split(NO_WORD, query.lower()) if w})
 
 
 def bm25_scores(documents: DataFrame, key: str, text: str, query: str) -> DataFrame:

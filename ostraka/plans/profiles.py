@@ -77,7 +77,7 @@ def interval_overlap(spark: SparkSession, root: str) -> DataFrame:
 def interval_windows(spark: SparkSession, root: str) -> DataFrame:
     """Records by whether any, and whether all, of their places overlap or lie in 200 BCE to 100 CE."""
     g = table(spark, root, "export_geo").select(F.col("id").alias("tm_place_id"), "begin_date", "end_date")
-    rows = table(spark, root, "orig_places").join(g, "tm_place_id")
+    rows = table(spark, root, "orig_places").join(g, "tm_place_id", "left")
     return profile.date_windows(rows, "tm_id", "begin_date", "end_date", -200, 100)
 
 
@@ -98,7 +98,7 @@ def reference_resolution(spark: SparkSession, root: str) -> DataFrame:
 
 
 def length_profile(spark: SparkSession, root: str) -> DataFrame:
-    return profile.length_profile(table(spark, root, "transcriptions"), "lemma_text")
+    return profile.length_profile(table(spark, root, "transcriptions"), "text")
 
 
 def duplicate_records(spark: SparkSession, root: str) -> DataFrame:
@@ -116,6 +116,23 @@ def record_sets(spark: SparkSession, root: str) -> DataFrame:
 
 
 #: Addresses made of the identifiers of records, one form for each of several sites.
+#: Addresses with the handler that serves them, "" for none, one or more of every site: forms that fit and near misses.
+SITES = (
+    ("http://bipab.aphrodito.info/pages_html/a{}.html", "Aphrodito"), ("http://bipab.aphrodito.info/other/a{}.html", ""), ("https://www.britishmuseum.org/collection/object/Y_EA{}", "BritishMuseum"), ("https://www.britishmuseum.org/visit/{}", ""),
+    ("https://digital.bodleian.ox.ac.uk/objects/01234567-89ab-cdef-0123-456789abcdef/", "Bodleian"), ("https://digital.bodleian.ox.ac.uk/objects/{}/", ""), ("http://ipap.csad.ox.ac.uk/4DLink4/4DACTION/IPAPwebquery?vPub={}", "CairoMuseum"),
+    ("http://ipap.csad.ox.ac.uk/Cairo/{}.JPG", "CairoMuseum"), ("http://ipap.csad.ox.ac.uk/page/{}.html", ""), ("https://doi.org/10.1/{}", "DOI"), ("http://doi.org/10.1/{}", ""), ("http://www.ifao.egnet.net/bases/publications/fifao67/?id={}", "Egnet"),
+    ("http://www.ifao.egnet.net/bases/publications/fifao67?os={}", "Egnet"), ("http://www.ifao.egnet.net/bases/publications/fifao81/?os={}", ""), ("http://www.ifao.egnet.net/bases/publications/fifao67/?n={}", ""), ("https://collections.louvre.fr/en/ark:/53355/cl{}", "Louvre"),
+    ("https://collections.louvre.fr/en/album/{}", ""), ("https://www.metmuseum.org/art/collection/search/{}", "MetMuseum"), ("https://www.metmuseum.org/art/{}", ""), ("https://api.nakala.fr/iiif/10.34847/nkl.ab{}/0123456789abcdef0123456789abcdef01234567/full", "Nakala"),
+    ("https://api.nakala.fr/data/{}", ""), ("http://data.onb.ac.at/rec/RZ{}", "ONB"), ("http://data.onb.ac.at/record/RZ{}", ""), ("https://onb.digital/result/{}", "ONB"), ("https://digital.onb.ac.at/rep/access/open/{}", "ONB"), ("https://digital.onb.ac.at/rep/{}", ""),
+    ("https://viewer.onb.ac.at/{}", "ONB"), ("https://search.onb.ac.at/primo-explore/fulldisplay?docid={}", "ONB"), ("https://api.onb.ac.at/iiif/presentation/v3/manifest/{}", "ONB"), ("https://api.onb.ac.at/iiif/image/{}", ""),
+    ("https://portal.sds.ox.ac.uk/articles/online_resource/P_Oxy/{}", "Oxford"), ("https://portal.sds.ox.ac.uk/authors/{}", ""), ("https://berlpap.smb.museum/{}/", "BerlPap"), ("https://www.papyrusportal.de/receive/P_{}", "PapyrusPortal"), ("https://www.papyrusportal.de/about/{}", ""),
+    ("http://www.psi-online.it/documents/psi;{}", "PSIOnline"), ("http://www.psi-online.it/documents/download?filen={}", ""), ("http://www.psi-online.it/documents/", ""), ("https://digi.ub.uni-heidelberg.de/diglit/p{}", "UBHeidelberg"), ("https://digi.ub.uni-heidelberg.de/diglit/p{}/0001", ""),
+    ("https://resolver.sub.uni-hamburg.de/kitodo/HANSh{}", "UniHamburg"), ("https://resolver.sub.uni-hamburg.de/x/HANSh{}", ""), ("http://www.uni-koeln.de/phil-fak/ifa/NRWakademie/papyrologie/K{}.html", "UniKoeln"), ("http://www.uni-koeln.de/phil-fak/{}.html", ""),
+    ("https://quod.lib.umich.edu/a/apis/x-{}", "UMichigan"), ("https://quod.lib.umich.edu/a/apis/y-{}", ""), ("http://petriecat.museums.ucl.ac.uk/dispatcher.aspx?action=search&database=ChoiceUCLPC&search=accession_number%3D%27UC{}%27", "UCL"),
+    ("http://petriecat.museums.ucl.ac.uk/dispatcher.aspx?action=search&database=other&search=accession_number%3D%27UC{}%27", ""), ("http://petriecat.museums.ucl.ac.uk/dispatcher.aspx?action=search&database=ChoiceUCLPC&search=title%3D{}", ""),
+    ("https://digicoll.lib.berkeley.edu/record/{}", "UCBerkeley"), ("https://digicoll.lib.berkeley.edu/search/{}", ""), ("http://www.papyrology.uw.edu.pl/papyri/{}.htm", "Warsaw"), ("http://www.papyrology.uw.edu.pl/{}.htm", ""), ("http://hdl.handle.net/10079/digcoll/{}", "Yale"),
+    ("http://hdl.handle.net/10079/{}", ""), ("https://collections.library.yale.edu/catalog/{}", "Yale"), ("https://collections.library.yale.edu/about/{}", ""), ("https://example.org/{}", ""), ("", ""), ("not an address {}", ""),
+)
 ADDRESSES = ("https://quod.lib.umich.edu/a/apis/x-{}", "https://collections.library.yale.edu/catalog/{}", "http://www.papyrology.uw.edu.pl/papyri/{}.htm", "https://doi.org/10.1/{}", "https://example.org/{}")
 
 
@@ -125,10 +142,21 @@ def _links(spark: SparkSession, root: str) -> DataFrame:
 
 
 def image_handlers(spark: SparkSession, root: str) -> DataFrame:
-    links = _links(spark, root).withColumn("handler", images.responsible_handler(F.col("url")))
+    """Every form of address of every site, with the identifiers of all records put in."""
+    forms = F.explode(F.array(*[F.lit(a) for a, _ in SITES]))
+    urls = table(spark, root, "papyri").select(F.col("tm_id").cast("string").alias("tm_id"), forms.alias("form")).select("tm_id", F.replace("form", F.lit("{}"), F.col("tm_id")).alias("url")).distinct()
+    links = urls.withColumn("handler", images.responsible_handler(F.col("url")))
     return links.select("tm_id", "url", "handler", images.manifest_url(F.col("url"), F.col("handler")).alias("manifest"))
 
 
+def graphic_links(spark: SparkSession, root: str) -> DataFrame:
+    """Addresses written into records as graphics, one of them without an address, and read back."""
+    links = _links(spark, root).groupBy("tm_id").agg(F.array_sort(F.collect_list("url")).alias("urls"))
+    marks = F.array_join(F.transform("urls", lambda u: F.concat(F.lit('<graphic url="'), F.replace(u, F.lit("&"), F.lit("&amp;")), F.lit('"/>'))), "")
+    xml = F.concat(F.lit('<TEI xmlns="http://www.tei-c.org/ns/1.0"><facsimile><graphic/>'), marks, F.lit('<surface><graphic url="x"/></surface></facsimile></TEI>'))
+    return images.graphic_links(links.select("tm_id", xml.alias("xml")))
+
+
 def image_outcomes(spark: SparkSession, root: str) -> DataFrame:
     """Links by handler and outcome: records with an LDAB id are taken as done, those with an MP3 id as broken."""
     links, p = _links(spark, root), table(spark, root, "papyri").withColumn("tm_id", F.col("tm_id").cast("string"))
@@ -150,7 +178,7 @@ def name_variants(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     path_inventory, attribute_values, place_type_values, top_places_by_type, place_frequency, papyri_coverage, edition_histogram, date_statuses, interval_widths, interval_overlap,
-    interval_windows, gazetteer_coverage, alias_matches, reference_resolution, length_profile, duplicate_records, record_sets, image_handlers, image_outcomes, url_prefixes, name_variants,
+    interval_windows, gazetteer_coverage, alias_matches, reference_resolution, length_profile, duplicate_records, record_sets, image_handlers, graphic_links, image_outcomes, url_prefixes, name_variants,
 )}
 _FIELDS = ("dclp_id", "dclp_hybrid_id", "ddb_filename", "hgv_id", "ldab_id", "mp3_id", "title", "material", "current_location")
 _OVER = "((begin_date IS NOT NULL OR end_date IS NOT NULL) AND coalesce(begin_date <= {1}, true) AND coalesce(end_date >= {0}, true))"
@@ -175,14 +203,18 @@ SQL = {
         WHEN width <= 200 THEN '101-200' ELSE '>200' END AS bucket, CASE WHEN s < 0 THEN s ELSE s - 1 END AS ordinal FROM w""",
     "interval_overlap": f"SELECT DISTINCT tm_id FROM orig_places WHERE tm_place_id IN (SELECT id FROM export_geo WHERE {_OVER.format(101, 200)})",
     "interval_windows": f"""SELECT count(*) FILTER (a) AS any_overlaps, count(*) FILTER (b) AS all_overlap, count(*) FILTER (c) AS any_contained, count(*) FILTER (d) AS all_contained FROM (SELECT tm_id, bool_or({_OVER.format(-200, 100)}) AS a,
-        bool_and({_OVER.format(-200, 100)}) AS b, bool_or({_IN.format(-200, 100)}) AS c, bool_and({_IN.format(-200, 100)}) AS d FROM orig_places JOIN export_geo ON tm_place_id = id GROUP BY tm_id)""",
+        bool_and({_OVER.format(-200, 100)}) AS b, bool_or({_IN.format(-200, 100)}) AS c, bool_and({_IN.format(-200, 100)}) AS d FROM orig_places LEFT JOIN export_geo ON tm_place_id = id GROUP BY tm_id)""",
     "gazetteer_coverage": """SELECT coalesce(place_type, 'none') AS scope, count(*) AS mentions, count(tm_place_id) AS with_reference, count(id) AS resolved, count(*) FILTER (id IS NOT NULL AND coalesce(coordinates, '') <> '') AS with_coordinates,
         count(*) FILTER (begin_date IS NOT NULL OR end_date IS NOT NULL) AS with_dates, count(DISTINCT id) AS entries FROM orig_places LEFT JOIN export_geo ON tm_place_id = id GROUP BY 1""",
     "reference_resolution": "SELECT count(*) AS occurrences, count(DISTINCT tm_place_id) AS ids, count(DISTINCT tm_place_id) FILTER (tm_place_id IN (SELECT id FROM export_geo)) AS resolved, count(DISTINCT tm_place_id) FILTER (tm_place_id NOT IN (SELECT id FROM export_geo)) AS missing FROM orig_places WHERE tm_place_id IS NOT NULL",
-    "length_profile": "SELECT " + ", ".join(f"quantile_cont(n, {p}) AS p{int(100 * p)}" for p in (0.1, 0.25, 0.5, 0.75, 0.9, 0.99)) + r", max(n) AS longest FROM (SELECT len(list_filter(regexp_split_to_array(lemma_text, '[\s\x{0B}]+'), lambda w: w <> ''))::DOUBLE AS n FROM transcriptions WHERE lemma_text IS NOT NULL)",
+    "length_profile": "SELECT " + ", ".join(f"quantile_cont(n, {p}) AS p{int(100 * p)}" for p in (0.1, 0.25, 0.5, 0.75, 0.9, 0.99)) + r", max(n) AS longest FROM (SELECT len(list_filter(regexp_split_to_array(text, '[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'), lambda w: w <> ''))::DOUBLE AS n FROM transcriptions WHERE text IS NOT NULL)",
     "duplicate_records": "SELECT tm_id, count(*) AS files FROM papyri GROUP BY tm_id HAVING count(*) > 1",
     "record_sets": """SELECT CASE WHEN a AND b THEN 'both' WHEN a THEN 'transcription_only' ELSE 'translation_only' END AS part, tm_id FROM (SELECT tm_id, bool_or(type = 'transcription') AS a, bool_or(type = 'translation') AS b FROM transcriptions GROUP BY tm_id)""",
-    "image_handlers": f"""SELECT tm_id, url, {_HANDLER} AS handler, CASE WHEN url LIKE '%umich%' THEN 'https://quod.lib.umich.edu/cgi/i/image/api/manifest/apis:' || tm_id WHEN url LIKE '%yale%' THEN 'https://collections.library.yale.edu/manifests/' || tm_id END AS manifest FROM {_LINKS}""",
+    # the handlers are those said by hand in SITES
+    "image_handlers": "WITH f AS (SELECT unnest([" + ", ".join(f"{{'form': '{a}', 'handler': '{h}'}}" for a, h in SITES) + """], recursive := true))
+        SELECT DISTINCT tm_id::VARCHAR AS tm_id, replace(form, '{}', tm_id::VARCHAR) AS url, nullif(handler, '') AS handler, CASE WHEN form LIKE '%umich.edu/a/apis/x-%' THEN 'https://quod.lib.umich.edu/cgi/i/image/api/manifest/apis:' || tm_id WHEN form LIKE '%yale.edu/catalog%' THEN 'https://collections.library.yale.edu/manifests/' || tm_id
+        WHEN form LIKE '%kitodo%' THEN 'https://iiif.sub.uni-hamburg.de/object/HANSh' || tm_id || '/manifest' WHEN form LIKE '%0123-456789abcdef/' THEN 'https://iiif.bodleian.ox.ac.uk/iiif/manifest/01234567-89ab-cdef-0123-456789abcdef.json' END AS manifest FROM papyri, f""",
+    "graphic_links": f"SELECT tm_id, url FROM {_LINKS} UNION ALL SELECT DISTINCT tm_id::VARCHAR, 'x' FROM papyri",
     "image_outcomes": f"""SELECT handler, outcome, count(*) AS links FROM (SELECT {_HANDLER} AS handler, CASE WHEN tm_id IN (SELECT tm_id::VARCHAR FROM papyri WHERE ldab_id IS NOT NULL) THEN 'already_present'
         WHEN tm_id IN (SELECT tm_id::VARCHAR FROM papyri WHERE mp3_id IS NOT NULL) THEN 'broken' WHEN {_HANDLER} IS NULL THEN 'todo' ELSE 'queued' END AS outcome FROM {_LINKS}) GROUP BY ALL""",
     "url_prefixes": f"SELECT regexp_extract(url, '^(https?://[^/]+/)', 1) AS prefix, count(*) AS links FROM {_LINKS} GROUP BY 1 ORDER BY links DESC, prefix LIMIT 30",

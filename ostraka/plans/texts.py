@@ -15,14 +15,9 @@ def _documents(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "transcriptions")
 
 
-def _rendered() -> Column:
-    xml = F.col("xml_content")
-    return F.when(F.col("type") == "translation", render.render_translation(xml)).otherwise(render.render_edition(xml))
-
-
 def render_text(spark: SparkSession, root: str) -> DataFrame:
-    """Every text rendered anew; where the XML is cut off, the stored one."""
-    return _documents(spark, root).select("transcription_id", F.coalesce(_rendered(), "text").alias("rendered"))
+    """Every text rendered anew; null where the XML is cut off."""
+    return _documents(spark, root).select("transcription_id", render.render_document(F.col("xml_content"), F.col("type")).alias("rendered"))
 
 
 def render_diplomatic(spark: SparkSession, root: str) -> DataFrame:
@@ -122,12 +117,55 @@ def metadata_editions(spark: SparkSession, root: str) -> DataFrame:
     return metadata.metadata_table(metadata.extracted(_editions_xml(spark, root)), "principal_editions")
 
 
+def _record(spark: SparkSession, root: str, name: str, key: str, header: list[Column], body: list[Column]) -> DataFrame:
+    """Rows of a table as records in XML, numbered by the key in their paths."""
+    tm = _element("idno", F.col("tm_id").cast("string"), ' type="TM"')
+    parts = [F.lit("<TEI><teiHeader><fileDesc><publicationStmt>"), tm, F.lit("</publicationStmt></fileDesc>"), *header, F.lit("</teiHeader><text><body>"), *body, F.lit("</body></text></TEI>")]
+    return table(spark, root, name).select(F.lpad(F.col(key).cast("string"), 9, "0").alias("source_path"), F.concat(*parts).alias("xml"))
+
+
 def keyword_values(spark: SparkSession, root: str) -> DataFrame:
-    """Place names taken as keywords: marks of doubt apart."""
-    value = F.col("place_name")
-    word = F.trim(F.regexp_replace(F.regexp_replace(value, r"\(\s*\?\s*\)|\?", " "), r"\s+", " "))
-    rows = table(spark, root, "orig_places").select("place_id", word.alias("keyword"), value.contains("?").alias("uncertain"))
-    return rows.filter("keyword <> ''")
+    """Place names written as keywords and read back: marks of doubt apart."""
+    terms = [F.lit('<profileDesc><textClass><keywords scheme="hgv">'), _element("term", F.col("place_name"), ' type="place"'), F.lit("</keywords></textClass></profileDesc>")]
+    return metadata.metadata_table(metadata.extracted(_record(spark, root, "orig_places", "place_id", terms, [])), "keywords")
+
+
+def metadata_places(spark: SparkSession, root: str) -> DataFrame:
+    """Places written as provenances, with a second reference and a place of another kind, and read back."""
+    reference = F.concat_ws(" ", F.concat(F.lit("https://www.trismegistos.org/place/"), F.col("tm_place_id").cast("string")), F.concat(F.lit("https://www.trismegistos.org/place/"), F.col("tm_id").cast("string")), F.concat(F.lit("https://pleiades.stoa.org/places/"), F.col("pleiades_place_id").cast("string")))
+    start = F.concat(F.lit('<placeName type="ancient" subtype="'), F.col("granularity"), F.lit('" ref="'), reference, F.lit('">'))
+    kind = F.coalesce(F.concat(F.lit(' type="'), F.col("place_type"), F.lit('"')), F.lit(""))
+    name = F.regexp_replace(_element("x", F.col("place_name")), "^<x>|</x>$", "")
+    header = [
+        F.lit("<fileDesc><sourceDesc><msDesc><history><origin>"), _element("origPlace", F.col("full_place_name")), F.lit("</origin><provenance"), kind, F.lit('><p><placeName type="modern">none</placeName>'),
+        F.coalesce(start, F.lit('<placeName type="ancient">')), name, F.lit("</placeName></p></provenance></history></msDesc></sourceDesc></fileDesc>"),
+    ]
+    return metadata.metadata_table(metadata.extracted(_record(spark, root, "orig_places", "place_id", header, [])), "orig_places")
+
+
+def metadata_dates(spark: SparkSession, root: str) -> DataFrame:
+    """Bounds of the list of places written as dates of its entries and read back; one in three is an alternative."""
+    year = lambda c: F.when(F.col(c) < 0, F.concat(F.lit("-"), F.lpad(F.abs(c).cast("string"), 4, "0"))).otherwise(F.lpad(F.col(c).cast("string"), 4, "0"))
+    bound = lambda name, c, rest: F.coalesce(F.concat(F.lit(f' {name}="'), year(c), F.lit(f'{rest}"')), F.lit(""))
+    mark = F.when(F.col("id") % 3 == 0, ' xml:id="dateAlternativeX"').otherwise(' cert="low"')
+    g = table(spark, root, "export_geo").filter("coalesce(begin_date, 1) <> 0 and coalesce(end_date, 1) <> 0")
+    parts = [
+        F.lit('<TEI><teiHeader><fileDesc><publicationStmt><idno type="TM">'), F.col("id").cast("string"), F.lit("</idno></publicationStmt><sourceDesc><origDate"), mark, bound("notBefore", "begin_date", "-02-03"),
+        bound("notAfter", "end_date", ""), F.lit(">"), F.regexp_replace(_element("x", F.col("name_latin")), "^<x>|</x>$", ""), F.lit("</origDate></sourceDesc></fileDesc></teiHeader></TEI>"),
+    ]
+    return metadata.metadata_table(metadata.extracted(g.select(F.lpad(F.col("id").cast("string"), 9, "0").alias("source_path"), F.concat(*parts).alias("xml"))), "orig_dates")
+
+
+def metadata_works(spark: SparkSession, root: str) -> DataFrame:
+    """Ancient works written with titles in two kinds, authors in parts and references, and read back."""
+    urn = F.coalesce(F.concat(F.lit(' ref="https://x.org '), F.col("perseus_author_urn"), F.lit('"')), F.lit(""))
+    work = F.coalesce(F.concat(F.lit(' ref="x trismegistos.org/authorwork/'), F.col("tm_title_id").cast("string"), F.lit('/more"')), F.lit(""))
+    named = F.col("author").contains(" ")
+    person = F.concat(_element("forename", F.substring_index("author", " ", 1)), _element("surname", F.expr("substring(author, length(substring_index(author, ' ', 1)) + 2)")))
+    author = F.coalesce(F.concat(F.lit("<author"), urn, F.lit(">"), F.when(named, person).otherwise(F.regexp_replace(_element("x", F.col("author")), "^<x>|</x>$", "")), F.lit("</author>")), F.lit(""))
+    title = F.coalesce(F.concat(F.lit('<title type="abbreviated">T.</title><title type="main"'), work, F.lit(">"), F.regexp_replace(_element("x", F.col("title")), "^<x>|</x>$", ""), F.lit("</title>")), F.lit(""))
+    body = [F.lit('<div type="bibliography" subtype="ancientEdition"><listBibl><bibl>'), title, author, F.lit("</bibl><bibl/></listBibl></div>")]
+    return metadata.metadata_table(metadata.extracted(_record(spark, root, "ancient_editions", "ancient_edition_id", [], body)), "ancient_editions")
 
 
 def place_references(spark: SparkSession, root: str) -> DataFrame:
@@ -139,11 +177,13 @@ def place_references(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     render_text, render_diplomatic, document_languages, snippet_hashes, sentence_chunks, lemmatized_texts, language_names, token_estimates, partition_names, translation_groups,
-    record_assembly, metadata_papyri, metadata_editions, keyword_values, place_references,
+    record_assembly, metadata_papyri, metadata_editions, keyword_values, metadata_places, metadata_dates, metadata_works, place_references,
 )}
-_LABELS = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in text.LANGUAGE_LABELS.items())
+_LABELS = """WHEN 'ar' THEN 'arabic' WHEN 'ara' THEN 'arabic' WHEN 'cop' THEN 'coptic' WHEN 'coptic' THEN 'coptic' WHEN 'dem' THEN 'demotic' WHEN 'demotic' THEN 'demotic' WHEN 'egy' THEN 'egyptian'
+ WHEN 'egyptian' THEN 'egyptian' WHEN 'el' THEN 'greek' WHEN 'grc' THEN 'greek' WHEN 'greek' THEN 'greek' WHEN 'he' THEN 'hebrew' WHEN 'heb' THEN 'hebrew' WHEN 'hebrew' THEN 'hebrew' WHEN 'la' THEN 'latin'
+ WHEN 'lat' THEN 'latin' WHEN 'latin' THEN 'latin' WHEN 'syr' THEN 'syriac' WHEN 'syc' THEN 'syriac' WHEN 'syriac' THEN 'syriac'"""
 _TAG = "split_part(replace(lower(trim(language)), '_', '-'), '-', 1)"
-_LEMMA = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in text.LEMMA_LANGUAGES.items())
+_LEMMA = "WHEN 'cop' THEN 'cop' WHEN 'coptic' THEN 'cop' WHEN 'el' THEN 'grc' WHEN 'grc' THEN 'grc' WHEN 'greek' THEN 'grc' WHEN 'la' THEN 'lat' WHEN 'lat' THEN 'lat' WHEN 'latin' THEN 'lat'"
 _STEM = "regexp_replace(split_part(source_path, '/', -1), '\\.xml$', '')"
 _GROUPS = r"""SELECT regexp_extract(stem, '^(.+)-([0-9]+)$', 1) AS hgv_id, string_agg(source_path, ' ' ORDER BY source_path) AS paths FROM (SELECT DISTINCT source_path, """ + _STEM + r""" AS stem FROM transcriptions WHERE type = 'translation')
         WHERE regexp_matches(stem, '^.+-[0-9]+$') GROUP BY 1"""
@@ -152,7 +192,8 @@ _NONE = "NULLIF(NULLIF(NULLIF({0}, ''), 'unbekannt'), 'keiner') AS {0}"
 _ID = "NULLIF(NULLIF({0}, ''), 'hgvTEMP') AS {0}"
 _SQUEEZED = r"NULLIF(trim(regexp_replace({0}, '[ \t\r\n]+', ' ', 'g')), '') AS {0}"
 SQL = {
-    "render_text": "SELECT transcription_id, text AS rendered FROM transcriptions",
+    # whole XML ends with the end tag of its outermost element
+    "render_text": r"""SELECT transcription_id, CASE WHEN regexp_matches(xml_content, '</' || regexp_extract(xml_content, '<([A-Za-z][\w.:-]*)', 1) || '\s*>\s*$') THEN text END AS rendered FROM transcriptions""",
     "language_names": f"""SELECT transcription_id, coalesce(CASE {_TAG} {_LABELS} END, nullif(replace(lower(trim(language)), '_', '-'), ''), 'unknown') AS label,
         CASE coalesce({_TAG}, 'el') {_LEMMA} END AS lemma_language FROM transcriptions""",
     "token_estimates": """SELECT type, CASE WHEN text IS NULL OR text = '' THEN 'empty' WHEN length(text) <= 100 THEN '1-100' WHEN length(text) <= 250 THEN '101-250' WHEN length(text) <= 500 THEN '251-500' ELSE '>500' END AS bucket,
@@ -164,6 +205,16 @@ SQL = {
         LEFT JOIN t ON t.source_path = 'DDbDP/' || p.part || '/' || p.tm_id || '.xml' LEFT JOIN g ON g.hgv_id = p.stem""",
     "metadata_papyri": f"SELECT source_path, tm_id, {', '.join(_ID.format(c) for c in PAPYRI)}, {_NONE.format('title')}, nullif(lower(material), '') AS material, {_NONE.format('current_location')} FROM papyri",
     "metadata_editions": f"SELECT row_number() OVER (ORDER BY principal_edition_id)::INTEGER AS principal_edition_id, tm_id, biblio_id, {', '.join(_SQUEEZED.format(c) for c in ('title', 'author', 'volume', 'number', 'page'))} FROM principal_editions",
-    "keyword_values": r"""SELECT * FROM (SELECT place_id, trim(regexp_replace(regexp_replace(place_name, '\(\s*\?\s*\)|\?', ' ', 'g'), '\s+', ' ', 'g')) AS keyword, contains(place_name, '?') AS uncertain FROM orig_places) WHERE keyword <> ''""",
+    "keyword_values": r"""SELECT row_number() OVER (ORDER BY place_id)::INTEGER AS keyword_id, tm_id, 'hgv' AS scheme, 'place' AS keyword_type, keyword, uncertain FROM
+        (SELECT place_id, tm_id, CASE WHEN contains(place_name, '?') THEN trim(regexp_replace(regexp_replace(place_name, '\(\s*\?\s*\)|\?', '', 'g'), '[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g')) ELSE trim(regexp_replace(place_name, '[ \t\r\n]+', ' ', 'g')) END AS keyword, contains(place_name, '?') AS uncertain FROM orig_places) WHERE keyword <> ''""",
+    "metadata_places": f"""SELECT row_number() OVER (ORDER BY place_id, i)::INTEGER AS place_id, tm_id, coalesce(full_place_name, '') AS full_place_name, place_name, reference AS tm_place_id, pleiades_place_id, place_type, granularity FROM
+        (SELECT place_id, tm_id, {_SQUEEZED.format('full_place_name')}, {_SQUEEZED.format('place_name')}, unnest(CASE WHEN tm_place_id IS NULL THEN [tm_id] ELSE [tm_place_id, tm_id] END) AS reference,
+        generate_subscripts(CASE WHEN tm_place_id IS NULL THEN [tm_id] ELSE [tm_place_id, tm_id] END, 1) AS i, pleiades_place_id, place_type, granularity FROM orig_places)
+        WHERE place_name IS NOT NULL AND coalesce(place_type, 'located') IN ('located', 'found', 'composed', 'sent', 'acquired', 'received') AND granularity IN ('settlement', 'nome', 'region')""",
+    "metadata_dates": r"""SELECT row_number() OVER (ORDER BY id)::INTEGER AS date_id, id AS tm_id, trim(regexp_replace(coalesce(name_latin, ''), '[ \t\r\n]+', ' ', 'g')) AS date_text, CASE WHEN id % 3 <> 0 THEN 'low' END AS certainty, NULL::VARCHAR AS precision,
+        begin_date AS not_before_year, CASE WHEN begin_date IS NOT NULL THEN 2 END AS not_before_month, CASE WHEN begin_date IS NOT NULL THEN 3 END AS not_before_day, end_date AS not_after_year, NULL::INTEGER AS not_after_month, NULL::INTEGER AS not_after_day,
+        id % 3 = 0 AS alternative FROM export_geo WHERE (begin_date IS NOT NULL OR end_date IS NOT NULL) AND coalesce(begin_date, 1) <> 0 AND coalesce(end_date, 1) <> 0""",
+    "metadata_works": f"""SELECT row_number() OVER (ORDER BY ancient_edition_id)::INTEGER AS ancient_edition_id, tm_id, {_SQUEEZED.format('title')}, CASE WHEN title IS NOT NULL THEN tm_title_id END AS tm_title_id,
+        {_SQUEEZED.format('author')}, CASE WHEN author IS NOT NULL THEN perseus_author_urn END AS perseus_author_urn FROM ancient_editions WHERE title IS NOT NULL OR author IS NOT NULL""",
     "place_references": "SELECT place_id, unnest(CASE WHEN tm_place_id IS NULL THEN [tm_id] ELSE [tm_place_id, tm_id] END) AS tm_place, pleiades_place_id AS pleiades FROM orig_places",
 }

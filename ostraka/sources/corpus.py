@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-import os
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ostraka.functions.text import partition_name, xml_normalized
+from ostraka.functions.text import not_blank, partition_name, xml_normalized
 from ostraka.operators import render
 
 #: The folders of a corpus.
 HGV, DDBDP, TRANSLATIONS, DCLP = "HGV_meta_EpiDoc", "DDbDP", "Translations", "DCLP"
 
 
-def require_directories(root: str, names: tuple[str, ...] = (HGV, DDBDP, TRANSLATIONS, DCLP)) -> None:
-    missing = [n for n in names if not os.path.isdir(os.path.join(root, n))]
+def qualified(spark: SparkSession, root: str) -> str:
+    """A folder with the scheme of its file system, which may be a shared one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+
+
+def require_directories(spark: SparkSession, root: str, names: tuple[str, ...] = (HGV, DDBDP, TRANSLATIONS, DCLP)) -> None:
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    files = make(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    missing = [n for n in names if not files.isDirectory(make(f"{root.rstrip('/')}/{n}"))]
     if missing:
         raise FileNotFoundError(f"{root} lacks: {', '.join(missing)}")
 
@@ -25,10 +33,11 @@ def xml_files(spark: SparkSession, root: str, pattern: str, recursive: bool = Fa
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    base = "file:" + os.path.abspath(root).rstrip("/") + "/"
+    # "file:/x" and "file:///x" are one folder
+    base = re.sub("^file:/+", "file:/", qualified(spark, root)) + "/"
     path = F.regexp_replace(F.col("path"), "^file:/+", "file:/")
     text = F.regexp_replace(F.decode("content", "UTF-8"), "\\A\\x{FEFF}", "")
-    return reader.load(os.path.join(root, pattern)).select(F.substr(path, F.lit(len(base) + 1)).alias("source_path"), text.alias("xml"))
+    return reader.load(f"{qualified(spark, root)}/{pattern}").select(F.substr(path, F.lit(len(base) + 1)).alias("source_path"), text.alias("xml"))
 
 
 def stem(path: Column) -> Column:
@@ -64,7 +73,7 @@ def records(spark: SparkSession, root: str) -> DataFrame:
 
     Their order is (source_rank, path parts); a metadata file without a TM id fails the query.
     """
-    require_directories(root)
+    require_directories(spark, root)
     missing = F.raise_error(F.concat(F.lit("no TM id in "), F.col("source_path"))).cast("string")
     with_id = lambda files: files.withColumn("tm_id", F.coalesce(tm_id_of(F.col("xml")), missing))
     hgv = with_id(xml_files(spark, root, f"{HGV}/HGV*")).select("tm_id", "source_path")
@@ -88,4 +97,4 @@ def document_table(found: DataFrame, files: DataFrame) -> DataFrame:
     paths = F.when(F.col("source_rank") == 1, F.concat(F.array("metadata_path"), "translation_paths")).otherwise(F.col("translation_paths"))
     parts = found.select("tm_id", F.explode(paths).alias("source_path")).join(files, "source_path").select("source_path", "tm_id", F.explode(render.snippets(text)).alias("part"))
     other = parts.select("source_path", "tm_id", F.col("part.xml").alias("xml_content"), F.lit("translation").alias("type"), F.col("part.lang").alias("language"), render.render_translation(F.col("part.xml")).alias("text"))
-    return own.unionByName(other).filter(F.trim("text") != "").withColumn("tm_id", F.col("tm_id").cast("bigint"))
+    return own.unionByName(other).filter(not_blank(F.col("text"))).withColumn("tm_id", F.col("tm_id").cast("bigint"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Sequence
 
@@ -64,8 +63,10 @@ def import_embeddings(spark: SparkSession, source: str, stored: DataFrame, model
 
 def copy_tables(spark: SparkSession, source: str, target: str, names: Sequence[str]) -> None:
     """Whole tables from one folder to another that doesn't hold them yet."""
-    taken = [n for n in names if os.path.exists(os.path.join(target, f"{n}.parquet"))]
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    files = make(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    taken = [n for n in names if files.exists(make(f"{target.rstrip('/')}/{n}.parquet"))]
     if taken:
         raise FileExistsError(f"{target} already holds {taken}")
     for name in names:
-        spark.read.parquet(os.path.join(source, f"{name}.parquet")).write.parquet(os.path.join(target, f"{name}.parquet"))
+        spark.read.parquet(f"{source.rstrip('/')}/{name}.parquet").write.parquet(f"{target.rstrip('/')}/{name}.parquet")

@@ -23,11 +23,15 @@ def read_manifests(spark: SparkSession, pattern: str) -> DataFrame:
     return good.select("directory", F.explode("m.entries").alias("e")).select("directory", "e.*").filter("source_url is not null")
 
 
-def write_manifest(entries: DataFrame, target: str) -> None:
-    """One manifest as JSON, its entries by source and effective address; Spark's commit makes it appear whole."""
+def write_manifests(entries: DataFrame, target: str) -> None:
+    """A manifest as JSON for each ``directory`` of the entries, under its name: they are those of one record.
+
+    The entries of a manifest are ordered by source and effective address. Directories are spread over
+    tasks; Spark's commit makes each file appear whole.
+    """
     names = ("source_url", "effective_url", "scraper", "source_ids", "scraped_at", "files")
-    whole = entries.agg(F.array_sort(F.collect_list(F.struct(*names))).alias("entries")).select(F.lit(VERSION).alias("version"), "entries")
-    whole.coalesce(1).write.mode("overwrite").json(target)
+    whole = entries.groupBy("directory").agg(F.array_sort(F.collect_list(F.struct(*names))).alias("entries")).select("directory", F.lit(VERSION).alias("version"), "entries")
+    whole.write.mode("overwrite").partitionBy("directory").json(target)
 
 
 def file_records(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:

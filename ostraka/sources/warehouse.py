@@ -1,13 +1,17 @@
 """A folder of Parquet tables as the store of a corpus, and the commands on it.
 
-A table is written beside its place and then moved there, so that a reader sees the old table or
-the new one, and a failed write leaves the old one.
+Every write makes a new version of a table, or of a part of it, in a folder of its own; one small file
+says which versions are current, and is replaced by a rename. So a reader sees the old tables or the
+new ones, several tables change together, and a failed write leaves the old ones. The vectors of each
+model are a part of their table: a model is replaced or deleted without touching the others.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +24,7 @@ from ostraka.session import cut
 from ostraka.sources import corpus, dumps
 from ostraka.sources.tables import table
 
+CURRENT, OLD = "current.json", "-replaced"
 KINDS = {"transcription": "transcription_embeddings", "translation": "translation_embeddings"}
 DOCUMENTS = T.StructType([T.StructField(n, t) for n, t in (
     ("transcription_id", T.LongType()), ("source_path", T.StringType()), ("tm_id", T.LongType()), ("xml_content", T.StringType()), ("type", T.StringType()), ("language", T.StringType()),
@@ -44,6 +49,8 @@ class Warehouse:
 
     spark: SparkSession
     root: str
+    #: Chunks that the last embedding left without a vector of their own, by kind of document.
+    skipped: dict[str, DataFrame] = field(default_factory=dict, compare=False)
 
     def _path(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/{name}")
@@ -51,23 +58,76 @@ class Warehouse:
     def _files(self):
         return self._path("").getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def _current(self) -> dict[str, dict[str, str]]:
+        """Table to part to folder; a folder of Parquet tables that was written otherwise has none."""
+        files, where = self._files(), self._path(CURRENT)
+        if not files.exists(where):
+            return {}
+        stream = files.open(where)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def _swap(self, changes: dict[tuple[str, str], str | None]) -> None:
+        """Makes new versions current, all at once; a part whose folder is None goes. Versions before the last are removed."""
+        files, before = self._files(), self._current()
+        after = {n: dict(parts) for n, parts in before.items() if n != OLD}
+        for (name, part), folder in changes.items():
+            after.setdefault(name, {}).pop(part, None)
+            if folder is not None:
+                after[name][part] = folder
+        dead = [before[n][p] for n, p in changes if p in before.get(n, {})]
+        staged, where = self._path(f"{CURRENT}.{uuid.uuid4().hex}"), self._path(CURRENT)
+        stream = files.create(staged, True)
+        stream.write(json.dumps(after | {OLD: {str(i): f for i, f in enumerate(dead)}}).encode())
+        stream.close()
+        context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri() if where.toUri().getScheme() else files.getUri(), self.spark._jsc.hadoopConfiguration())
+        options = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        context.rename(files.makeQualified(staged), files.makeQualified(where), options)
+        for folder in before.get(OLD, {}).values():  # a reader of the version just replaced may still be at work
+            files.delete(self._path(folder), True)
+
     def exists(self, name: str) -> bool:
-        return self._files().exists(self._path(f"{name}.parquet"))
-
-    def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
-        """The table; where it doesn't exist and a schema is given, an empty one."""
-        if schema is not None and not self.exists(name):
-            return self.spark.createDataFrame([], schema)
-        return table(self.spark, self.root, name)
-
-    def write(self, name: str, df: DataFrame, order: Sequence[str] = ()) -> None:
-        files, staged, final = self._files(), self._path(f"{name}.staged"), self._path(f"{name}.parquet")
-        files.delete(staged, True)
-        rows = df.sortWithinPartitions(*order) if order else df
-        rows.write.parquet(staged.toString())
-        files.delete(final, True)
-        if not files.rename(staged, final):
-            raise OSError(f"{staged} couldn't be moved to {final}")
+        return bool(self._current().get(name)) or self._files().exists(self._path(f"{name}.parquet"))
+
+    def parts(self, name: str) -> list[str]:
+        return sorted(self._current().get(name, {}))
+
+    def read(self, name: str, schema: T.StructType | None = None, part: str | None = None) -> DataFrame:
+        """The table, or a part of it; where it doesn't exist and a schema is given, an empty one.
+
+        With a schema, columns that older versions lack are null.
+        """
+        found = self._current().get(name)
+        if found is not None and (part is None or part in found):
+            folders = [self._path(f).toString() for p, f in sorted(found.items()) if part is None or p == part]
+            if folders:
+                reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+                return reader.parquet(*folders)
+        elif found is None and part is None and (schema is None or self.exists(name)):
+            return table(self.spark, self.root, name)
+        if schema is None:
+            raise FileNotFoundError(f"{self.root} has no table {name!r}")
+        return self.spark.createDataFrame([], schema)
+
+    def write(self, name: str, df: DataFrame, order: Sequence[str] = (), part: str = "") -> None:
+        """A new version of a table, or of one part of it."""
+        self.write_together({name: df}, order, part)
+
+    def write_together(self, tables: dict[str, DataFrame], order: Sequence[str] = (), part: str = "") -> None:
+        """New versions of several tables, which become current together or not at all."""
+        folders = {}
+        for name, df in tables.items():
+            folder = f"versions/{name}-{uuid.uuid4().hex}"
+            (df.sortWithinPartitions(*order) if order else df).write.parquet(self._path(folder).toString())
+            folders[name, part] = folder
+        self._swap(folders)
+
+    def next_id(self, name: str, key: str) -> int:
+        """The number after the greatest one in use, from which later rows go on."""
+        return (self.read(name).agg(F.max(key).alias("n")).first()["n"] or 0) + 1 if self.exists(name) else 1
 
     # metadata
 
@@ -77,8 +137,7 @@ class Warehouse:
         files = corpus.xml_files(self.spark, source, corpus.HGV, True).unionByName(corpus.xml_files(self.spark, source, corpus.DCLP, True))
         parsed = metadata.extracted(files)
         ranked = cut(parsed.join(found, "source_path").withColumn("parts", F.split("source_path", "/")))
-        for name in metadata.TABLES:
-            self.write(name, metadata.metadata_table(ranked, name, ("source_rank", "parts")))
+        self.write_together({name: metadata.metadata_table(ranked, name, ("source_rank", "parts")) for name in metadata.TABLES})
 
     def dump_metadata(self, target: str) -> None:
         for name, spec in metadata.TABLES.items():
@@ -101,6 +160,13 @@ class Warehouse:
         """A dump back in place of the table; the vectors of terms are made anew when they are needed."""
         self.write("transcriptions", dumps.read_csv(self.spark, source, DOCUMENTS).drop("text_vector", "lemma_vector"))
 
+    def append_documents(self, documents: DataFrame, order: Sequence[str]) -> None:
+        """Further documents, in the columns of the table without its key, numbered on from the greatest id."""
+        start = self.next_id("transcriptions", "transcription_id") - 1
+        new = metadata.numbered(documents, "transcription_id", list(order)).withColumn("transcription_id", F.col("transcription_id").cast("bigint") + start)
+        old = self.read("transcriptions")
+        self.write("transcriptions", old.unionByName(new, allowMissingColumns=True).select(*old.columns))
+
     def lemmatize(self, factory: lemmas.Factory = lemmas.lower_case_pipeline, max_words: int = 50) -> None:
         d = self.read("transcriptions")
         tag = F.when(F.col("type") == "translation", F.col("language")).otherwise(edition_language(F.col("xml_content")))
@@ -120,34 +186,34 @@ class Warehouse:
         for kind, name in KINDS.items():
             tag = edition_language(F.col("xml_content")) if kind == "transcription" else F.col("language")
             chunks = cut(embeddings.document_chunks(documents.filter(F.col("type") == kind), model, tag, chunk_size))
-            stored = cut(self.read(name, VECTORS))
+            stored = cut(self.read(name, VECTORS, model))
             after, work = embeddings.refreshed(stored, chunks, model, embed, stale_only)
             after = cut(after)
-            bad = after.filter(F.col("model_name") == model).agg(F.count_distinct(F.size("embedding")).alias("n")).first()["n"]
+            bad = after.agg(F.count_distinct(F.size("embedding")).alias("n")).first()["n"]
             if bad > 1:
                 raise ValueError(f"vectors of {model!r} have several dimensions")
-            done += after.join(stored, [*embeddings.KEY, "input_hash", "updated_at"], "left_anti").filter(F.col("model_name") == model).count()
-            self.write(name, after, embeddings.KEY)
+            fresh = after.join(stored, [*embeddings.KEY, "input_hash", "updated_at"], "left_anti").count()
+            done += fresh
+            self.skipped[kind] = cut(chunks.join(after.select(*embeddings.KEY, "input_hash"), [*embeddings.KEY, "input_hash"], "left_anti").select(*embeddings.KEY))
+            self.write(name, after, embeddings.KEY, model)
         return done
 
     def delete_model(self, model: str) -> int:
-        gone = 0
-        for name in KINDS.values():
-            stored = cut(self.read(name, VECTORS))
-            gone += stored.filter(F.col("model_name") == model).count()
-            self.write(name, embeddings.without_model(stored, model))
-        return gone
+        """Rows that go with the model; the other models' files aren't touched."""
+        held = {name: self.read(name, VECTORS, model).count() for name in KINDS.values() if model in self.parts(name)}
+        self._swap({(name, model): None for name in held})
+        return sum(held.values())
 
     def dump_model(self, target: str, model: str, kind: str = "transcription") -> int:
-        return dumps.dump_embeddings(self.read(KINDS[kind], VECTORS), target, model)
+        return dumps.dump_embeddings(self.read(KINDS[kind], VECTORS, model), target, model)
 
     def import_model(self, source: str, model: str, kind: str = "transcription") -> int:
-        after = cut(dumps.import_embeddings(self.spark, source, self.read(KINDS[kind], VECTORS), model))
-        self.write(KINDS[kind], after, embeddings.KEY)
-        return after.filter(F.col("model_name") == model).count()
+        after = cut(dumps.import_embeddings(self.spark, source, self.spark.createDataFrame([], VECTORS), model))
+        self.write(KINDS[kind], after, embeddings.KEY, model)
+        return after.count()
 
     def vector_of(self, model: str, path: str, kind: str = "transcription") -> list[float] | None:
-        row = embeddings.first_embedding(self.read(KINDS[kind], VECTORS), model, path).first()
+        row = embeddings.first_embedding(self.read(KINDS[kind], VECTORS, model), model, path).first()
         return None if row is None else list(row["embedding"])
 
     def evaluate(self, model: str | None = None, sample: int | None = None, seed: int = 0) -> evaluate.Evaluation:

@@ -36,7 +36,7 @@ def test_sentences():
 def test_languages(spark):
     tags = ["grc", "el-Grek", "la", "LAT", "cop_Egyp", "en", None, " "]
     assert column(spark, tags, "string", text.normalize_language) == ["grc", "grc", "lat", "lat", "cop", None, None, None]
-    assert column(spark, tags, "string", text.language_label) == ["greek", "greek", "latin", "latin", "coptic", "english", "unknown", "unknown"]
+    assert column(spark, tags, "string", text.language_label) == ["greek", "greek", "latin", "latin", "coptic", "en", "unknown", "unknown"]
     assert column(spark, ["en-GB", "English", "xx", None], "string", languages.language_code) == ["en", "en", None, None]
     assert [languages.code_of(t) for t in ("el", "ger", "", None)] == ["grc", "de", None, None]
     xmls = ["<div type='edition' xml:lang='grc'/>", '<!-- a --><TEI xml:lang="la"><div type="edition"><ab/>', "<a/>", "<div xml:lang='en' type='edition", None]
@@ -46,9 +46,13 @@ def test_languages(spark):
 def test_text_functions(spark):
     assert column(spark, ["53", "1234", "123456"], "string", text.partition_name) == ["0", "1", "123"]
     assert column(spark, ["A - B;C", ""], "string", text.split_variants) == [["A - B;C", "A", "B;C", "A - B", "C"], []]
-    assert column(spark, ["https://papyri.info/biblio/3", "https://doi.org/1", "https://www.x.org/a", "#a", "zz"], "string", text.target_kind) == ["biblio", "doi", "x.org", "local_fragment", "other"]
+    assert column(spark, ["https://papyri.info/biblio/3", "https://doi.org/1", "DOI:9", "https://www.x.org/a", "ftp://x.org", "#a", "zz", None], "string", text.target_kind) == ["papyri.info/biblio", "doi", "doi", "x.org", "other", "local_fragment", "other", None]
     assert column(spark, [" ﬁ  A ", None], "string", text.normalize_lookup) == ["fi a", None]
     assert column(spark, ["abcd", "é"], "string", text.estimated_tokens) == [2, 1]
+    odd = ["a\x1cb\x85 c\u3000", "\x1f", "\u200b", None]
+    assert column(spark, odd, "string", text.words) == [v and v.split() for v in odd] and column(spark, odd, "string", text.stripped) == [v and v.strip() for v in odd]
+    assert column(spark, odd, "string", text.not_blank) == [True, False, True, None]
+    assert column(spark, ["λόγος, Ab12", ""], "string", text.lexemes) == [["λόγος", "ab12"], []]
 
 
 def test_dates(spark):
@@ -136,6 +140,10 @@ def test_ranks_match_brute_force(spark, block):
         order = sorted((round(best(q, c), 6), c) for c in {t for t, *_ in b})
         want[q] = [c for _, c in order].index(q) + 1
     found = {r.tm_id: r["rank"] for r in evaluate.target_ranks(vectors(spark, a), vectors(spark, b), block).collect()}
+    for split in (1, 2):  # hot records are dealt in parts, on both sides
+        parted = evaluate.target_ranks(vectors(spark, a), vectors(spark, b), block, split)
+        assert {r.tm_id: r["rank"] for r in parted.collect()} == found
+        assert {r.tm_id: [n.tm_id for n in r.nearest] for r in parted.collect() if r.tm_id != "z"} == {r.tm_id: [n.tm_id for n in r.nearest] for r in evaluate.target_ranks(vectors(spark, a), vectors(spark, b), block).collect() if r.tm_id != "z"}
     assert {k: v for k, v in found.items() if k != "z"} == {k: v for k, v in want.items() if k != "z"}
 
 
@@ -175,11 +183,19 @@ def test_images(spark):
     broken = images.broken_entries(spark.createDataFrame([("# c",), ("",), ("2: https://doi.org/b",)], "value string"))
     found = {r.tm_id: r.outcome for r in images.classified_links(links, complete, broken).collect()}
     assert found == {"1": "already_present", "2": "broken", "3": "queued", "4": "todo"}
+    fetched = spark.createDataFrame([("3", "https://doi.org/c", "failed"), ("9", "u", "downloaded")], "tm_id string, url string, result string")
+    run = images.image_run(links, entries, spark.createDataFrame([("f", 1, "h")], "path string, size bigint, sha256 string"), broken, fetched)
+    assert {r.tm_id: r.outcome for r in run.collect()} == {"1": "already_present", "2": "broken", "3": "failed", "4": "todo"}
+    records = spark.createDataFrame([("1", '<a xmlns="n"><graphic url="u?a=1&amp;b"/><graphic/></a>'), ("2", "<a"), ("3", None)], "tm_id string, xml string")
+    assert [tuple(r) for r in images.graphic_links(records).collect()] == [("1", "u?a=1&b")]
+    chain = spark.createDataFrame([(f"p{i}", f"p{i + 1}") for i in range(25)], "url string, target string")
+    assert [(r.effective_url, r.status) for r in images.resolved_links(spark.createDataFrame([("p0",)], "url string"), chain).collect()] == [("p25", "ok")]
     redirects = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "y"), ("y", "x"), ("e", "")], "url string, target string")
     ends = {r.url: (r.effective_url, r.status) for r in images.resolved_links(spark.createDataFrame([("a",), ("x",), ("e",), ("k",)], "url string"), redirects).collect()}
     assert ends["a"] == ("c", "ok") and ends["x"][1] == "cycle" and ends["e"][1] == "empty" and ends["k"] == ("k", "ok")
-    kind = "source_url string, source_ids array<string>, files array<struct<path:string,size:bigint>>"
-    merged = images.merged_manifests(spark.createDataFrame([("u", ["2"], [("f", 1), ("g", 1)])], kind), spark.createDataFrame([("u", ["1", "2"], [("f", 9)])], kind)).collect()
+    kind = "source_url string, effective_url string, scraper string, scraped_at string, source_ids array<string>, files array<struct<path:string,size:bigint>>"
+    merged = images.merged_manifests(spark.createDataFrame([("u", "e", "s", "1", ["2"], [("f", 1), ("g", 1)])], kind), spark.createDataFrame([("u", "n", "t", "2", ["1", "2"], [("f", 9)])], kind)).collect()
+    assert [(r.effective_url, r.scraper, r.scraped_at) for r in merged] == [("n", "t", "2")]
     assert [(r.source_ids, [tuple(f) for f in r["files"]]) for r in merged] == [(["1", "2"], [("f", 9), ("g", 1)])]
     assert images.apportioned([10000, 1, 0, 1, 1], 10) == [7, 1, 0, 1, 1] and images.apportioned([0, 0], 5) == [0, 0]
 
@@ -208,7 +224,7 @@ def test_corpus_tree(spark, tmp_path):
     for n in (1, 2):
         put(f"Translations/0/53-{n}.xml", '<TEI><div type="translation" xml:lang="en"><p>Words</p></div></TEI>')
     with pytest.raises(FileNotFoundError, match="DCLP"):
-        corpus.require_directories(str(tmp_path))
+        corpus.require_directories(spark, str(tmp_path))
     put("DCLP/5/5000.xml", '<TEI><idno type="TM">5000</idno><div type="edition">own</div></TEI>')
     found = corpus.in_order(corpus.records(spark, str(tmp_path)))
     rows = [(r.tm_id, r.transcription_path, list(r.translation_paths)) for r in found.collect()]

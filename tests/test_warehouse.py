@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ostraka.__main__ import parser
 from ostraka.operators import biblio, providers
@@ -60,11 +61,45 @@ def test_vectors(warehouse, tmp_path):
     assert len(warehouse.vector_of("m", "DDbDP/0/1.xml")) == 8 and warehouse.vector_of("m", "none") is None
     assert warehouse.dump_model(str(tmp_path / "v"), "m") == 3
     assert warehouse.import_model(str(tmp_path / "v"), "m") == 3
-    assert warehouse.delete_model("other") == 4
+    other = warehouse.read("transcription_embeddings", part="other").inputFiles()
+    assert warehouse.parts("transcription_embeddings") == ["m", "other"]
+    assert warehouse.delete_model("m") == 6 and warehouse.read("transcription_embeddings").inputFiles() == other
+    assert warehouse.import_model(str(tmp_path / "v"), "m") == 3
+    assert warehouse.embed("m", hash_embedder(8)) == 6
+    assert warehouse.embed("short", lambda texts: [None if "30" in t else [1.0] for t in texts]) == 5
+    assert [r.xml_id for r in warehouse.skipped["translation"].collect()] == [6] and warehouse.skipped["transcription"].count() == 0
+    assert warehouse.delete_model("short") == 5 and warehouse.delete_model("other") == 4 and warehouse.delete_model("none") == 0
     with pytest.raises(ValueError):
         warehouse.evaluate("other")
 
 
+def test_tables_change_together_or_not_at_all(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    one = spark.createDataFrame([(1, "a")], "id int, x string")
+    w.write_together({"a": one, "b": one})
+    reader = w.read("a")
+    bad = one.select(F.raise_error(F.lit("broken")).cast("int").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        w.write_together({"a": one.withColumn("id", F.lit(2)), "b": bad})
+    assert [r.id for r in w.read("a").collect()] == [1] and w.next_id("a", "id") == 2 and w.next_id("none", "id") == 1
+    w.write("a", one.withColumn("id", F.lit(5)))
+    assert [r.id for r in reader.collect()] == [1]  # the version just replaced stays readable
+    assert [r.id for r in w.read("a").collect()] == [5] and [r.id for r in w.read("b").collect()] == [1]
+    wider = w.read("a", T.StructType([T.StructField("id", T.IntegerType()), T.StructField("later", T.StringType())]))
+    assert [tuple(r) for r in wider.collect()] == [(5, None)]
+    with pytest.raises(FileNotFoundError):
+        w.read("a", part="none")
+
+
+def test_documents_are_numbered_on(warehouse, spark):
+    before = warehouse.read("transcriptions")
+    n, most = before.count(), warehouse.next_id("transcriptions", "transcription_id")
+    warehouse.append_documents(spark.createDataFrame([("x/1", 7, "transcription", "new"), ("x/0", 7, "transcription", "newer")], "source_path string, tm_id bigint, type string, text string"), ["source_path"])
+    new = warehouse.read("transcriptions").filter(F.col("transcription_id") >= most).orderBy("transcription_id").collect()
+    assert [(r.transcription_id, r.text, r.xml_content) for r in new] == [(most, "newer", None), (most + 1, "new", None)]
+    assert warehouse.read("transcriptions").count() == n + 2
+
+
 def test_term_vectors(spark):
     rows = spark.createDataFrame([("b a b",), ("",), (None,)], "t string").select(term_vector(F.col("t")).alias("v")).collect()
     assert [r.v for r in rows] == ["'a':2 'b':1,3", "", None]
