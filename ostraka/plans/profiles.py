@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ostraka.functions import dates, text
 from ostraka.operators import images, profile
+from ostraka.plans.nested import NODES
+from ostraka.plans.retrieval import BLANKS
 from ostraka.sources.tables import table
 
 
@@ -186,7 +188,18 @@ _IN = "coalesce(begin_date >= {0} AND end_date <= {1}, false)"
 _YEAR = "CASE WHEN {0} < 0 THEN '-' || lpad(abs({0})::VARCHAR, 4, '0') WHEN {0} >= 0 THEN lpad({0}::VARCHAR, 4, '0') END"
 _LINKS = "(SELECT DISTINCT tm_id::VARCHAR AS tm_id, replace([" + ", ".join(f"'{a}'" for a in ADDRESSES) + f"][tm_id % {len(ADDRESSES)} + 1], '{{}}', tm_id::VARCHAR) AS url FROM papyri)"
 _HANDLER = "CASE WHEN url LIKE '%umich%' THEN 'UMichigan' WHEN url LIKE '%yale%' THEN 'Yale' WHEN url LIKE '%uw.edu.pl%' THEN 'Warsaw' WHEN url LIKE '%doi.org%' THEN 'DOI' END"
+_PATHS = NODES + """, w AS (SELECT transcription_id, node_no, '/' || label AS path, label FROM e WHERE parent_no = 0 UNION ALL SELECT e.transcription_id, e.node_no, w.path || '/' || e.label, e.label FROM e JOIN w ON e.transcription_id = w.transcription_id AND e.parent_no = w.node_no),
+z AS (SELECT transcription_id, w.path, x.label AS name, scalar, node_no FROM x JOIN w USING (transcription_id, node_no) WHERE NOT declares)"""
 SQL = {
+    "path_inventory": _PATHS + """, i AS (SELECT transcription_id, 'element' AS kind, path, label AS name FROM w UNION ALL SELECT transcription_id, 'attribute', path, name FROM z
+          UNION ALL SELECT transcription_id, 'attribute_set', path, string_agg(name, ', ' ORDER BY name) FROM z GROUP BY transcription_id, path, node_no)
+        SELECT kind, path, name, count(*) AS documents, sum(n)::BIGINT AS occurrences, min(n) AS min_per_document, max(n) AS max_per_document FROM (SELECT transcription_id, kind, path, name, count(*) AS n FROM i GROUP BY ALL) GROUP BY ALL""",
+    "attribute_values": _PATHS + " SELECT path, name, scalar AS value, count(*) AS occurrences, row_number() OVER (PARTITION BY path, name ORDER BY count(*) DESC, scalar)::INTEGER AS place FROM z GROUP BY path, name, scalar QUALIFY place <= 12",
+    "alias_matches": """WITH v AS (SELECT id, unnest(list_concat([n], list_concat(string_split(n, ' - '), string_split(n, ';')))) AS v FROM (SELECT id, unnest([name_latin, name_standard, unicode_greek, unicode_coptic, location]) AS n FROM export_geo)),
+        a AS (SELECT DISTINCT id, {0} AS name FROM v WHERE trim(v) <> ''), c AS (SELECT name, count(*) AS entries, min(id) AS first_id FROM a WHERE name <> '' GROUP BY name),
+        l AS (SELECT DISTINCT place_name AS label FROM orig_places WHERE tm_place_id IS NULL AND place_name IS NOT NULL)
+        SELECT label, coalesce(entries, 0) AS entries, CASE WHEN entries IS NULL THEN 'none' WHEN entries = 1 THEN 'single' ELSE 'ambiguous' END AS status, CASE WHEN entries = 1 THEN first_id END AS geo_id
+        FROM l LEFT JOIN c ON c.name = {1}""".format(*(rf"trim(regexp_replace(replace(lower(nfc_normalize({x})), 'ς', 'σ'), '{BLANKS}', ' ', 'g'))" for x in ("v", "label"))),
     "place_type_values": "SELECT granularity, place_type, count(*) AS occurrences, count(*) OVER (PARTITION BY granularity) > 10000 AS many_values FROM orig_places GROUP BY granularity, place_type",
     "top_places_by_type": "SELECT * FROM (SELECT coalesce(place_type, 'none') AS place_type, place_name, count(*) AS occurrences, row_number() OVER (PARTITION BY coalesce(place_type, 'none') ORDER BY count(*) DESC, place_name)::INTEGER AS place FROM orig_places GROUP BY 1, 2) WHERE place <= 20",
     "place_frequency": "SELECT place_name, count(*) AS documents, sum(n)::BIGINT AS occurrences, min(n) AS min_per_document, max(n) AS max_per_document FROM (SELECT tm_id, place_name, count(*) AS n FROM orig_places GROUP BY ALL) GROUP BY place_name",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ostraka.functions import languages, text
 from ostraka.operators import lemmas, metadata, render
+from ostraka.plans.retrieval import BLANKS
 from ostraka.sources import corpus
 from ostraka.sources.tables import table
 
@@ -175,6 +176,15 @@ def place_references(spark: SparkSession, root: str) -> DataFrame:
     return o.select("place_id", F.explode_outer(text.tm_place_ids(reference)).alias("tm_place"), text.first_match(reference, text.PLEIADES).try_cast("int").alias("pleiades"))
 
 
+def edition_language_sql(xml: str) -> str:
+    """``languages.edition_language`` in SQL."""
+    bare = rf"regexp_replace({xml}, '\A(?:\s|<\?.*?\?>|<!--.*?-->)+', '', 's')"
+    attribute = r"""'\bxml:lang\s*=\s*["'']\s*([^"'']*?)\s*["'']'"""
+    division = rf"""regexp_extract({bare}, '<(?:[\w.-]+:)?div\b[^>]*?\btype\s*=\s*["'']edition["''][^>]*', 0)"""
+    outermost = rf"regexp_extract({bare}, '\A<[^!?>][^>]*', 0)"
+    return f"coalesce(nullif(regexp_extract({division}, {attribute}, 1), ''), nullif(regexp_extract({outermost}, {attribute}, 1), ''))"
+
+
 QUERIES = {f.__name__: f for f in (
     render_text, render_diplomatic, document_languages, snippet_hashes, sentence_chunks, lemmatized_texts, language_names, token_estimates, partition_names, translation_groups,
     record_assembly, metadata_papyri, metadata_editions, keyword_values, metadata_places, metadata_dates, metadata_works, place_references,
@@ -191,9 +201,22 @@ _PART = "coalesce(nullif(left(tm_id::VARCHAR, greatest(length(tm_id::VARCHAR) -
 _NONE = "NULLIF(NULLIF(NULLIF({0}, ''), 'unbekannt'), 'keiner') AS {0}"
 _ID = "NULLIF(NULLIF({0}, ''), 'hgvTEMP') AS {0}"
 _SQUEEZED = r"NULLIF(trim(regexp_replace({0}, '[ \t\r\n]+', ' ', 'g')), '') AS {0}"
+#: Whole XML ends with the end tag of its outermost element.
+_WHOLE = r"regexp_matches(xml_content, '</' || regexp_extract(xml_content, '<([A-Za-z][\w.:-]*)', 1) || '\s*>\s*$')"
+_BLANK, _INK = BLANKS[:-1] + "*", BLANKS.replace("[", "[^", 1)
+_WORDS = f"regexp_extract_all(text, '{_INK}{_BLANK}')"
 SQL = {
-    # whole XML ends with the end tag of its outermost element
-    "render_text": r"""SELECT transcription_id, CASE WHEN regexp_matches(xml_content, '</' || regexp_extract(xml_content, '<([A-Za-z][\w.:-]*)', 1) || '\s*>\s*$') THEN text END AS rendered FROM transcriptions""",
+    "render_text": f"SELECT transcription_id, CASE WHEN {_WHOLE} THEN text END AS rendered FROM transcriptions",
+    "document_languages": f"SELECT transcription_id, CASE WHEN {_WHOLE} THEN {edition_language_sql('xml_content')} END AS xml_language, {edition_language_sql('xml_content')} AS tag_language FROM transcriptions",
+    "lemmatized_texts": rf"""SELECT transcription_id, CASE WHEN lemma_text IS NULL AND CASE split_part(replace(lower(trim(tag)), '_', '-'), '-', 1) {_LEMMA} END IS NOT NULL
+        THEN array_to_string([regexp_replace(lower(w), 'σ$', 'ς') FOR w IN regexp_extract_all(text, '[\p{{L}}\p{{M}}\p{{N}}]+')], ' ') ELSE lemma_text END AS lemma_text FROM (SELECT *, coalesce(language, {edition_language_sql('xml_content')}) AS tag FROM transcriptions)""",
+    # the words of a text with the blanks after them; a chunk ends after a sentence, at a line end, and after 50 words
+    "sentence_chunks": rf"""WITH w AS (SELECT transcription_id, unnest({_WORDS}) AS w, generate_subscripts({_WORDS}, 1) AS i FROM transcriptions),
+        l AS (SELECT *, lag(w) OVER (PARTITION BY transcription_id ORDER BY i) AS before FROM w),
+        b AS (SELECT *, before IS NULL OR contains(regexp_extract(before, '{_BLANK}$', 0), chr(10)) OR regexp_matches(before, '[.!?;\x{{037E}}\x{{B7}}\x{{0387}}]["''\x{{2019}}\x{{201D}}\x{{BB}})\]]*{_BLANK}$') AS first FROM l),
+        s AS (SELECT *, sum(first::INTEGER) OVER (PARTITION BY transcription_id ORDER BY i) AS sentence FROM b), p AS (SELECT *, (row_number() OVER (PARTITION BY transcription_id, sentence ORDER BY i) - 1) // 50 AS piece FROM s),
+        c AS (SELECT transcription_id, sentence, piece, regexp_replace(string_agg(w, '' ORDER BY i), '{_BLANK}$', '') AS chunk FROM p GROUP BY ALL)
+        SELECT transcription_id, (row_number() OVER (PARTITION BY transcription_id ORDER BY sentence, piece) - 1)::INTEGER AS chunk_index, chunk FROM c""",
     "language_names": f"""SELECT transcription_id, coalesce(CASE {_TAG} {_LABELS} END, nullif(replace(lower(trim(language)), '_', '-'), ''), 'unknown') AS label,
         CASE coalesce({_TAG}, 'el') {_LEMMA} END AS lemma_language FROM transcriptions""",
     "token_estimates": """SELECT type, CASE WHEN text IS NULL OR text = '' THEN 'empty' WHEN length(text) <= 100 THEN '1-100' WHEN length(text) <= 250 THEN '101-250' WHEN length(text) <= 500 THEN '251-500' ELSE '>500' END AS bucket,
