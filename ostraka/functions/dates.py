@@ -39,11 +39,11 @@ def strict_parts(value: Column) -> Column:
 
 def date_shape(when: Column, custom: Column, not_before: Column, not_after: Column) -> Column:
     """Which attributes a date has."""
-    b, a = not_before.isNotNull(), not_after.isNotNull()
-    one = when.isNotNull() | custom.isNotNull()
+    w, c, b, a = when.isNotNull(), custom.isNotNull(), not_before.isNotNull(), not_after.isNotNull()
+    # The names of the shapes.
     return (
-        F.when(one & (b | a), "mixed").when(when.isNotNull() & custom.isNotNull(), "when_and_custom").when(when.isNotNull(), "when").when(custom.isNotNull(), "when_custom")
-        .when(b & a, "closed_range").when(b | a, "open_range").otherwise("text_only")
+        F.when(w & ~c & ~b & ~a, "exact/when").when(~w & ~c & b & a, "closed range").when(~w & ~c & b & ~a, "open upper bound (notBefore only)").when(~w & ~c & ~b & a, "open lower bound (notAfter only)")
+        .when(~w & c & ~b & ~a, "custom exact date").when(~w & ~c & ~b & ~a, "text only").otherwise("mixed")
     )
 
 

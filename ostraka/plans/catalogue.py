@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ostraka.plans import nested, profiles, retrieval, texts
+from ostraka.plans import nested, profiles, records, retrieval, texts
 
-MODULES = (retrieval, texts, profiles, nested)
+MODULES = (retrieval, texts, profiles, records, nested)
 
 
 def queries():

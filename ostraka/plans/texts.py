@@ -77,7 +77,7 @@ def record_assembly(spark: SparkSession, root: str) -> DataFrame:
     return found.select("tm_id", "metadata_path", "transcription_path", F.array_join("translation_paths", " ").alias("translations"))
 
 
-def _element(name: str, value: Column, attributes: str = "") -> Column:
+def element_of(name: str, value: Column, attributes: str = "") -> Column:
     escaped = F.replace(F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     return F.coalesce(F.concat(F.lit(f"<{name}{attributes}>"), escaped, F.lit(f"</{name}>")), F.lit(""))
 
@@ -87,11 +87,11 @@ PAPYRI = {"dclp_hybrid_id": "dclp-hybrid", "ddb_filename": "ddb-filename", "ddb_
 
 def _papyri_xml(spark: SparkSession, root: str) -> DataFrame:
     """The rows of papyri as records in XML."""
-    ids = [_element("idno", F.col("tm_id").cast("string"), ' type="TM"')] + [_element("idno", F.col(c), f' type="{k}"') for c, k in PAPYRI.items()]
+    ids = [element_of("idno", F.col("tm_id").cast("string"), ' type="TM"')] + [element_of("idno", F.col(c), f' type="{k}"') for c, k in PAPYRI.items()]
     parts = [
-        F.lit('<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><fileDesc><titleStmt>'), _element("title", F.col("title")), F.lit("</titleStmt><publicationStmt>"), *ids,
-        F.lit("</publicationStmt><sourceDesc><msDesc><msIdentifier>"), _element("collection", F.col("current_location")),
-        F.lit("</msIdentifier><physDesc><objectDesc><supportDesc><support>"), _element("material", F.col("material")), F.lit("</support></supportDesc></objectDesc></physDesc></msDesc></sourceDesc></fileDesc></teiHeader></TEI>"),
+        F.lit('<TEI xmlns="http://www.tei-c.org/ns/1.0"><teiHeader><fileDesc><titleStmt>'), element_of("title", F.col("title")), F.lit("</titleStmt><publicationStmt>"), *ids,
+        F.lit("</publicationStmt><sourceDesc><msDesc><msIdentifier>"), element_of("collection", F.col("current_location")),
+        F.lit("</msIdentifier><physDesc><objectDesc><supportDesc><support>"), element_of("material", F.col("material")), F.lit("</support></supportDesc></objectDesc></physDesc></msDesc></sourceDesc></fileDesc></teiHeader></TEI>"),
     ]
     return table(spark, root, "papyri").select("source_path", F.concat(*parts).alias("xml"))
 
@@ -104,11 +104,11 @@ def metadata_papyri(spark: SparkSession, root: str) -> DataFrame:
 def _editions_xml(spark: SparkSession, root: str) -> DataFrame:
     """The rows of principal_editions as records in XML, one edition each."""
     target = F.concat(F.lit('<ptr target="https://papyri.info/biblio/'), F.col("biblio_id").cast("string"), F.lit('"/>'))
-    scopes = [_element("biblScope", F.col(c), f' unit="{c}"') for c in ("volume", "number", "page")]
+    scopes = [element_of("biblScope", F.col(c), f' unit="{c}"') for c in ("volume", "number", "page")]
     parts = [
-        F.lit("<TEI><teiHeader><fileDesc><publicationStmt>"), _element("idno", F.col("tm_id").cast("string"), ' type="TM"'),
+        F.lit("<TEI><teiHeader><fileDesc><publicationStmt>"), element_of("idno", F.col("tm_id").cast("string"), ' type="TM"'),
         F.lit('</publicationStmt></fileDesc></teiHeader><text><body><div type="bibliography" subtype="principalEdition"><listBibl><bibl>'),
-        _element("title", F.col("title"), ' type="abbreviated"'), F.coalesce(target, F.lit("")), _element("author", F.col("author")), *scopes, F.lit("</bibl></listBibl></div></body></text></TEI>"),
+        element_of("title", F.col("title"), ' type="abbreviated"'), F.coalesce(target, F.lit("")), element_of("author", F.col("author")), *scopes, F.lit("</bibl></listBibl></div></body></text></TEI>"),
     ]
     return table(spark, root, "principal_editions").select(F.lpad(F.col("principal_edition_id").cast("string"), 9, "0").alias("source_path"), F.concat(*parts).alias("xml"))
 
@@ -120,14 +120,14 @@ def metadata_editions(spark: SparkSession, root: str) -> DataFrame:
 
 def _record(spark: SparkSession, root: str, name: str, key: str, header: list[Column], body: list[Column]) -> DataFrame:
     """Rows of a table as records in XML, numbered by the key in their paths."""
-    tm = _element("idno", F.col("tm_id").cast("string"), ' type="TM"')
+    tm = element_of("idno", F.col("tm_id").cast("string"), ' type="TM"')
     parts = [F.lit("<TEI><teiHeader><fileDesc><publicationStmt>"), tm, F.lit("</publicationStmt></fileDesc>"), *header, F.lit("</teiHeader><text><body>"), *body, F.lit("</body></text></TEI>")]
     return table(spark, root, name).select(F.lpad(F.col(key).cast("string"), 9, "0").alias("source_path"), F.concat(*parts).alias("xml"))
 
 
 def keyword_values(spark: SparkSession, root: str) -> DataFrame:
     """Place names written as keywords and read back: marks of doubt apart."""
-    terms = [F.lit('<profileDesc><textClass><keywords scheme="hgv">'), _element("term", F.col("place_name"), ' type="place"'), F.lit("</keywords></textClass></profileDesc>")]
+    terms = [F.lit('<profileDesc><textClass><keywords scheme="hgv">'), element_of("term", F.col("place_name"), ' type="place"'), F.lit("</keywords></textClass></profileDesc>")]
     return metadata.metadata_table(metadata.extracted(_record(spark, root, "orig_places", "place_id", terms, [])), "keywords")
 
 
@@ -136,9 +136,9 @@ def metadata_places(spark: SparkSession, root: str) -> DataFrame:
     reference = F.concat_ws(" ", F.concat(F.lit("https://www.trismegistos.org/place/"), F.col("tm_place_id").cast("string")), F.concat(F.lit("https://www.trismegistos.org/place/"), F.col("tm_id").cast("string")), F.concat(F.lit("https://pleiades.stoa.org/places/"), F.col("pleiades_place_id").cast("string")))
     start = F.concat(F.lit('<placeName type="ancient" subtype="'), F.col("granularity"), F.lit('" ref="'), reference, F.lit('">'))
     kind = F.coalesce(F.concat(F.lit(' type="'), F.col("place_type"), F.lit('"')), F.lit(""))
-    name = F.regexp_replace(_element("x", F.col("place_name")), "^<x>|</x>$", "")
+    name = F.regexp_replace(element_of("x", F.col("place_name")), "^<x>|</x>$", "")
     header = [
-        F.lit("<fileDesc><sourceDesc><msDesc><history><origin>"), _element("origPlace", F.col("full_place_name")), F.lit("</origin><provenance"), kind, F.lit('><p><placeName type="modern">none</placeName>'),
+        F.lit("<fileDesc><sourceDesc><msDesc><history><origin>"), element_of("origPlace", F.col("full_place_name")), F.lit("</origin><provenance"), kind, F.lit('><p><placeName type="modern">none</placeName>'),
         F.coalesce(start, F.lit('<placeName type="ancient">')), name, F.lit("</placeName></p></provenance></history></msDesc></sourceDesc></fileDesc>"),
     ]
     return metadata.metadata_table(metadata.extracted(_record(spark, root, "orig_places", "place_id", header, [])), "orig_places")
@@ -152,7 +152,7 @@ def metadata_dates(spark: SparkSession, root: str) -> DataFrame:
     g = table(spark, root, "export_geo").filter("coalesce(begin_date, 1) <> 0 and coalesce(end_date, 1) <> 0")
     parts = [
         F.lit('<TEI><teiHeader><fileDesc><publicationStmt><idno type="TM">'), F.col("id").cast("string"), F.lit("</idno></publicationStmt><sourceDesc><origDate"), mark, bound("notBefore", "begin_date", "-02-03"),
-        bound("notAfter", "end_date", ""), F.lit(">"), F.regexp_replace(_element("x", F.col("name_latin")), "^<x>|</x>$", ""), F.lit("</origDate></sourceDesc></fileDesc></teiHeader></TEI>"),
+        bound("notAfter", "end_date", ""), F.lit(">"), F.regexp_replace(element_of("x", F.col("name_latin")), "^<x>|</x>$", ""), F.lit("</origDate></sourceDesc></fileDesc></teiHeader></TEI>"),
     ]
     return metadata.metadata_table(metadata.extracted(g.select(F.lpad(F.col("id").cast("string"), 9, "0").alias("source_path"), F.concat(*parts).alias("xml"))), "orig_dates")
 
@@ -162,9 +162,9 @@ def metadata_works(spark: SparkSession, root: str) -> DataFrame:
     urn = F.coalesce(F.concat(F.lit(' ref="https://x.org '), F.col("perseus_author_urn"), F.lit('"')), F.lit(""))
     work = F.coalesce(F.concat(F.lit(' ref="x trismegistos.org/authorwork/'), F.col("tm_title_id").cast("string"), F.lit('/more"')), F.lit(""))
     named = F.col("author").contains(" ")
-    person = F.concat(_element("forename", F.substring_index("author", " ", 1)), _element("surname", F.expr("substring(author, length(substring_index(author, ' ', 1)) + 2)")))
-    author = F.coalesce(F.concat(F.lit("<author"), urn, F.lit(">"), F.when(named, person).otherwise(F.regexp_replace(_element("x", F.col("author")), "^<x>|</x>$", "")), F.lit("</author>")), F.lit(""))
-    title = F.coalesce(F.concat(F.lit('<title type="abbreviated">T.</title><title type="main"'), work, F.lit(">"), F.regexp_replace(_element("x", F.col("title")), "^<x>|</x>$", ""), F.lit("</title>")), F.lit(""))
+    person = F.concat(element_of("forename", F.substring_index("author", " ", 1)), element_of("surname", F.expr("substring(author, length(substring_index(author, ' ', 1)) + 2)")))
+    author = F.coalesce(F.concat(F.lit("<author"), urn, F.lit(">"), F.when(named, person).otherwise(F.regexp_replace(element_of("x", F.col("author")), "^<x>|</x>$", "")), F.lit("</author>")), F.lit(""))
+    title = F.coalesce(F.concat(F.lit('<title type="abbreviated">T.</title><title type="main"'), work, F.lit(">"), F.regexp_replace(element_of("x", F.col("title")), "^<x>|</x>$", ""), F.lit("</title>")), F.lit(""))
     body = [F.lit('<div type="bibliography" subtype="ancientEdition"><listBibl><bibl>'), title, author, F.lit("</bibl><bibl/></listBibl></div>")]
     return metadata.metadata_table(metadata.extracted(_record(spark, root, "ancient_editions", "ancient_edition_id", [], body)), "ancient_editions")
 
