@@ -1,4 +1,4 @@
-"""Six relational tables from the metadata of records.
+"""Six relational tables, and those registered besides, from the metadata of records.
 
 Every record is parsed once, into one struct with an array of rows for each table; the tables are
 explosions of that struct. Numbering of rows needs no global sort: partitions are counted, and a
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -240,13 +240,27 @@ def _ancient(root: ET.Element) -> list[dict]:
     return out
 
 
-def record_rows(xml: str | bytes) -> dict:
-    """The record's TM id and its rows for all six tables; a value that a table can't hold is an error."""
+Rows = Callable[[ET.Element], list[dict]]
+#: What gives the rows of each table from the outermost element of a record.
+EXTRACTORS: dict[str, Rows] = {
+    "papyri": lambda root: [_papyrus(root)], "principal_editions": _principal, "keywords": _keywords, "orig_dates": _dates, "orig_places": _places, "ancient_editions": _ancient,
+}
+
+
+def register(table: Table, rows: Rows) -> None:
+    """A further table, after those there are: it is extracted, listed and stored like them."""
+    if table.name in TABLES:
+        raise ValueError(f"there is a table {table.name!r} already")
+    TABLES[table.name], EXTRACTORS[table.name] = table, rows
+
+
+def record_rows(xml: str | bytes, extractors: dict[str, Rows] | None = None) -> dict:
+    """The record's TM id and its rows for all tables; a value that a table can't hold is an error."""
     root = parse(xml)
     tm = _identifier(root, "TM")
     if tm is None or not tm.strip().isdigit() or int(tm) < 1:
         raise ValueError(f"no usable TM id: {tm!r}")
-    return {"tm_id": int(tm), "papyri": [_papyrus(root)], "principal_editions": _principal(root), "keywords": _keywords(root), "orig_dates": _dates(root), "orig_places": _places(root), "ancient_editions": _ancient(root)}
+    return {"tm_id": int(tm)} | {name: rows(root) for name, rows in (EXTRACTORS if extractors is None else extractors).items()}
 
 
 def extracted(records: DataFrame, path: str = "source_path", xml: str = "xml") -> DataFrame:
@@ -255,7 +269,8 @@ def extracted(records: DataFrame, path: str = "source_path", xml: str = "xml") -
     A record that can't be read fails the query, with its path in the message. Null XML gives no row.
     """
     schema = T.StructType([T.StructField("source_path", S), T.StructField("tm_id", I), *[T.StructField(t.name, T.ArrayType(t.struct)) for t in TABLES.values()]])
-    kinds = {"integer": pa.int32(), "string": pa.string(), "boolean": pa.bool_()}
+    kinds = {"integer": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_()}
+    own = dict(EXTRACTORS)  # tables registered here are known to the workers by this
     arrow = {t.name: pa.list_(pa.struct([(n, kinds[k.typeName()]) for n, k in t.columns])) for t in TABLES.values()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +280,7 @@ def extracted(records: DataFrame, path: str = "source_path", xml: str = "xml") -
                 if value is None:
                     continue
                 try:
-                    rows.append(record_rows(value))
+                    rows.append(record_rows(value, own))
                 except (ET.ParseError, ValueError) as error:
                     raise ValueError(f"{where}: {error}") from error
                 paths.append(where)

@@ -108,7 +108,7 @@ def test_term_vectors(spark):
 def test_providers():
     assert len(providers.provider_for("hash:4", "m").embed(["a"])[0]) == 4
     with pytest.raises(ValueError):
-        providers.provider_for("https://example.org", "m")
+        providers.provider_for("ftp://example.org", "m")
     short = providers.CheckedProvider(lambda texts: [[1.0]] * len(texts), context_tokens=1)
     assert short.embed(["a", "a long text"]) == [[1.0], None]
     for bad in ([float("inf")], []):
@@ -118,6 +118,34 @@ def test_providers():
     assert providers.error_summary({"error": {"message": "no", "code": 4, "param": None}}) == "no; code: 4" and providers.error_summary("x") == "x"
 
 
+def test_services_by_their_answers(monkeypatch):
+    asked = []
+
+    def answer(method, address, body, headers):
+        asked.append((method, address, headers.get("Authorization")))
+        if address.endswith("/version"):
+            return {"version": "1"} if "own" in address else {}
+        if address.endswith("/tokenize"):
+            return {"count": len(body["prompt"]), "max_model_len": 99}
+        if "/models/" in address:
+            return {"max_context_length": 77}
+        return {"data": [{"embedding": [1, 2.5]}], "usage": {"prompt_tokens": 3, "total_tokens": 4}}
+
+    monkeypatch.setattr(providers.RemoteProvider, "transport", staticmethod(answer))
+    facts = {}
+    for address in ("https://api.mistral.ai", "https://api.openai.com/v1/", "https://API.voyageai.com", "http://own:8000/v1"):
+        p = providers.provider_for(address, "a/b", "k")
+        facts[type(p).__name__] = (p.embed(["x"]), p.token_count("abcd"), p.context_length(), p.embedding_length())
+    assert facts == {"MistralProvider": ([[1.0, 2.5]], 3, 77, 2), "OpenAIProvider": ([[1.0, 2.5]], 3, 8192, 2), "VoyageProvider": ([[1.0, 2.5]], 4, 32000, 2), "LocalServerProvider": ([[1.0, 2.5]], 4, 99, 2)}
+    assert ("GET", "https://api.mistral.ai/v1/models/a%2Fb", "Bearer k") in asked and ("POST", "http://own:8000/v1/embeddings", "Bearer k") in asked
+    with pytest.raises(ValueError, match="no provider"):
+        providers.provider_for("https://example.org", "m")
+    for bad in ({}, {"data": []}, {"data": [{"embedding": [1]}], "usage": {"prompt_tokens": True}}, {"data": [{"embedding": []}], "usage": {"prompt_tokens": 1}}, []):
+        monkeypatch.setattr(providers.RemoteProvider, "transport", staticmethod(lambda *_, b=bad: b))
+        with pytest.raises(ValueError):
+            providers.OpenAIProvider("https://api.openai.com/v1", "m", "k").embed(["x"])
+
+
 def test_bibliography(spark):
     record = '<bibl xml:id="b7" type="book"><idno type="pi">7</idno><title level="m" type="main">T</title><author><forename>A</forename><surname>B</surname></author><date>ca. 1923</date><biblScope unit="pp">3</biblScope><relatedItem type="appearsIn"><bibl><ptr target="https://papyri.info/biblio/9"/></bibl></relatedItem></bibl>'
     df = spark.createDataFrame([("x/7.xml", record), ("x/8.xml", record), ("x/bad.xml", "<bibl"), ("n", None)], "source_path string, xml string")
