@@ -21,6 +21,8 @@ from ostraka.session import cut
 
 BLOCK_ROWS = 32_768
 TILE_ROWS = 128
+#: Chunks of queries that are worth a task of their own.
+LEAST_ROWS = 256
 #: Chunks of a document that stay together.
 SPLIT_ROWS = 4_096
 DECIMALS = 10
@@ -64,6 +66,15 @@ def _vectors(column: pa.ChunkedArray) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
 
 
+def _tiles(starts: np.ndarray, n: int):
+    """Runs of documents (first, after the last) that have about TILE_ROWS chunks together, one at least."""
+    first, ends = 0, np.r_[starts[1:], n]
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(ends, starts[first] + TILE_ROWS, side="right")))
+        yield first, last
+        first = last
+
+
 def _by_document(table: pa.Table, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Table]:
     """Ids and first rows of the documents (or their parts) of one side, all vectors, and the first rows' columns."""
     part = table.filter(pc.equal(table["side"], side)).sort_by([("tm_id", "ascending"), ("part", "ascending")])
@@ -79,9 +90,9 @@ def _dealt(rows: DataFrame, documents: DataFrame, split_rows: int) -> DataFrame:
     return marked.join(parts, ["model_name", "tm_id"]).withColumn("part", F.pmod(F.col("__hash"), F.col("parts")).cast("int")).drop("__hash")
 
 
-def _numbers(rows: DataFrame, block_rows: int) -> dict[str, int]:
-    """Blocks of every model: one row for each comes to the driver."""
-    return {r["model_name"]: max(1, -(-r["count"] // block_rows)) for r in rows.groupBy("model_name").count().collect()}
+def _numbers(rows: DataFrame, block_rows: int, least: int = 1) -> dict[str, int]:
+    """Blocks of every model, ``least`` of them where they have LEAST_ROWS; one row for each model comes to the driver."""
+    return {r["model_name"]: max(1, -(-r["count"] // block_rows), min(least, r["count"] // LEAST_ROWS)) for r in rows.groupBy("model_name").count().collect()}
 
 
 def _of_model(numbers: dict[str, int]):
@@ -99,9 +110,10 @@ def target_ranks(transcriptions: DataFrame, translations: DataFrame, block_rows:
     key = ["model_name", "tm_id"]
     queries = query_documents(transcriptions, translations)
     candidates = translations.groupBy(*key).agg(F.min("source_path").alias("path"), F.count(F.lit(1)).alias("chunks"))
-    asked = _dealt(transcriptions, queries.select(*key, "chunks", F.lit("").alias("path")), split_rows)
-    given = _dealt(translations, candidates, split_rows)
-    n_q, n_c = _numbers(asked, block_rows), _numbers(given, block_rows)
+    # written once: each is read four times
+    asked = cut(_dealt(transcriptions, queries.select(*key, "chunks", F.lit("").alias("path")), split_rows))
+    given = cut(_dealt(translations, candidates, split_rows))
+    n_q, n_c = _numbers(asked, block_rows, transcriptions.sparkSession.sparkContext.defaultParallelism), _numbers(given, block_rows)
 
     # distances to the own translation: a query and its translation hash alike, each part meets each part
     parts_of = lambda rows, name: rows.select(*key, F.col("parts").alias(name)).distinct()
@@ -139,19 +151,30 @@ def target_ranks(transcriptions: DataFrame, translations: DataFrame, block_rows:
         q_ends, q_whole, goals = np.r_[q_at[1:], len(q)], q_rows["parts"].to_numpy() == 1, q_rows["target"].to_pylist()
         counts: list[tuple] = []
         pairs: list[tuple] = []
-        for n, tm in enumerate(q_ids):
-            if not len(c_ids):
-                break
-            d = _distances(q[q_at[n] : q_ends[n]], c, c_at)
-            apart = np.nonzero(~whole)[0] if q_whole[n] else np.arange(len(d))
-            pairs += [(tm, c_ids[i], names[i], float(d[i])) for i in apart]
-            if q_whole[n]:
-                sort, ids = np.where(np.isnan(d[places]), np.inf, d[places]), c_ids[places]
-                best = places[np.lexsort((np.arange(len(sort)), sort))[: len(RANKS)]]
-                # a target at NaN is met as no target: candidates before it are counted as those that aren't NaN
-                goal = np.inf if goals[n] is None or np.isnan(goals[n]) else goals[n]
-                ahead = int(((sort < goal) | (sort == goal) & (ids < tm) & (ids != tm)).sum()) if len(sort) else 0
-                counts.append((tm, ahead, [{"distance": float(d[i]), "tm_id": c_ids[i], "path": names[i]} for i in best]))
+        for first, last in _tiles(q_at, len(q)) if len(c_ids) else ():
+            begin, end = q_at[first], q_ends[last - 1]
+            if last - first == 1:
+                tile = _distances(q[begin:end], c, c_at)[None, :]
+            else:
+                tile = np.round(np.fmin.reduceat(np.fmin.reduceat(1 - q[begin:end] @ c.T, c_at, axis=1), q_at[first:last] - begin, axis=0), DECIMALS)
+            # a target at NaN is met as no target: candidates before it are counted as those that aren't NaN
+            goal = np.array([np.inf if g is None or np.isnan(g) else g for g in goals[first:last]])
+            sort = np.where(np.isnan(tile[:, places]), np.inf, tile[:, places])
+            # ids are in order, so those before a query's own are the first so many
+            earlier = np.searchsorted(c_ids[places], q_ids[first:last])
+            ahead = (sort < goal[:, None]).sum(axis=1)
+            few = min(len(RANKS), sort.shape[1])
+            bound = np.partition(sort, few - 1, axis=1)[:, few - 1] if few else goal
+            for n in range(first, last):
+                d, tm = tile[n - first], q_ids[n]
+                apart = np.nonzero(~whole)[0] if q_whole[n] else np.arange(len(d))
+                pairs += [(tm, c_ids[i], names[i], float(d[i])) for i in apart]
+                if q_whole[n]:
+                    own = sort[n - first]
+                    near_by = np.nonzero(own <= bound[n - first])[0] if few else np.zeros(0, dtype=np.int64)
+                    best = places[near_by[np.argsort(own[near_by], kind="stable")[:few]]]
+                    equal = int((own[: earlier[n - first]] == goal[n - first]).sum())
+                    counts.append((tm, int(ahead[n - first]) + equal, [{"distance": float(d[i]), "tm_id": c_ids[i], "path": names[i]} for i in best]))
         a, b, model = len(counts), len(pairs), table["model_name"][0].as_py()
         near_type = pa.list_(pa.struct([("distance", pa.float64()), ("tm_id", pa.string()), ("path", pa.string())]))
         columns = [
