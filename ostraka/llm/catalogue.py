@@ -109,10 +109,11 @@ def p4_found(spark: SparkSession, root: str) -> DataFrame:
 def p4_nearest(spark: SparkSession, root: str) -> DataFrame:
     """The 10 nearest of every vector whose xml_id is divisible by 50, among all."""
     near = neighbours.similar_vectors(_vectors(spark, root), "model_name", ["xml_id", "chunk_index"], "embedding", 10, factor=2.0, query=F.col("xml_id") % 50 == 0)
-    return near.select(F.col("grp").alias("model_name"), F.col("a.k0").alias("xml_id"), F.col("a.k1").alias("chunk_index"), F.col("b.k0").alias("near_xml_id"), F.col("b.k1").alias("near_chunk_index"), "similarity")
+    return near.select(F.col("grp").alias("model_name"), F.col("a.k0").alias("xml_id"), F.col("a.k1").alias("chunk_index"), F.col("b.k0").alias("near_xml_id"), F.col("b.k1").alias("near_chunk_index"), F.round("similarity", 4).alias("similarity"))
 
 
 CHUNK_KEY = ("xml_id", "model_name", "chunk_index")
+LIMIT_WORDS, OVERLAP_WORDS = 500, 50
 
 
 def _oversized(spark: SparkSession, root: str) -> DataFrame:
@@ -126,7 +127,17 @@ def p5_found(spark: SparkSession, root: str) -> DataFrame:
 
 def p5_pieces(spark: SparkSession, root: str) -> DataFrame:
     """Pieces of at most 500 words that overlap by 50."""
-    return splitting.split_oversized(_oversized(spark, root), "document_text", CHUNK_KEY)
+    return splitting.split_oversized(_oversized(spark, root), "document_text", CHUNK_KEY, LIMIT_WORDS, OVERLAP_WORDS)
+
+
+def p5_restored(spark: SparkSession, root: str) -> DataFrame:
+    """The words of every oversized value put together again from its pieces, and whether each piece keeps the limit."""
+    pieces = p5_pieces(spark, root)
+    words = F.filter(F.split("piece", splitting.SPLIT), lambda w: w != "")
+    new = F.when(F.col("piece_index") == 0, words).otherwise(F.slice(words, OVERLAP_WORDS + 1, F.greatest(F.size(words) - OVERLAP_WORDS, F.lit(0))))
+    whole = pieces.groupBy(*CHUNK_KEY).agg(F.array_sort(F.collect_list(F.struct("piece_index", new.alias("w")))).alias("p"), F.bool_and((F.col("words") <= LIMIT_WORDS) & (F.size(words) == F.col("words"))).alias("kept"))
+    every = F.flatten(F.transform("p", lambda x: x["w"]))
+    return whole.select(*CHUNK_KEY, F.size(every).alias("words"), F.sha2(F.array_join(every, " "), 256).alias("content_hash"), "kept")
 
 
 def _unlinked_places(spark: SparkSession, root: str) -> DataFrame:
@@ -275,6 +286,7 @@ QUERIES = {
     "p4_nearest": p4_nearest,
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
+    "p5_restored": p5_restored,
     "p6_found": p6_found,
     "p6_unmatched": p6_unmatched,
     "p6_within": p6_within,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ostraka.functions.languages import CODES
 from ostraka.llm.tokens import VOCABULARY
+from ostraka.plans.texts import edition_language_sql
 
 _BLANKS = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 _SPACE = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
@@ -27,15 +28,7 @@ counts AS (SELECT piece, 1 AS n FROM words WHERE h IN (SELECT h FROM vocabulary)
 tokens AS (SELECT key, coalesce(sum(n), 0)::BIGINT AS tokens FROM rows LEFT JOIN pieces USING (key) LEFT JOIN counts USING (piece) GROUP BY key)"""
 
 
-def _edition_language_sql(xml: str) -> str:
-    bare = rf"regexp_replace({xml}, '\A(?:\s|<\?.*?\?>|<!--.*?-->)+', '', 's')"
-    attribute = r"""'\bxml:lang\s*=\s*["'']\s*([^"'']*?)\s*["'']'"""
-    division = rf"""regexp_extract({bare}, '<(?:[\w.-]+:)?div\b[^>]*?\btype\s*=\s*["'']edition["''][^>]*', 0)"""
-    outermost = rf"regexp_extract({bare}, '\A<[^!?>][^>]*', 0)"
-    return f"coalesce(nullif(regexp_extract({division}, {attribute}, 1), ''), nullif(regexp_extract({outermost}, {attribute}, 1), ''))"
-
-
-_TAG = f"CASE WHEN type = 'translation' THEN language ELSE {_edition_language_sql('xml_content')} END"
+_TAG = f"CASE WHEN type = 'translation' THEN language ELSE {edition_language_sql('xml_content')} END"
 _CODE = f"CASE split_part(replace(lower(trim({_TAG})), '_', '-'), '-', 1) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CODES.items()) + " END"
 _SLICED = f"SELECT transcription_id, type, text, lemma_text, split_part(source_path, '/', 1) AS source, coalesce({_CODE}, 'unknown') AS language FROM transcriptions"
 _CUBE = "SELECT (4 * grouping(source) + 2 * grouping(language) + grouping(type))::INTEGER AS level, source, language, type, count(*) AS documents, sum(tokens)::BIGINT AS tokens FROM {} GROUP BY CUBE (source, language, type)"
@@ -71,5 +64,12 @@ s AS (SELECT a.model_name, a.xml_id AS ax, a.chunk_index AS ac, b.xml_id AS bx,
 r AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY model_name, ax, ac ORDER BY sim DESC, bx, bc) <= 10)
 SELECT DISTINCT model_name, CASE WHEN (ax, ac) < (bx, bc) THEN ax ELSE bx END AS xml_id_a, CASE WHEN (ax, ac) < (bx, bc) THEN ac ELSE bc END AS chunk_index_a,
   CASE WHEN (ax, ac) < (bx, bc) THEN bx ELSE ax END AS xml_id_b, CASE WHEN (ax, ac) < (bx, bc) THEN bc ELSE ac END AS chunk_index_b FROM r WHERE sim >= 0.9""",
+    "p4_nearest": """
+WITH e AS (SELECT model_name, xml_id, chunk_index, min(embedding)::DOUBLE[] AS v FROM (SELECT model_name, xml_id, chunk_index, embedding FROM transcription_embeddings UNION ALL SELECT model_name, xml_id, chunk_index, embedding FROM translation_embeddings)
+  GROUP BY ALL HAVING list_aggregate([abs(x) FOR x IN min(embedding)], 'max') > 0)
+SELECT a.model_name, a.xml_id, a.chunk_index, b.xml_id AS near_xml_id, b.chunk_index AS near_chunk_index, round(list_cosine_similarity(a.v, b.v), 4) AS similarity FROM e a JOIN e b ON a.model_name = b.model_name AND (a.xml_id, a.chunk_index) <> (b.xml_id, b.chunk_index)
+WHERE a.xml_id % 50 = 0 QUALIFY row_number() OVER (PARTITION BY a.model_name, a.xml_id, a.chunk_index ORDER BY list_cosine_similarity(a.v, b.v) DESC, b.xml_id, b.chunk_index) <= 10""",
+    "p5_restored": f"""SELECT xml_id, model_name, chunk_index, len(w)::INTEGER AS words, sha256(array_to_string(w, ' ')) AS content_hash, true AS kept FROM
+  (SELECT DISTINCT xml_id, model_name, chunk_index, list_filter(regexp_split_to_array(document_text, '{_BLANKS}'), lambda w: w <> '') AS w FROM transcription_embeddings) WHERE len(w) > 500""",
     "p5_found": f"SELECT DISTINCT xml_id, model_name, chunk_index FROM transcription_embeddings WHERE len(list_filter(regexp_split_to_array(document_text, '{_BLANKS}'), lambda w: w <> '')) > 500",
 }

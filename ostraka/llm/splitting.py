@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 
 #: The characters of Unicode White_Space.
 BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: The same as a pattern of Java's.
+SPLIT = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 #: Control characters that aren't white space, though str.split cuts there.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 WORD = re.compile(f"[^{BLANKS}]+")
