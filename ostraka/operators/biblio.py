@@ -26,13 +26,13 @@ def biblio_id(node: ET.Element, path: str) -> str | None:
 
 
 def title_signature(node: ET.Element) -> str:
-    return "/".join(node.get(a) or "-" for a in ("level", "type"))
+    """Level and type of a title, as far as it has them."""
+    return ", ".join(f"{a}={node.get(a)}" for a in ("level", "type") if node.get(a) is not None) or "(no level/type)"
 
 
 def contributor_shape(node: ET.Element) -> str:
-    """Which parts of a name a contributor has; plain text, or nothing."""
-    parts = sorted({local(c) for c in node if isinstance(c.tag, str)})
-    return "+".join(parts) or ("text" if squeezed(node) else "empty")
+    """Which parts of a name a contributor has, in order; plain text, or nothing."""
+    return " + ".join(local(c) for c in node if isinstance(c.tag, str)) or ("text" if squeezed(node) else "empty")
 
 
 def record_facts(xml: str, path: str) -> list[tuple[str, str | None, str | None]]:

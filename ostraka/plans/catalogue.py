@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from ostraka.plans import nested, profiles, records, retrieval, texts
+from ostraka.plans import nested, profiles, records, retrieval, storage, texts
 
-MODULES = (retrieval, texts, profiles, records, nested)
+MODULES = (retrieval, texts, profiles, records, storage, nested)
 
 
 def queries():

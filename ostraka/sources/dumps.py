@@ -22,8 +22,9 @@ def safe_name(value: str) -> str:
 
 
 def dump_csv(df: DataFrame, target: str, columns: Sequence[str], order: Sequence[str]) -> None:
-    """One folder of CSV parts in order; nulls are empty, empty strings are quoted."""
-    df.select(*columns).orderBy(*order).write.mode("errorifexists").options(header=True, escape='"', emptyValue='""', nullValue="").csv(target)
+    """One folder of CSV parts in order; nulls are empty, empty strings are quoted, blanks at the ends of values stay."""
+    options = {"header": True, "escape": '"', "emptyValue": '""', "nullValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.select(*columns).orderBy(*order).write.mode("errorifexists").options(**options).csv(target)
 
 
 def read_csv(spark: SparkSession, source: str, schema: T.StructType) -> DataFrame:

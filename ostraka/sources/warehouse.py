@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,11 +37,20 @@ VECTORS = T.StructType([T.StructField(n, t) for n, t in (
 )])
 
 
+@F.arrow_udf(T.StringType())
+def _term_vector(values: pa.Array) -> pa.Array:
+    out: list[str | None] = []
+    for words in values.to_pylist():
+        places: dict[str, list[str]] = {}
+        for i, w in enumerate(words or (), 1):
+            places.setdefault(w, []).append(str(i))
+        out.append(None if words is None else " ".join(f"'{w}':{','.join(places[w])}" for w in sorted(places)))
+    return pa.array(out, pa.string())
+
+
 def term_vector(text: Column) -> Column:
     """A text's lexemes in order with their places: 'a':1,3 'b':2. Null for null."""
-    words = lexemes(text)
-    entry = lambda w: F.concat(F.lit("'"), w, F.lit("':"), F.array_join(F.transform(F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: F.element_at(words, i) == w), lambda i: i.cast("string")), ","))
-    return F.when(F.size(words) == 0, "").otherwise(F.array_join(F.transform(F.array_sort(F.array_distinct(words)), entry), " "))
+    return _term_vector(lexemes(text))
 
 
 @dataclass(frozen=True)

@@ -151,7 +151,7 @@ def test_bibliography(spark):
     df = spark.createDataFrame([("x/7.xml", record), ("x/8.xml", record), ("x/bad.xml", "<bibl"), ("n", None)], "source_path string, xml string")
     facts = biblio.biblio_facts(df)
     counts = {(r.kind, r.value): r.records for r in biblio.fact_counts(facts).collect()}
-    assert counts["identity", "consistent"] == 1 and counts["identity", "different"] == 1 and counts["date", "1923"] == 2 and counts["contributor", "author:forename+surname"] == 2 and counts["error", None] == 1
+    assert counts["identity", "consistent"] == 1 and counts["identity", "different"] == 1 and counts["date", "1923"] == 2 and counts["contributor", "author:forename + surname"] == 2 and counts["error", None] == 1
     assert [(r.source, r.relation, r.target, r.times) for r in biblio.relation_edges(facts).collect()] == [("7", "appearsIn", "9", 2)]
     assert [(r.biblio_id, r.records) for r in biblio.duplicate_ids(facts).collect()] == [("7", 2)]
     assert [(r.biblio_id, r.place) for r in biblio.metadata_pointers(df.filter("source_path = 'x/7.xml'")).collect()] == [("9", "bibl")]
