@@ -5,6 +5,7 @@ Every rule is a pure function of a page and its address; :func:`image_addresses`
 
 from __future__ import annotations
 
+import html.parser
 import re
 import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterable
@@ -58,6 +59,75 @@ def _after_heading(page: str, base: str, heading: str) -> list[str]:
     return [] if at is None else _links(page[at.end() :], base, lambda u, _: True)
 
 
+class _Tables(html.parser.HTMLParser):
+    """The links and the bold labels of every table, those of tables within it included in its links."""
+
+    def __init__(self):
+        super().__init__()
+        self.open: list[tuple[list[str], list[str]]] = []
+        self.found: list[tuple[list[str], list[str]]] = []
+        self.bold: list[str] | None = None
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "table":
+            self.open.append(([], []))
+        elif tag == "a" and (href := dict(attrs).get("href")):
+            for _, links in self.open:
+                links.append(href)
+        elif tag == "b":
+            self.bold = []
+
+    def handle_data(self, data):
+        if self.bold is not None:
+            self.bold.append(data)
+
+    def handle_endtag(self, tag):
+        if tag == "b" and self.bold is not None:
+            if self.open:
+                self.open[-1][0].append("".join(self.bold).strip().removesuffix(":"))
+            self.bold = None
+        elif tag == "table" and self.open:
+            self.found.append(self.open.pop())
+
+
+def _table_links(page: str, base: str, heading: str) -> list[str]:
+    """Different links of the first table that a bold heading stands in directly."""
+    tables = _Tables()
+    tables.feed(page)
+    tables.close()
+    return _different(urljoin(base, u) for u in next((links for labels, links in tables.found if heading in labels), ()))
+
+
+# Where these sites keep their images, and the headings and labels of their pages.
+BERLIN, MET_IMAGES, CAIRO, EGNET = "berlpap.smb.museum", "images.metmuseum.org", "ipap.csad.ox.ac.uk", "www.ifao.egnet.net"
+CAIRO_LABELS = ("300 dpi image (b/w)", "300 dpi image (colour)")
+VIGNETTES = "docs/vignettes/"
+OXFORD_FILES = "https://ndownloader.figshare.com/files/"
+
+
+def _berlin(page: str, base: str) -> list[str]:
+    """The digital images, else the first published one."""
+    own = [u for u in _table_links(page, base, "Digitalisate") if (p := urlsplit(u)).scheme == "https" and p.netloc == BERLIN and p.path.startswith("/Original/")]
+    return own or [u for u in _table_links(page, base, "Publizierte Abbildungen") if urlsplit(u).scheme in ("http", "https") and urlsplit(u).hostname][:1]
+
+
+def _egnet(page: str, base: str) -> list[str]:
+    """By the address alone where it names the record, else the first vignette of the page."""
+    parts = urlsplit(base)
+    named = parse_qs(parts.query).get("id", [])
+    if len(named) == 1 and re.fullmatch(r"[A-Za-z0-9_-]+", named[0]):
+        return [urlunsplit((parts.scheme, parts.netloc, f"{parts.path.rstrip('/')}/{VIGNETTES}{named[0]}.jpg", "", ""))]
+    form = re.compile(rf"/bases/publications/fifao67/{VIGNETTES}[A-Za-z0-9_-]+\.jpg", re.IGNORECASE)
+    shown = [u.partition("#")[0] for tag, u, _ in images.page_links(page, base) if tag == "img" and urlsplit(u).hostname == EGNET and form.fullmatch(urlsplit(u).path)]
+    return shown[:1]
+
+
+def _oxford(page: str, base: str) -> list[str]:
+    """The file that the address names, else the images of the record's list of files."""
+    named = parse_qs(urlsplit(base).query).get("file", [])
+    return [OXFORD_FILES + named[0]] if len(named) == 1 and named[0].isdigit() else _different(images.file_list_images(page))
+
+
 def _psi(page: str, base: str) -> list[str]:
     return _links(page, base, lambda u, _: urlsplit(u).path == "/documents/download" and any(parse_qs(urlsplit(u).query).get("filen", ())))
 
@@ -74,7 +144,7 @@ def _by_address(url: str) -> list[str]:
 
 def _scripted(page: str, _base: str) -> list[str]:
     found = re.findall(r"\\?\"originalImageUrl\\?\"\s*:\s*\\?\"(https?:[^\"\\]+(?:\\/[^\"\\]+)*)", page)
-    return _different(u.replace("\\/", "/") for u in found)
+    return _different(u for u in (f.replace("\\/", "/") for f in found) if urlsplit(u).scheme == "https" and urlsplit(u).hostname == MET_IMAGES)
 
 
 def _portal(page: str, base: str) -> list[str]:
@@ -87,8 +157,8 @@ def _portal(page: str, base: str) -> list[str]:
 RULES: dict[str, Callable[[str, str], list[str]]] = {
     "Aphrodito": lambda page, base: images.labelled_links(page, base, "grande image"),
     "BritishMuseum": lambda page, base: images.labelled_links(page, base, "download this image") or _links(page, base, lambda u, _: re.fullmatch(r"/collection/image/\d+/?", urlsplit(u).path) is not None),
-    "CairoMuseum": lambda page, base: _links(page, base, lambda _, label: re.search(r"300\s*dpi image", label, re.IGNORECASE) is not None),
-    "Egnet": lambda page, base: _different(u for tag, u, _ in images.page_links(page, base) if tag == "img" and "/vignettes/" in u),
+    "CairoMuseum": lambda page, base: _links(page, base, lambda u, label: label.casefold() in CAIRO_LABELS and urlsplit(u).hostname == CAIRO and _is_image(u)),
+    "Egnet": _egnet,
     "Louvre": lambda page, _: images.record_images(page),
     "MetMuseum": _scripted,
     "Nakala": lambda _, base: [base],
@@ -97,8 +167,8 @@ RULES: dict[str, Callable[[str, str], list[str]]] = {
     "UniHamburg": lambda page, _: images.manifest_images(page),
     "UMichigan": lambda page, _: images.manifest_images(page),
     "Yale": lambda page, _: images.manifest_images(page),
-    "Oxford": lambda page, _: images.file_list_images(page),
-    "BerlPap": lambda page, base: _different(u for u in _after_heading(page, base, "Digitalisate") if urlsplit(u).path.startswith("/Original/")) or _after_heading(page, base, "Publizierte Abbildungen")[:1],
+    "Oxford": _oxford,
+    "BerlPap": _berlin,
     "PapyrusPortal": _portal,
     "PSIOnline": _psi,
     "UBHeidelberg": _manifest_links,
@@ -109,6 +179,26 @@ RULES: dict[str, Callable[[str, str], list[str]]] = {
 }
 
 
+#: Sites whose rule gives further pages before images: what such an address looks like.
+LEADS_ON = {"BritishMuseum": re.compile(r"https?://[^/]+/collection/image/\d+/?"), "PapyrusPortal": re.compile(r".*(?i:mets|\.xml)(?:[?#].*)?"), "UBHeidelberg": re.compile(r".*manifest.*")}
+
+
+def walk(handler: str, address: str, fetch: Callable[[str], str]) -> list[str]:
+    """Image addresses of a record: ``fetch`` gives pages and manifests as far as the site's rule leads on, each once."""
+    todo, seen, out = [address], {address}, []
+    while todo:
+        at = todo.pop(0)
+        page = fetch(at)
+        found = images.manifest_images(page) if handler == "UBHeidelberg" and at != address else RULES[handler](page, at)
+        for url in found:
+            if (further := LEADS_ON.get(handler)) and further.fullmatch(url) and url not in seen:
+                seen.add(url)
+                todo.append(url)
+            elif url not in seen:
+                out.append(url)
+    return _different(out)
+
+
 def image_addresses(handler: Column, page: Column, address: Column) -> Column:
     """Image addresses that a page gives under its site's rule; empty for what can't be read, null for no rule."""
 

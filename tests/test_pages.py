@@ -15,8 +15,11 @@ METS = """<mets xmlns="m" xmlns:xlink="x"><fileSec><fileGrp USE="IVIEW2"><file I
     ("site", "page", "base", "found"),
     [
         ("Aphrodito", '<a href="x.jpg">Grande image</a><a href="y.jpg">petite</a>', "http://h/p/1.html", ["http://h/p/x.jpg"]),
-        ("CairoMuseum", '<a href="1.jpg">300 dpi image (b/w)</a><a href="2.jpg">72 dpi</a>', "http://h/", ["http://h/1.jpg"]),
-        ("MetMuseum", r'<script>x = "{\"originalImageUrl\":\"https://images/a.jpg\"}"; y = {"originalImageUrl": "https://images/b.jpg"}</script>', "", ["https://images/a.jpg", "https://images/b.jpg"]),
+        ("CairoMuseum", '<a href="1.jpg">300 DPI image (b/w)</a><a href="2.jpg">72 dpi</a><a href="http://h/3.jpg">300 dpi image (colour)</a><a href="4.html">300 dpi image (colour)</a>', "http://ipap.csad.ox.ac.uk/", ["http://ipap.csad.ox.ac.uk/1.jpg"]),
+        ("Egnet", "", "http://www.ifao.egnet.net/bases/publications/fifao81/?id=a-1", ["http://www.ifao.egnet.net/bases/publications/fifao81/docs/vignettes/a-1.jpg"]),
+        ("Egnet", '<img src="x.jpg"><img src="docs/vignettes/b.JPG"><img src="docs/vignettes/c.jpg">', "http://www.ifao.egnet.net/bases/publications/fifao67/?os=3", ["http://www.ifao.egnet.net/bases/publications/fifao67/docs/vignettes/b.JPG"]),
+        ("Oxford", "", "https://portal.sds.ox.ac.uk/articles/online_resource/x/1?file=22", ["https://ndownloader.figshare.com/files/22"]),
+        ("MetMuseum", r'<script>x = "{\"originalImageUrl\":\"https://images.metmuseum.org/a.jpg\"}"; y = {"originalImageUrl": "https://images.metmuseum.org/b.jpg"}</script>', "", ["https://images.metmuseum.org/a.jpg", "https://images.metmuseum.org/b.jpg"]),
         ("PSIOnline", '<a href="/documents/download?filen=1.jpg">a</a><a href="/documents/download">b</a><a href="/documents/download?filen=1.jpg">c</a>', "http://psi-online.it/documents/x", ["http://psi-online.it/documents/download?filen=1.jpg"]),
         ("Warsaw", "", "http://www.papyrology.uw.edu.pl/papyri/p1.htm", ["https://www.papyrology.uw.edu.pl/papyri/p1.jpg"]),
         ("PapyrusPortal", METS, "", ["b.jpg", "a.tif"]),
@@ -24,7 +27,8 @@ METS = """<mets xmlns="m" xmlns:xlink="x"><fileSec><fileGrp USE="IVIEW2"><file I
         ("Oxford", json.dumps({"files": [{"mimetype": "image/png", "download_url": "u"}, {"mimetype": "text/plain", "download_url": "v"}]}), "", ["u"]),
         ("UniKoeln", '<a href="0.jpg">x</a>Abbildung: <a href="1.jpg">x</a><a href="t.html">x</a>', "http://h/", ["http://h/1.jpg"]),
         ("UBHeidelberg", '<a href="/iiif/manifest.json">m</a><a href="/iiif3/manifest.json">m</a>', "http://h/", ["http://h/iiif3/manifest.json"]),
-        ("BerlPap", '<h2>Digitalisate</h2><a href="/Original/1.jpg">x</a><a href="/other">y</a>', "http://h/", ["http://h/Original/1.jpg"]),
+        ("BerlPap", '<table><tr><td><b>Digitalisate:</b></td><td><a href="/Original/1.jpg">x</a><a href="/other">y</a></td></tr></table><a href="/Original/2.jpg">z</a>', "https://berlpap.smb.museum/", ["https://berlpap.smb.museum/Original/1.jpg"]),
+        ("BerlPap", '<table><tr><td><b>Publizierte Abbildungen</b><a href="mailto:x">m</a><a href="http://o/1">x</a><a href="http://o/2">y</a></td></tr></table>', "https://berlpap.smb.museum/", ["http://o/1"]),
         ("UCBerkeley", '{"contentUrl": ["a", "b"]}', "", ["a", "b"]),
     ],
 )
@@ -32,6 +36,18 @@ def test_rules(site, page, base, found):
     assert pages.RULES[site](page, base) == found
 
 
+def test_walks_over_several_pages():
+    site = {
+        "https://www.britishmuseum.org/collection/object/Y_1": '<a href="/collection/image/7">x</a><a href="/collection/image/8">y</a>', "https://www.britishmuseum.org/collection/image/7": '<a href="http://d/7.jpg">Download this image</a>',
+        "https://www.britishmuseum.org/collection/image/8": '<a href="http://d/8.jpg">Download this image</a><a href="/collection/image/7">back</a>', "http://h/x": '<script>var json = {"metsURL": "/mets.xml"};</script>', "http://h/mets.xml": METS,
+        "http://u/d": '<a href="/iiif3/manifest.json">m</a>', "http://u/iiif3/manifest.json": json.dumps({"items": [{"items": [{"items": [{"body": {"id": "i"}}]}]}]}),
+    }
+    assert pages.walk("BritishMuseum", "https://www.britishmuseum.org/collection/object/Y_1", site.__getitem__) == ["http://d/7.jpg", "http://d/8.jpg"]
+    assert pages.walk("PapyrusPortal", "http://h/x", site.__getitem__) == ["b.jpg", "a.tif"]
+    assert pages.walk("UBHeidelberg", "http://u/d", site.__getitem__) == ["i"]
+    assert pages.walk("Oxford", "http://o/1?file=3", lambda _: "") == ["https://ndownloader.figshare.com/files/3"]
+
+
 def test_rules_on_a_table(spark):
     df = spark.createDataFrame([("Louvre", "not json", ""), ("Nowhere", "x", ""), (None, None, None), ("Nakala", None, "u")], "h string, p string, u string")
     assert [r.x for r in df.select(pages.image_addresses(F.col("h"), F.col("p"), F.col("u")).alias("x")).collect()] == [[], None, None, ["u"]]
