@@ -36,6 +36,8 @@ def parser() -> argparse.ArgumentParser:
     command(e, "dump", "target", "model", kind="transcription")
     command(e, "import", "source", "model", kind="transcription")
     command(e, "evaluate", model=None, seed=0, output=None).add_argument("--sample", type=int)
+    i = groups.add_parser("images").add_subparsers(dest="command", required=True)
+    command(i, "settle", "source", "target", broken=None, lists=None)
     return top
 
 
@@ -48,6 +50,14 @@ def run(arguments: list[str] | None = None) -> None:
 
     w = Warehouse(SparkSession.builder.appName("ostraka").getOrCreate(), a.warehouse)
     match a.group, a.command:
+        case "images", "settle":
+            from ostraka.operators.images import outcome_chart
+            from ostraka.sources.image_run import run_images
+
+            done = run_images(w.spark, a.source, a.target, w.spark.read.text(a.broken) if a.broken else None)
+            if a.lists:
+                done.write_lists(a.lists)
+            print(outcome_chart(done.counts().collect()))
         case "metadata", "ingest":
             w.ingest_metadata(a.source)
         case "metadata", "dump":

@@ -1,3 +1,6 @@
+import json
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -157,6 +160,50 @@ def test_bibliography(spark):
     assert [(r.biblio_id, r.place) for r in biblio.metadata_pointers(df.filter("source_path = 'x/7.xml'")).collect()] == [("9", "bibl")]
 
 
+def test_image_runs(spark, tmp_path):
+    from ostraka.sources import image_run
+
+    def put(path, body):
+        (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / path).write_text(body, encoding="utf-8")
+
+    doi = "https://doi.org/10.1/"
+    for tm, urls in ((1, [doi + "a", doi + "b"]), (2, [doi + "c", doi + "c", "https://example.org/x"]), (3, [doi + "down", doi + "bad"])):
+        marks = "".join(f'<graphic url="{u}"/>' for u in urls)
+        put(f"corpus/HGV_meta_EpiDoc/HGV1/{tm}.xml", f'<TEI><idno type="TM">{tm}</idno><facsimile>{marks}<graphic/></facsimile></TEI>')
+    for name in ("DDbDP", "Translations", "DCLP"):
+        put(f"corpus/{name}/0/0.txt", "")
+    put("corpus/DDbDP/0/7.xml", "<TEI/>")
+    put("corpus/Translations/0/7-1.xml", "<TEI/>")
+    put("corpus/DCLP/0/8.xml", '<TEI><idno type="TM">8</idno></TEI>')
+    put("images/1/a.txt", "abc")
+    entry = {"source_url": doi + "a", "files": [{"path": "a.txt", "size": 3, "sha256": "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"}]}
+    put("images/1/manifest.json", json.dumps({"version": 1, "entries": [entry]}))
+    broken = spark.createDataFrame([(f"1: {doi}b",)], "value string")
+    source, target = str(tmp_path / "corpus"), str(tmp_path / "images")
+    first = image_run.run_images(spark, source, target, broken)
+    assert sorted((r.tm_id, r.url.rpartition("/")[2], r.outcome) for r in first.links.collect()) == [("1", "a", "already_present"), ("1", "b", "broken"), ("2", "c", "queued"), ("2", "x", "todo"), ("3", "bad", "queued"), ("3", "down", "queued")]
+
+    def fetch(handler, tm_id, url):
+        if url.endswith("down"):
+            raise image_run.Unavailable(handler)
+        if url.endswith("bad"):
+            raise OSError("no such page")
+        folder = pathlib.Path(target) / tm_id
+        folder.mkdir(exist_ok=True)
+        (folder / "c.txt").write_text("xy")
+        return ["c.txt"]
+
+    done = image_run.run_images(spark, source, target, broken, fetch)
+    got = {(r.tm_id, r.url.rpartition("/")[2]): r.outcome for r in done.links.collect()}
+    assert got["2", "c"] == "downloaded" and got["3", "down"] == "unavailable" and got["3", "bad"] in ("failed", "unavailable")
+    made = done.entries.collect()
+    assert [(r.directory, r.source_url, r.scraper, [(f.path, f["size"]) for f in r.files]) for r in made] == [("2", doi + "c", "DOI", [("c.txt", 2)])]
+    done.write_lists(str(tmp_path / "lists"))
+    assert spark.read.text(str(tmp_path / "lists/todo")).first().value == "2: https://example.org/x"
+    assert {r.handler: r.downloaded for r in done.counts().collect()} == {"DOI": 1}
+
+
 def test_commands():
     a = parser().parse_args(["--warehouse", "w", "embeddings", "update", "hash:4", "m", "--sample", "3"])
     assert (a.group, a.command, a.model, a.sample, a.chunk_size, a.seed) == ("embeddings", "update", "m", 3, 500, 0)
