@@ -28,3 +28,27 @@ def data():
     if not os.path.isdir(DATA):
         pytest.skip("no test tables")
     return DATA
+
+
+@pytest.fixture(scope="session")
+def agrees(spark, data):
+    """Whether a query gives the rows of its SQL, columns by name, floats to nine figures."""
+    import duckdb
+
+    connection = duckdb.connect()
+    for file in os.listdir(data):
+        if file.endswith(".parquet"):
+            connection.execute(f"CREATE VIEW {file[:-8]} AS SELECT * FROM read_parquet('{data}/{file}')")
+
+    def rows(columns, values):
+        order = sorted(range(len(columns)), key=columns.__getitem__)
+        return sorted(tuple(f"{r[i]:.9g}" if isinstance(r[i], float) else str(r[i]) for i in order) for r in values)
+
+    def run(query, sql):
+        found = query(spark, data)
+        wanted = connection.execute(sql)
+        names = [c[0] for c in wanted.description]
+        assert sorted(found.columns) == sorted(names)
+        assert rows(found.columns, map(tuple, found.collect())) == rows(names, wanted.fetchall())
+
+    return run
