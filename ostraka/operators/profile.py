@@ -63,6 +63,36 @@ def element_inventory(records: DataFrame, key: str, xml: str) -> DataFrame:
     return records.select(key, F.col(xml)).mapInArrow(run, schema)
 
 
+# The fields of a metadata record that a database would hold, and where they stand.
+FIELDS = (
+    ("Document title", "/TEI/teiHeader/fileDesc/titleStmt/title"), ("Publication identifier", "/TEI/teiHeader/fileDesc/publicationStmt/idno"), ("Holding institution", "/TEI/teiHeader/fileDesc/sourceDesc/msDesc/msIdentifier/institution"),
+    ("Collection", "/TEI/teiHeader/fileDesc/sourceDesc/msDesc/msIdentifier/collection"), ("Current settlement", "/TEI/teiHeader/fileDesc/sourceDesc/msDesc/msIdentifier/placeName/settlement"),
+    ("Inventory identifier", "/TEI/teiHeader/fileDesc/sourceDesc/msDesc/msIdentifier/idno"), ("Material", "/TEI/teiHeader/fileDesc/sourceDesc/msDesc/physDesc/objectDesc/supportDesc/support/material"),
+    ("Origin place", "/TEI/teiHeader/fileDesc/sourceDesc/msDesc/history/origin/origPlace"), ("Origin date", "/TEI/teiHeader/fileDesc/sourceDesc/msDesc/history/origin/origDate"), ("Provenance event", "/TEI/teiHeader/fileDesc/sourceDesc/msDesc/history/provenance"),
+    ("Provenance place", "/TEI/teiHeader/fileDesc/sourceDesc/msDesc/history/provenance/p/placeName"), ("Keyword", "/TEI/teiHeader/profileDesc/textClass/keywords/term"), ("Revision event", "/TEI/teiHeader/revisionDesc/change"),
+    ("Typed body division", "/TEI/text/body/div"), ("Division paragraph", "/TEI/text/body/div/p"), ("Structured bibliography entry", "/TEI/text/body/div/listBibl/bibl"), ("Inline illustration reference", "/TEI/text/body/div/p/bibl"),
+    ("Image link", "/TEI/text/body/div/p/figure/graphic"), ("Mentioned date", "/TEI/text/body/div/list/item/date"),
+)
+
+
+def field_coverage(items: DataFrame, document: str, records: DataFrame, fields: Sequence[tuple[str, str]] = FIELDS) -> DataFrame:
+    """Every field with its path: records that have it, their share of all, occurrences, and occurrences a record that has it."""
+    whole = records.agg(F.count(F.lit(1)).alias("records"))
+    named = items.sparkSession.createDataFrame(list(fields), "field string, path string")
+    found = frequency(items.filter("kind = 'element'").join(named.select("path"), "path", "left_semi"), document, ["path"], F.col("times"))
+    joined = named.join(found, "path", "left").fillna(0, ["documents", "occurrences"])
+    total = F.lit(whole.first()["records"])
+    return joined.select("field", "path", "documents", percentage(F.col("documents"), total).alias("coverage"), "occurrences", F.round(F.try_divide(F.col("occurrences").cast("double"), F.col("documents")), 2).alias("per_record"))
+
+
+def leaf_values(nodes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Texts of elements that hold no others, of an adjacency table, by label: how often, and in how many records."""
+    elements = nodes.filter("kind = 'element'")
+    inner = elements.select(*keys, F.col("parent_no").alias("node_no")).distinct()
+    leaves = elements.filter("scalar is not null").join(inner, [*keys, "node_no"], "left_anti")
+    return leaves.groupBy("label", F.col("scalar").alias("value")).agg(F.count(F.lit(1)).alias("times"), F.count_distinct(*keys).alias("records"))
+
+
 def frequency(items: DataFrame, document: str, key: Sequence[str], times: Column | None = None) -> DataFrame:
     """Documents and occurrences of every key, with the least and most occurrences in a document that has it."""
     n = F.count(F.lit(1)) if times is None else F.sum(times)

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ostraka.operators import date_profile, place_profile
+from ostraka.functions.xml import select_text, select_truth, select_values
+from ostraka.operators import date_profile, place_profile, profile
 from ostraka.operators.xml_shred import shred
+from ostraka.plans.nested import NODES
 from ostraka.plans.retrieval import BLANKS
-from ostraka.plans.texts import element_of
+from ostraka.plans.texts import element_of, papyri_xml
 from ostraka.session import stored
 from ostraka.sources.tables import table
 
@@ -68,6 +70,24 @@ def date_children(spark: SparkSession, root: str) -> DataFrame:
     return date_profile.child_annotations(_date_nodes(spark, root), KEYS)
 
 
+def field_coverage(spark: SparkSession, root: str) -> DataFrame:
+    """The fields of the metadata records that papyri makes."""
+    records = papyri_xml(spark, root)
+    return profile.field_coverage(profile.element_inventory(records, "source_path", "xml"), "source_path", records)
+
+
+def leaf_texts(spark: SparkSession, root: str) -> DataFrame:
+    """Texts of the innermost elements of all transcriptions, with their counts."""
+    nodes = stored(shred(table(spark, root, "transcriptions"), "xml_content", ["transcription_id"]), "nodes")
+    return profile.leaf_values(nodes, ["transcription_id"])
+
+
+def xpath_facts(spark: SparkSession, root: str) -> DataFrame:
+    """Values, truths and texts that paths select in records of dates."""
+    d, xml = _dated(spark, root), F.col("xml")
+    return d.select("tm_id", F.array_join(select_values(xml, "//tei:origDate/@when"), " ").alias("exact"), select_truth(xml, "//tei:origDate/tei:certainty[@match='x']").alias("doubtful"), select_text(xml, "//tei:origDate[1]/tei:hi").alias("name"))
+
+
 def _placed(spark: SparkSession, root: str) -> DataFrame:
     """Rows of orig_places as records that name the place in every scope: present, of origin, and in a provenance of two paragraphs."""
     tm = F.concat(F.lit("https://www.trismegistos.org/place/"), F.col("tm_place_id").cast("string"))
@@ -91,7 +111,7 @@ def place_paragraphs(spark: SparkSession, root: str) -> DataFrame:
     return place_profile.paragraph_profile(place_profile.place_mentions(_placed(spark, root)))
 
 
-QUERIES = {f.__name__: f for f in (date_shapes, date_attribute_statuses, date_anomalies, date_alternatives, date_children, place_scopes, place_paragraphs)}
+QUERIES = {f.__name__: f for f in (date_shapes, date_attribute_statuses, date_anomalies, date_alternatives, date_children, field_coverage, leaf_texts, xpath_facts, place_scopes, place_paragraphs)}
 _Y = "CASE WHEN {0} < 0 THEN '-' || lpad(abs({0})::VARCHAR, 4, '0') ELSE lpad({0}::VARCHAR, 4, '0') END"
 _DATES = f"""WITH b AS (SELECT id AS tm_id, id % 8 AS form, {_Y.format('begin_date')} AS b, {_Y.format('end_date')} AS e, begin_date, end_date, id % 3 = 0 AS marked, name_latin FROM export_geo),
 o AS (SELECT tm_id, 2 AS node_no, marked, coalesce(trim(regexp_replace('text', '{BLANKS}', ' ', 'g')), '') AS label, b.* EXCLUDE (tm_id, marked) FROM b UNION ALL SELECT tm_id, 99, false, 'other', b.* EXCLUDE (tm_id, marked) FROM b WHERE tm_id % 5 = 0),
@@ -113,6 +133,14 @@ SQL = {
     "date_alternatives": _DATES + """ SELECT CASE WHEN n = named THEN 'all' WHEN named > 0 THEN 'some' ELSE 'none' END AS identified, count(*) AS records, count(*) AS same_attributes, count(*) AS same_years, max(n) AS most_dates
         FROM (SELECT tm_id, count(*) AS n, count(*) FILTER (marked) AS named FROM a GROUP BY tm_id HAVING count(*) > 1) GROUP BY 1""",
     "date_children": _DATES + """ SELECT * FROM (SELECT 'certainty' AS child, 'match' AS attribute, 'x' AS value, count(*) AS times, count(*) AS records FROM b WHERE form = 6 UNION ALL SELECT 'hi', NULL, NULL, count(*), count(*) FROM b WHERE name_latin IS NOT NULL) WHERE times > 0""",
+    "field_coverage": "WITH n AS (SELECT count(*) AS n FROM papyri), c AS (SELECT unnest([" + ", ".join(f"{{'field': '{f}', 'path': '{p}'}}" for f, p in profile.FIELDS) + """], recursive := true)),
+        o AS (SELECT 'Document title' AS field, 1 AS times FROM papyri WHERE title IS NOT NULL UNION ALL SELECT 'Collection', 1 FROM papyri WHERE current_location IS NOT NULL UNION ALL SELECT 'Material', 1 FROM papyri WHERE material IS NOT NULL
+          UNION ALL SELECT 'Publication identifier', len(list_filter([tm_id::VARCHAR, dclp_hybrid_id::VARCHAR, ddb_filename::VARCHAR, ddb_hybrid_id::VARCHAR, hgv_id::VARCHAR, ldab_id::VARCHAR, mp3_id::VARCHAR], lambda x: x IS NOT NULL)) FROM papyri),
+        g AS (SELECT field, count(*) AS documents, sum(times)::BIGINT AS occurrences FROM o GROUP BY field)
+        SELECT c.field, path, coalesce(documents, 0) AS documents, round(100.0 * coalesce(documents, 0) / n::DOUBLE, 2)::DOUBLE AS coverage, coalesce(occurrences, 0) AS occurrences, round(occurrences / documents::DOUBLE, 2) AS per_record FROM c LEFT JOIN g ON c.field = g.field, n""",
+    "leaf_texts": NODES + """ SELECT label, scalar AS value, count(*) AS times, count(DISTINCT transcription_id) AS records FROM e JOIN g USING (transcription_id, node_no)
+        WHERE (transcription_id, node_no) NOT IN (SELECT (transcription_id, parent_no) FROM e) GROUP BY ALL""",
+    "xpath_facts": _DATES + " SELECT b.tm_id, coalesce(w.exact, '') AS exact, form = 6 AS doubtful, coalesce(name_latin, '') AS name FROM b LEFT JOIN (SELECT tm_id, string_agg(w, ' ' ORDER BY node_no) AS exact FROM a WHERE w IS NOT NULL GROUP BY tm_id) w ON w.tm_id = b.tm_id",
     "place_scopes": _MENTIONS + f""" SELECT scope, count(*) AS names, count(DISTINCT tm_id) AS records, count(DISTINCT coalesce(nullif(trim(regexp_replace(label, '[ \\t\\r\\n]+', ' ', 'g')), ''), '(empty)')) AS labels, count(*) FILTER (ref) AS with_ref, count(*) FILTER (key) AS with_key, count(*) FILTER (tm) AS with_trismegistos,
         count(*) FILTER (pl) AS with_pleiades, count(*) FILTER (other) AS with_wikidata, count(*) FILTER (other) AS with_geonames, 0::BIGINT AS several_ids, count(g.id) AS resolved, count(*) FILTER (g.id IS NOT NULL AND coalesce(coordinates, '') <> '') AS with_coordinates,
         count(*) FILTER (begin_date IS NOT NULL OR end_date IS NOT NULL) AS with_dates FROM r LEFT JOIN export_geo g ON r.id = g.id GROUP BY scope""",

@@ -85,7 +85,7 @@ def element_of(name: str, value: Column, attributes: str = "") -> Column:
 PAPYRI = {"dclp_hybrid_id": "dclp-hybrid", "ddb_filename": "ddb-filename", "ddb_hybrid_id": "ddb-hybrid", "hgv_id": "HGV", "ldab_id": "LDAB", "mp3_id": "MP3"}
 
 
-def _papyri_xml(spark: SparkSession, root: str) -> DataFrame:
+def papyri_xml(spark: SparkSession, root: str) -> DataFrame:
     """The rows of papyri as records in XML."""
     ids = [element_of("idno", F.col("tm_id").cast("string"), ' type="TM"')] + [element_of("idno", F.col(c), f' type="{k}"') for c, k in PAPYRI.items()]
     parts = [
@@ -97,7 +97,7 @@ def _papyri_xml(spark: SparkSession, root: str) -> DataFrame:
 
 
 def metadata_papyri(spark: SparkSession, root: str) -> DataFrame:
-    parsed = metadata.extracted(_papyri_xml(spark, root))
+    parsed = metadata.extracted(papyri_xml(spark, root))
     return metadata.metadata_table(parsed, "papyri").select("source_path", "tm_id", *PAPYRI, "title", "material", "current_location")
 
 
