@@ -8,7 +8,7 @@ many chunks are dealt in parts; the distances of their parts are put together be
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -218,12 +218,33 @@ def collection_statistics(vectors: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Evaluation:
-    """The measures of one or more models, as rows, and their report."""
+    """The measures of one or more models, as rows, and their report.
+
+    ``sides`` has, for each model, the statistics of its transcriptions and of its translations;
+    ``scope`` says which sample was evaluated, where it was one.
+    """
 
     rows: list
+    sides: dict = field(default_factory=dict)
+    scope: str | None = None
+
+    def _summary(self) -> list[str]:
+        lines = [
+            "| Model | Dimensions | Transcriptions | Translations | Paired | Transcription chunks | Translation chunks | Multi-chunk transcriptions | Multi-chunk translations | " + " | ".join(f"recall@{k}" for k in RANKS) + " |",
+            "|---|" + "---:|" * (8 + len(RANKS)),
+        ]
+        totals = {r["model_name"]: r for r in self.rows if r["slice_kind"] == "total"}
+        for model in sorted(totals):
+            a, b = self.sides[model]
+            counts = (a["min_dims"], a["documents"], b["documents"], totals[model]["queries"], a["chunks"], b["chunks"], a["chunked_documents"], b["chunked_documents"])
+            shares = " | ".join(f"{100 * totals[model][f'recall_{k}']:.2f}%" for k in RANKS)
+            lines.append(f"| {model.replace('|', chr(92) + '|')} | " + " | ".join(map(str, counts)) + f" | {shares} |")
+        return [*lines, ""]
 
     def to_markdown(self) -> str:
-        lines = ["| Model | Slice | Queries | " + " | ".join(f"recall@{k}" for k in RANKS) + " | MRR |", "|---|---|---:|" + "---:|" * (len(RANKS) + 1)]
+        lines = [self.scope, ""] if self.scope else []
+        lines += self._summary() if self.sides else []
+        lines += ["| Model | Slice | Queries | " + " | ".join(f"recall@{k}" for k in RANKS) + " | MRR |", "|---|---|---:|" + "---:|" * (len(RANKS) + 1)]
         for r in sorted(self.rows, key=lambda r: (r["model_name"], {"total": 0, "language": 1, "chunks": 2}[r["slice_kind"]], r["slice_value"])):
             shares = " | ".join(f"{100 * r[f'recall_{k}']:.2f}%" for k in RANKS)
             name = r["model_name"].replace("|", "\\|")
@@ -231,10 +252,12 @@ class Evaluation:
         return "\n".join(lines) + "\n"
 
 
-def evaluate(transcriptions: DataFrame, translations: DataFrame) -> Evaluation:
+def evaluate(transcriptions: DataFrame, translations: DataFrame, scope: str | None = None) -> Evaluation:
     """Measures of every model that has both kinds of vectors; the report's rows come to the driver."""
+    sides: list[dict] = []
     for name, side in (("transcription", transcriptions), ("translation", translations)):
         found = collection_statistics(side).collect()
+        sides.append({r["model_name"]: r for r in found})
         if not found:
             raise ValueError(f"there are no {name} vectors")
         if any(r["min_dims"] != r["max_dims"] for r in found):
@@ -242,4 +265,4 @@ def evaluate(transcriptions: DataFrame, translations: DataFrame) -> Evaluation:
     rows = retrieval_measures(target_ranks(transcriptions, translations)).collect()
     if not rows:
         raise ValueError("no record has both kinds of vectors")
-    return Evaluation(rows)
+    return Evaluation(rows, {m: (a, sides[1][m]) for m, a in sides[0].items() if m in sides[1]}, scope)

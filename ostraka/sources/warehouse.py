@@ -233,4 +233,4 @@ class Warehouse:
         if sample is not None:
             chosen = embeddings.sampled_records(self.read("transcriptions"), sample, seed).select(F.col("tm_id").cast("string").alias("tm_id"))
             sides = [s.join(chosen, "tm_id", "left_semi") for s in sides]
-        return evaluate.evaluate(*sides)
+        return evaluate.evaluate(*sides, None if sample is None else f"A sample of {sample} paired records, seed {seed}.")

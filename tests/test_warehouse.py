@@ -60,7 +60,8 @@ def test_vectors(warehouse, tmp_path):
     assert warehouse.embed("m", hash_embedder(8), stale_only=True) == 0
     assert warehouse.embed("other", hash_embedder(4), sample=2) == 4
     report = warehouse.evaluate("m").to_markdown()
-    assert "| m | all | 3 |" in report
+    assert "| m | all | 3 |" in report and "| m | 8 | 3 | 3 | 3 | 3 | 3 | 0 | 0 | " in report
+    assert warehouse.evaluate("m", sample=1).to_markdown().startswith("A sample of 1 paired records, seed 0.")
     assert len(warehouse.vector_of("m", "DDbDP/0/1.xml")) == 8 and warehouse.vector_of("m", "none") is None
     assert warehouse.dump_model(str(tmp_path / "v"), "m") == 3
     assert warehouse.import_model(str(tmp_path / "v"), "m") == 3
