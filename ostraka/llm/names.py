@@ -12,13 +12,14 @@ initial, or none, joins the one person that it can mean.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +38,7 @@ LEAST_RATIO = 0.78
 #: A short form of a forename is one that stands beside the full form at that share of its surnames, and at so many.
 EVIDENCE_SHARE = 0.75
 EVIDENCE_NAMES = 2
-#: Surnames with more forenames than that say nothing about which of them are one person's.
+#: Of surnames with so many forenames at most the evidence is taken as it is; with others chance is reckoned with.
 SELECTIVE = 6
 PERSON, INSTITUTION, ANCIENT = "person", "institution", "ancient"
 FULL, INITIAL, BARE = 0, 1, 2
@@ -266,16 +267,41 @@ def short_forms(people: DataFrame) -> DataFrame:
     """(kind, given, whole): forenames that the data show to be short forms of others.
 
     ``people`` has kind, core and given, each once. A forename that stands beside the same more frequent
-    one under EVIDENCE_SHARE of its cores, and under EVIDENCE_NAMES of them, means it. Cores with more
-    than SELECTIVE forenames aren't evidence. Of equally good ones the first by letters is taken.
+    one under EVIDENCE_SHARE of its cores, and under EVIDENCE_NAMES of them, means it where cores of at
+    most SELECTIVE forenames alone show it. Else all cores count, whatever their forenames: they show it
+    where less than one such pair is to be expected by chance among all forenames. By chance a forename
+    stands beside the n - 1 others of a core as often as its share of all forenames says; that is multiplied
+    over the cores, by the ways to choose these among all cores, and by the numbers of more frequent
+    forenames and of forenames looked at. Of equally good ones the one less to be expected is taken, then
+    the first by letters.
     """
-    many = people.groupBy("kind", "core").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n").between(2, SELECTIVE)).select("kind", "core")
-    beside = people.join(many, ["kind", "core"], "left_semi")
+    many = people.groupBy("kind", "core").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     times = people.groupBy("kind", "given").agg(F.count(F.lit(1)).alias("cores"))
-    together = beside.alias("a").join(beside.alias("b"), ["kind", "core"]).filter("a.given <> b.given").groupBy("kind", F.col("a.given").alias("given"), F.col("b.given").alias("whole")).agg(F.count(F.lit(1)).alias("together"))
-    rated = together.filter(F.col("together") >= EVIDENCE_NAMES).join(times, ["kind", "given"]).join(times.select("kind", F.col("given").alias("whole"), F.col("cores").alias("cores_whole")), ["kind", "whole"])
-    good = rated.filter((F.col("together") >= EVIDENCE_SHARE * F.col("cores")) & (F.col("cores_whole") > F.col("cores")))
-    return good.groupBy("kind", "given").agg(F.min(F.struct((-F.col("together")).alias("o"), "whole")).alias("w")).select("kind", "given", F.col("w.whole").alias("whole"))
+    # counted by frequency first: the window is over different frequencies, not over all forenames
+    frequencies = times.groupBy("kind", "cores").agg(F.count(F.lit(1)).alias("forenames"))
+    kind = Window.partitionBy("kind")
+    ranked = frequencies.withColumn("more", F.sum("forenames").over(kind.orderBy(F.desc("cores"))) - F.col("forenames"))
+    looked_at = F.sum(F.when((F.col("cores") >= EVIDENCE_NAMES) & (F.col("more") > 0), F.col("forenames")).otherwise(0)).over(kind)
+    ranked = ranked.select("kind", "cores", (F.col("more") * looked_at).alias("tried"), F.sum(F.col("cores") * F.col("forenames")).over(kind).alias("people"))
+    beside = cut(people.join(many, ["kind", "core"]).join(times.join(ranked, ["kind", "cores"]), ["kind", "given"]))
+    whole = beside.select("kind", "core", F.col("given").alias("whole"), F.col("cores").alias("cores_whole"))
+    k = F.col("cores")
+    least = F.greatest(F.lit(EVIDENCE_NAMES), F.ceil(EVIDENCE_SHARE * k))
+    # a whole form is missing at k - least cores at most, so it is met in the half of them that has the fewest forenames;
+    # only what is met there often enough is counted in all. 0.45 leaves room for the median, which is approximate
+    shorter = beside.filter(k >= EVIDENCE_NAMES)
+    halves = shorter.join(shorter.groupBy("kind", "given").agg(F.percentile_approx("n", 0.5).alias("median")), ["kind", "given"]).filter("n <= median")
+    met = halves.join(whole, ["kind", "core"]).filter(F.col("cores_whole") > k).groupBy("kind", "given", "whole").agg(F.count(F.lit(1)).alias("met"), F.max("cores").alias("cores"))
+    candidates = met.filter(F.col("met") >= 0.45 * k - (k - least)).select("kind", "given", "whole")
+    chance = 1 - F.pow(1 - F.col("cores_whole") / F.col("people"), F.col("n") - 1)
+    pairs = candidates.join(shorter, ["kind", "given"]).join(whole, ["kind", "core", "whole"])
+    together = pairs.groupBy("kind", "given", "whole", "cores", "tried").agg(F.count(F.lit(1)).alias("together"), F.count_if(F.col("n") <= SELECTIVE).alias("plain"), F.sum(F.log(chance)).alias("chances"))
+    # logarithm of a factorial by Gosper's formula, without the term that cancels out
+    factorial = lambda x: F.when(x > 0, x * F.log(x)).otherwise(0.0) + F.log(math.pi * (2 * x + 1 / 3)) / 2
+    ways = factorial(k) - factorial(F.col("together")) - factorial(k - F.col("together"))
+    rated = together.filter(F.col("together") >= least).withColumn("expected", F.round(F.col("chances") + ways + F.log("tried"), 6))
+    good = rated.filter((F.col("plain") >= least) | (F.col("expected") < 0))
+    return good.groupBy("kind", "given").agg(F.min(F.struct((-F.col("together")).alias("o"), "expected", "whole")).alias("w")).select("kind", "given", F.col("w.whole").alias("whole"))
 
 
 def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 60) -> DataFrame:

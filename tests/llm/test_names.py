@@ -1,4 +1,6 @@
 import itertools
+import math
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -45,6 +47,54 @@ def test_short_forms_are_told_by_the_data(spark):
     assert n.link_names(authors).select("entity").distinct().count() == 2
 
 
+def told(spark, people):
+    df = spark.createDataFrame([("person", s, g) for s, g in people], "kind string, core string, given string")
+    return {r.given: r.whole for r in n.short_forms(df).collect()}
+
+
+@pytest.mark.parametrize("others", [0, 4, 5, 30])
+def test_surnames_of_any_number_of_forenames_are_evidence(spark, others):
+    three = ("aaaaa", "bbbbb", "ccccc")
+    people = {(s, g) for s in three for g in ["jim", *(f"{s}{i}" for i in range(others))]} | {(f"single{i}", f"forename{i % 40}") for i in range(2000)}
+    assert told(spark, people | {(s, "jeremias") for s in (*three, "ddddd", "eeeee")}) == {"jim": "jeremias"}
+    # a forename that is frequent stands beside any other by chance where there are many
+    assert told(spark, people | {(s, "peter") for s in (*three, *(f"peter{i}" for i in range(30)))}) == ({"jim": "peter"} if others < 30 else {})
+
+
+def test_what_is_beside_everything_is_no_evidence(spark):
+    crowd = {(s, f"forename{i}") for s in ("aaaaa", "bbbbb") for i in range(40)} | {(f"single{j}", f"forename{i}") for i in range(40) for j in range(3)}
+    assert told(spark, crowd | {("aaaaa", "zebulon"), ("bbbbb", "zebulon")}) == {}
+
+
+def test_short_forms_by_brute_force(spark):
+    rng = random.Random(7)
+    people = set()
+    for s in range(60):
+        for _ in range(rng.choice((1, 2, 3, 9, 20))):
+            g = f"g{int(rng.paretovariate(0.6)) % 300}"
+            people |= {(f"s{s}", g)} | ({(f"s{s}", g + "short")} if rng.random() < 0.1 else set())
+    beside, cores = {}, {}
+    for s, g in people:
+        beside.setdefault(s, set()).add(g)
+        cores.setdefault(g, set()).add(s)
+    want = {}
+    looked_at = sum(1 < len(c) < max(map(len, cores.values())) for c in cores.values())
+    for a in cores:
+        k, more = len(cores[a]), sum(len(c) > len(cores[a]) for c in cores.values())
+        for b in cores:
+            shared = cores[a] & cores[b]
+            if len(cores[b]) <= k or len(shared) < max(2, 0.75 * k):
+                continue
+            by_chance = sum(math.log(1 - (1 - len(cores[b]) / len(people)) ** (len(beside[s]) - 1)) for s in shared)
+            expected = by_chance + math.log(math.comb(k, len(shared)) * more * looked_at)
+            few = sum(len(beside[s]) <= n.SELECTIVE for s in shared)
+            assert abs(expected) > 0.05  # Spark's binomial coefficients are Gosper's
+            if few >= max(2, 0.75 * k) or expected < 0:
+                want[a] = min(want.get(a, (0, 0.0, "")), (-len(shared), expected, b))
+    assert told(spark, people) == {a: b for a, (_, _, b) in want.items()}
+    assert any(max(len(beside[s]) for s in cores[a]) > n.SELECTIVE for a in want)
+
+
 def test_the_ratio_alone_decides():
     # one length, one suffix, one forename; only the ratio tells them apart
     assert n.alike("dangelramman", "dalgelramman") and not n.alike("dangelramman", "dosgelramman")
